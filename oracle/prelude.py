@@ -231,7 +231,8 @@ CTES["races"] = f"""
 SELECT {_long('"raceId"')} AS race_id, {_long('year')} AS year, {_long('round')} AS round,
        {_long('"circuitId"')} AS circuit_id, name, TRY_CAST(TRY_STRPTIME(date, '%Y-%m-%d') AS DATE) AS date,
        CASE WHEN {_long('year')} IS NOT NULL AND {_long('round')} IS NOT NULL
-            THEN CAST({_long('year')} AS VARCHAR) || '_R' || lpad(CAST({_long('round')} AS VARCHAR), 2, '0') END AS season_round
+            THEN CAST({_long('year')} AS VARCHAR) || '_R' || CASE WHEN {_long('round')} < 10 THEN '0' ELSE '' END
+                 || CAST({_long('round')} AS VARCHAR) END AS season_round
 FROM races_era"""
 
 CTES["circuits"] = f"""
