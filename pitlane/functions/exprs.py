@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 ColumnLike = Column | str
 
-# Text accepted as a number: optional sign, digits with optional fraction,
-# optional exponent, surrounding blanks allowed (what pandas' to_numeric takes).
-_NUMERIC_RE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Characters a plain decimal number may use. Spark's text-to-double cast also
+# accepts forms pandas rejects ('1d', '2f', 'NaN', 'Infinity', hex floats); any
+# such text has a character outside this set, so a cheap character check plus
+# the cast's own syntax check gives pandas' to_numeric semantics without regex.
+_NUMBER_CHARS = "0123456789+-.eE "
 
 
 def _c(c: ColumnLike) -> Column:
@@ -25,10 +27,15 @@ def null_if_nan(c: ColumnLike) -> Column:
     return F.nanvl(_c(c), F.lit(None).cast("double"))
 
 
+def plain_number_text(s: Column) -> Column:
+    """True when the text only uses characters of a plain decimal number."""
+    return F.length(F.translate(s, _NUMBER_CHARS, "")) == 0
+
+
 def to_double(c: ColumnLike) -> Column:
     """Numeric coercion; anything that is not a plain number -> NULL."""
     s = _c(c).cast("string")
-    return F.when(s.rlike(_NUMERIC_RE), null_if_nan(F.trim(s).try_cast("double")))
+    return F.when(plain_number_text(s), F.trim(s).try_cast("double"))
 
 
 def to_long(c: ColumnLike) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pitlane.operators import clean as C
 from pitlane.plans import standin_catalog as cat
 from pitlane.sources import ingest as I
-from pitlane.sources.standin import STANDIN_ERA, raw_tables
+from pitlane.sources.standin import STANDIN_ERA, raw_tables  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -37,8 +37,9 @@ def era_filter_races(spark, sf_dir):
 
 @register("era_semi_join_results")
 def era_semi_join_results(spark, sf_dir):
-    t = I.filter_modern_era(cat.ingested(spark, sf_dir, tag=False), *STANDIN_ERA)
-    return t["results"].select("resultId", "raceId", "driverId", "position", "points")
+    ing = cat.ingested(spark, sf_dir, tag=False)
+    kept = I.era_races(ing["races"], *STANDIN_ERA)
+    return I.era_filter_table(ing["results"], "results", kept).select("resultId", "raceId", "driverId", "position", "points")
 
 
 @register("ingest_tagged")
@@ -127,25 +128,25 @@ def best_of_three(spark, sf_dir):
 
 # --- SQL layer -----------------------------------------------------------------
 
-def _sql_marts(spark, sf_dir):
+def _sql_mart(spark, sf_dir, name):
     from pitlane.plans.sqlmodels import build_sql_marts
-    return build_sql_marts(spark, cat.cleaned(spark, sf_dir))
+    return build_sql_marts(spark, cat.cleaned(spark, sf_dir), marts=[name])[name]
 
 
-def _staging(spark, sf_dir):
+def _staging(spark, sf_dir, view):
     from pitlane.plans.sqlmodels import register_staging
-    return register_staging(spark, cat.cleaned(spark, sf_dir))
+    return register_staging(spark, cat.cleaned(spark, sf_dir), views=[view])[view]
 
 
 for _v in ("stg_results", "stg_drivers", "stg_constructors", "stg_races", "stg_circuits",
            "stg_qualifying", "stg_pit_stops"):
-    REGISTRY[_v] = (lambda v: (lambda spark, sf_dir: _staging(spark, sf_dir)[v]))(_v)
+    REGISTRY[_v] = (lambda v: (lambda spark, sf_dir: _staging(spark, sf_dir, v)))(_v)
 
 for _m, _k in (("mart_driver_performance", "sql_driver_performance"),
                ("mart_team_performance", "sql_team_performance"),
                ("mart_season_overview", "sql_season_overview"),
                ("mart_circuit_stats", "sql_circuit_stats")):
-    REGISTRY[_k] = (lambda m: (lambda spark, sf_dir: _sql_marts(spark, sf_dir)[m]))(_m)
+    REGISTRY[_k] = (lambda m: (lambda spark, sf_dir: _sql_mart(spark, sf_dir, m)))(_m)
 
 
 # --- DataFrame marts -------------------------------------------------------------
@@ -174,8 +175,19 @@ def driver_avg_pit_stop(spark, sf_dir):
 
 
 def _marts(spark, sf_dir):
+    """The four DataFrame marts, each planned only when used."""
     from pitlane.operators import marts as M
-    return M.build_all_marts(_t(spark, sf_dir), min_races=5)
+    t = _t(spark, sf_dir)
+    return cat.LazyFrames({
+        "driver_performance_mart": lambda: M.build_driver_performance_mart(
+            t["results"], t["drivers"], t["races"], t["qualifying"], t["pit_stops"], min_races=5),
+        "team_performance_mart": lambda: M.build_team_performance_mart(
+            t["results"], t["constructor_standings"], t["constructors"], t["races"]),
+        "season_trends_mart": lambda: M.build_season_trends_mart(
+            t["results"], t["driver_standings"], t["races"], t["drivers"], t["constructors"],
+            t["constructor_standings"]),
+        "fact_race_results": lambda: M.build_fact_race_results(t["results"], t["races"], t["qualifying"]),
+    })
 
 
 REGISTRY["driver_performance_mart"] = lambda spark, sf_dir: _marts(spark, sf_dir)["driver_performance_mart"]
@@ -215,8 +227,16 @@ def season_champions(spark, sf_dir):
 # --- star schema ---------------------------------------------------------------------
 
 def _star(spark, sf_dir):
-    from pitlane.operators.star import build_star
-    return build_star(_t(spark, sf_dir))
+    from pitlane.operators import star as St
+    t = _t(spark, sf_dir)
+    return cat.LazyFrames({
+        "dim_drivers": lambda: St.build_dimension(t["drivers"], "dim_drivers"),
+        "dim_constructors": lambda: St.build_dimension(t["constructors"], "dim_constructors"),
+        "dim_circuits": lambda: St.build_dimension(t["circuits"], "dim_circuits"),
+        "dim_races": lambda: St.build_dimension(t["races"], "dim_races"),
+        "dim_date": lambda: St.build_dim_date(t["races"]),
+        "fact_race_results": lambda: St.build_star_fact(t["results"], t["qualifying"]),
+    })
 
 
 for _d in ("dim_drivers", "dim_constructors", "dim_circuits", "dim_races", "dim_date"):
@@ -227,7 +247,7 @@ REGISTRY["star_fact"] = lambda spark, sf_dir: _star(spark, sf_dir)["fact_race_re
 @register("star_row_counts")
 def star_row_counts(spark, sf_dir):
     from pitlane.operators.star import star_row_counts as counts
-    return counts(_star(spark, sf_dir))
+    return counts(dict(_star(spark, sf_dir)))
 
 
 # --- feeds ---------------------------------------------------------------------------
@@ -338,3 +358,40 @@ def unique_violations(spark, sf_dir):
 def not_null_violations(spark, sf_dir):
     from pitlane.operators.quality import not_null_violations as nn
     return nn(_models(spark, sf_dir))
+
+
+# --- stage outputs and the whole pipeline ------------------------------------------------
+
+@register("fact_partitioned_roundtrip")
+def fact_partitioned_roundtrip(spark, sf_dir):
+    """Write the fact partitioned by season twice, read it back once."""
+    from pitlane.session import scratch_path
+    from pitlane.sources.io import write_partitioned_fact
+    fact = _marts(spark, sf_dir)["fact_race_results"]
+    path = scratch_path(spark, "fact_race_results")
+    write_partitioned_fact(fact, path)
+    write_partitioned_fact(fact, path)  # a re-run replaces seasons, it does not append
+    back = spark.read.parquet(path)
+    return back.withColumn("year", F.col("year").cast("long"))
+
+
+@register("csv_parquet_roundtrip")
+def csv_parquet_roundtrip(spark, sf_dir):
+    """A mart written as CSV and read back with its declared schema."""
+    from pitlane.session import scratch_path
+    from pitlane.sources.io import load_mart, write_table
+    team = _marts(spark, sf_dir)["team_performance_mart"]
+    base = scratch_path(spark, "marts")
+    write_table(team, f"{base}/team_performance_mart.csv", "csv")
+    return load_mart(spark, base, "team_performance_mart", schema=team.schema)
+
+
+@register("pipeline_end_to_end")
+def pipeline_end_to_end(spark, sf_dir):
+    """Q3: ingest -> era filter -> clean (written) -> marts (written); rows per mart."""
+    from pitlane.plans.pipeline import run_pipeline
+    from pitlane.session import scratch_path
+    frames = cat.raw(spark, sf_dir)
+    raw = {n: frames[n] for n in frames}
+    return run_pipeline(spark, raw, scratch_path(spark, "processed"), scratch_path(spark, "outputs"),
+                        start_year=STANDIN_ERA[0], end_year=STANDIN_ERA[1])

@@ -42,21 +42,24 @@ def _round(expr: str, k: int) -> str:
             f"THEN 1.0D ELSE 0.0D END) / {p})")
 
 
-def register_staging(spark: SparkSession, cleaned: dict[str, DataFrame], prefix: str = "") -> dict[str, DataFrame]:
-    """Create the seven staging views; returns them as DataFrames.
+def register_staging(spark: SparkSession, cleaned, prefix: str = "",
+                     views: list[str] | None = None) -> dict[str, DataFrame]:
+    """Create the staging views (all seven by default); returns them as DataFrames.
 
     ``positions_gained`` is computed here: the results cleaner does not
     produce it, yet the results staging model selects it.
     """
-    views = {}
+    out = {}
     for view, src in _STAGING_SOURCE.items():
+        if views is not None and view not in views:
+            continue
         df = cleaned[src]
         if view == "stg_results" and "positions_gained" not in df.columns:
             df = df.withColumn("positions_gained", X.positions_gained("grid", "position_numeric"))
         df = df.select(*STAGING_COLUMNS[view])
         df.createOrReplaceTempView(prefix + view)
-        views[view] = df
-    return views
+        out[view] = df
+    return out
 
 
 def _results_cte(p: str, extra: str = "") -> str:
@@ -154,12 +157,22 @@ SQL_MARTS = {
 }
 
 
-def build_sql_marts(spark: SparkSession, cleaned: dict[str, DataFrame], prefix: str = "",
-                    min_races: int = 5, ordered: bool = False) -> dict[str, DataFrame]:
-    """Register staging views, then plan the four SQL marts (lazy DataFrames)."""
-    register_staging(spark, cleaned, prefix)
+MART_INPUTS = {
+    "mart_driver_performance": ["stg_results", "stg_races", "stg_drivers"],
+    "mart_team_performance": ["stg_results", "stg_races", "stg_constructors"],
+    "mart_season_overview": ["stg_results", "stg_races"],
+    "mart_circuit_stats": ["stg_results", "stg_races", "stg_circuits"],
+}
+
+
+def build_sql_marts(spark: SparkSession, cleaned, prefix: str = "", min_races: int = 5,
+                    ordered: bool = False, marts: list[str] | None = None) -> dict[str, DataFrame]:
+    """Register the staging views they read, then plan the SQL marts (lazy DataFrames)."""
+    names = list(marts or SQL_MARTS)
+    register_staging(spark, cleaned, prefix, sorted({v for m in names for v in MART_INPUTS[m]}))
     out = {}
-    for name, fn in SQL_MARTS.items():
+    for name in names:
+        fn = SQL_MARTS[name]
         text = fn(prefix, min_races=min_races, ordered=ordered) if name == "mart_driver_performance" \
             else fn(prefix, ordered=ordered)
         out[name] = spark.sql(text)

@@ -1,24 +1,92 @@
-"""Stand-in warehouse: raw -> ingested -> era-filtered -> cleaned frames."""
+"""Stand-in warehouse: raw -> ingested -> era-filtered -> cleaned frames.
+
+Each stage is a lazy mapping: a table's plan is built on first access only,
+so a query that needs three tables analyses three plans, not fourteen. Plans
+(not data) are memoised per session and input folder.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlane.operators.clean import clean_all_tables
-from pitlane.sources.ingest import filter_modern_era, ingest_frames
-from pitlane.sources.standin import STANDIN_ERA, raw_tables
+from pitlane.operators.clean import CLEANERS, clean_generic
+from pitlane.sources import standin as S
+from pitlane.sources.contracts import EXPECTED_COLUMNS
+from pitlane.sources.ingest import era_filter_table, era_races, prepare_raw
+
+
+class LazyFrames(Mapping):
+    """Mapping of table name -> DataFrame whose plans are built on first access."""
+
+    def __init__(self, factories: dict[str, Callable[[], DataFrame]]):
+        self._factories = factories
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._factories[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._factories)
+
+    def __len__(self) -> int:
+        return len(self._factories)
 
 
-def ingested(spark: SparkSession, sf_dir: str, tag: bool = True) -> dict[str, DataFrame]:
+_MEMO: dict[tuple, LazyFrames] = {}
+
+
+def _memo(key: tuple, build: Callable[[], LazyFrames]) -> LazyFrames:
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
+def raw(spark: SparkSession, sf_dir: str) -> LazyFrames:
+    def build():
+        t = S.read_tables(spark, sf_dir, S.SOURCE_TABLES)
+        lines = LazyFrames({"lines": lambda: S.result_lines(t)})
+        L = lambda: lines["lines"]
+        return LazyFrames({
+            "results": lambda: S.results_raw(L()),
+            "drivers": lambda: S.drivers_raw(t),
+            "constructors": lambda: S.constructors_raw(t),
+            "races": lambda: S.races_raw(t),
+            "circuits": lambda: S.circuits_raw(t),
+            "driver_standings": lambda: S.driver_standings_raw(t, L()),
+            "constructor_standings": lambda: S.constructor_standings_raw(t, L()),
+            "qualifying": lambda: S.qualifying_raw(L()),
+            "pit_stops": lambda: S.pit_stops_raw(t),
+            "lap_times": lambda: S.lap_times_raw(t),
+            "status": lambda: S.status_raw(t),
+            "constructor_results": lambda: S.constructor_results_raw(L()),
+            "sprint_results": lambda: S.sprint_results_raw(L()),
+            "seasons": lambda: S.seasons_raw(t),
+        })
+    return _memo(("raw", id(spark), sf_dir), build)
+
+
+def ingested(spark: SparkSession, sf_dir: str, tag: bool = True) -> LazyFrames:
     """Raw stand-ins after sentinel handling, contract check and tagging."""
-    tables, _ = ingest_frames(raw_tables(spark, sf_dir), validate=True, tag=tag)
-    return tables
+    r = raw(spark, sf_dir)
+    return _memo(("ingested", id(spark), sf_dir, tag), lambda: LazyFrames(
+        {n: (lambda n=n: prepare_raw(r[n], n, validate=True, tag=tag)) for n in EXPECTED_COLUMNS}))
+
 
+def era_filtered(spark: SparkSession, sf_dir: str, era: tuple[int, int] = S.STANDIN_ERA) -> LazyFrames:
+    ing = ingested(spark, sf_dir)
 
-def era_filtered(spark: SparkSession, sf_dir: str, era: tuple[int, int] = STANDIN_ERA) -> dict[str, DataFrame]:
-    return filter_modern_era(ingested(spark, sf_dir), *era)
+    def build():
+        kept = LazyFrames({"races": lambda: era_races(ing["races"], *era)})
+        return LazyFrames({n: (lambda n=n: era_filter_table(ing[n], n, kept["races"])) for n in EXPECTED_COLUMNS})
+    return _memo(("era", id(spark), sf_dir, era), build)
 
 
-def cleaned(spark: SparkSession, sf_dir: str, era: tuple[int, int] = STANDIN_ERA) -> dict[str, DataFrame]:
+def cleaned(spark: SparkSession, sf_dir: str, era: tuple[int, int] = S.STANDIN_ERA) -> LazyFrames:
     """The cleaned tables every mart, model and feed is built from."""
-    return clean_all_tables(era_filtered(spark, sf_dir, era))
+    e = era_filtered(spark, sf_dir, era)
+    return _memo(("clean", id(spark), sf_dir, era), lambda: LazyFrames(
+        {n: (lambda n=n: CLEANERS.get(n, clean_generic)(e[n])) for n in EXPECTED_COLUMNS}))

@@ -106,29 +106,30 @@ def era_races(races: DataFrame, start_year: int = 2000, end_year: int = 2024) ->
     return races.where(_long_col(races, "year").between(start_year, end_year))
 
 
+def era_filter_table(df: DataFrame, name: str, kept_races: DataFrame) -> DataFrame:
+    """P2 for one table: race-linked rows of kept races only; others untouched.
+
+    The kept race ids are a calendar-sized set, so AQE turns the left-semi
+    join into a broadcast at runtime and the fact side is never shuffled.
+    """
+    if name == "races":
+        return kept_races
+    if name in RACE_LINKED and "raceId" in df.columns:
+        ids = kept_races.select(_long_col(kept_races, "raceId").alias("_era_race_id"))
+        return df.join(ids, _long_col(df, "raceId") == F.col("_era_race_id"), "left_semi")
+    return df
+
+
 def filter_modern_era(tables: dict[str, DataFrame], start_year: int = 2000,
                       end_year: int = 2024) -> dict[str, DataFrame]:
     """P1 + P2: filter races to the era and keep only race-linked rows of kept races.
 
-    Race-linked tables are reduced with a left-semi join on the race id; the
-    kept race ids are a calendar-sized set, so AQE turns this into a broadcast
-    semi join at runtime while the fact side is never shuffled. Dimension
-    tables pass through untouched. A missing ``races`` table raises KeyError.
+    Dimension tables pass through untouched. A missing ``races`` table raises KeyError.
     """
     if "races" not in tables:
         raise KeyError("'races' table is required for era filtering.")
-    races = tables["races"]
-    kept = era_races(races, start_year, end_year)
-    ids = kept.select(_long_col(kept, "raceId").alias("_era_race_id"))
-    out: dict[str, DataFrame] = {}
-    for name, df in tables.items():
-        if name == "races":
-            out[name] = kept
-        elif name in RACE_LINKED and "raceId" in df.columns:
-            out[name] = df.join(ids, _long_col(df, "raceId") == F.col("_era_race_id"), "left_semi")
-        else:
-            out[name] = df
-    return out
+    kept = era_races(tables["races"], start_year, end_year)
+    return {name: era_filter_table(df, name, kept) for name, df in tables.items()}
 
 
 def save_tables(tables: dict[str, DataFrame], output_dir: str, fmt: str = "parquet",
