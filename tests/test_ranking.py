@@ -1,0 +1,18 @@
+import random
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from pitlane.operators.ranking import standings_position
+
+
+def test_position_matches_window_row_number(spark):
+    rnd = random.Random(7)
+    rows = [(rnd.choice([2000, 2001]), i, float(rnd.randint(0, 30))) for i in range(3000)]
+    df = spark.createDataFrame(rows, "year long, driver_id long, points double")
+    got = standings_position(df, ["year"], "points", "driver_id", bucket_width=64)
+    want = df.withColumn("want", F.row_number().over(
+        Window.partitionBy("year").orderBy(F.desc("points"), "driver_id")))
+    j = got.join(want, ["year", "driver_id", "points"])
+    assert j.count() == 3000
+    assert j.where(F.col("position") != F.col("want")).count() == 0
