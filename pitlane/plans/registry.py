@@ -410,3 +410,19 @@ def incremental_season_load(spark, sf_dir):
     load(spark, landing, fact.schema, target, ckpt)
     load(spark, landing, fact.schema, target, ckpt)  # nothing new: a no-op run
     return spark.read.parquet(target).withColumn("year", F.col("year").cast("long"))
+
+
+@register("csv_null_sentinels")
+def csv_null_sentinels(spark, sf_dir):
+    """Raw drivers written as a header CSV with '\\N' markers, read back as text.
+
+    The reader takes every column as text (no inference) and maps the
+    sentinels to NULL before the contract check.
+    """
+    from pitlane.session import scratch_path
+    from pitlane.sources.ingest import load_raw_table
+    raw_dir = scratch_path(spark, "raw")
+    drivers = cat.raw(spark, sf_dir)["drivers"].drop("_seq")
+    drivers.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{raw_dir}/drivers.csv")
+    back = load_raw_table(spark, "drivers", raw_dir, validate=True, tag=False)
+    return back.select("driverId", "number", "dob", "surname", "nationality")
