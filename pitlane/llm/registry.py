@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm import packing, pieces, simhash
+from pitlane.llm import packing, pieces, simhash, toxicity
+from pitlane.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,10 +44,19 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of the held-out fifth are not learned from."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    out = toxicity.scored(docs.select("doc_id", "text"), toxicity.fit(docs, labels))
+    return out.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), F.col("toxicity").alias("score"),
+                      (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
     "op6_pieces": op6_pieces,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
