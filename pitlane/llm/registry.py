@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm import packing, pieces, simhash, toxicity
+from pitlane.llm import language, packing, pieces, quality, simhash, toxicity
 from pitlane.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,14 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels of the held-out quarter are not learned from."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    out = quality.scored(docs.select("doc_id", "text"), quality.fit(docs, labels))
+    return out.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), F.col("quality").alias("score"),
+                      (F.col("quality") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels of the held-out fifth are not learned from."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -52,11 +60,21 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; the held-out quarter is not learned from."""
+    docs = _table(spark, sf_dir, "documents")
+    out = language.identified(docs.select("doc_id", "text"), language.fit(docs))
+    return out.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred",
+                      F.col("lang_score").alias("score"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
     "op6_pieces": op6_pieces,
+    "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
+    "op10_language": op10_language,
 }
 
 ORACLE: dict[str, str] = {}
