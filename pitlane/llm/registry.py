@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm import language, packing, pieces, quality, simhash, toxicity
+from pitlane.llm import (forest, language, licences, packing, pieces, quality, simhash, topk, toxicity,
+                         urls)
 from pitlane.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products for every twentieth vector."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), every=20, k=20, scale=64)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 ids; one row per piece."""
     out = packing.packed(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), 1024)
@@ -35,6 +41,17 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    out = urls.judged(_table(spark, sf_dir, "pages").select("page_id", "url"), urls.RULES)
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of equal label at cosine 0.98."""
+    return forest.near_duplicates(_table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SentencePiece ids and decoded text of every document, as digests."""
     out = pieces.coded(_table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -44,6 +61,12 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences and licence notices that documents are or hold, by canonical digest."""
+    out = licences.scanned(_table(spark, sf_dir, "documents"), licences.known_licences(spark))
+    return out.withColumn("notices", F.array_join("notices", ","))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; labels of the held-out quarter are not learned from."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -69,12 +92,31 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_topk": op1_topk,
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
+    "op4_urls": op4_urls,
+    "op5_forest": op5_forest,
     "op6_pieces": op6_pieces,
+    "op7_licences": op7_licences,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
 }
 
-ORACLE: dict[str, str] = {}
+_USABLE = ("embedding IS NOT NULL AND len(embedding) > 0 AND "
+           "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0")
+
+#: DuckDB SQL for the operators that SQL can express; the others are tested by brute force.
+ORACLE: dict[str, str] = {
+    "op1_topk": f"""
+WITH v AS (SELECT vec_id, len(embedding) AS dim,
+    list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS z FROM embeddings
+  WHERE vec_id IS NOT NULL AND {_USABLE}),
+n AS (SELECT *, row_number() OVER () AS r FROM v),
+s AS (SELECT q.r AS qr, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.z, c.z) AS BIGINT) AS score
+  FROM n q JOIN n c ON q.vec_id % 20 = 0 AND q.r <> c.r AND q.dim = c.dim)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20""",
+    "op7_licences": licences.oracle_sql(),
+}
