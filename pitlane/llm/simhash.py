@@ -5,8 +5,9 @@ classes are dealt to the leaves of a vantage-point tree over Hamming distance. A
 node sends a fingerprint inside when its distance to the vantage point is at most
 the node's radius plus ``max_bits`` and outside when it is over the radius: by the
 triangle inequality two fingerprints within ``max_bits`` bits always meet in a
-leaf, and those near a boundary are searched on both sides. Leaves hold exact
-pair tests; an over-full leaf is dealt in blocks, so no task holds more than two.
+leaf, and those near a boundary are searched on both sides. A leaf is one shard of
+the job; inside it a tree of its own members prunes in the same way before exact
+pair tests. An over-full shard is dealt in blocks, so no task holds more than two.
 """
 
 from __future__ import annotations
@@ -135,7 +136,19 @@ def local_links(x: np.ndarray, other: np.ndarray | None, max_bits: int) -> list[
     return list(zip(every[child].tolist(), every[comp[child]].tolist()))
 
 
-def near_links(classes: DataFrame, max_bits: int = 3, leaf: int = 1024, block: int = 4096,
+def links_within(x: np.ndarray, max_bits: int, leaf: int = 512) -> list[tuple[int, int]]:
+    """``local_links`` of the distinct ``x``, through a tree grown from all of them."""
+    nodes = build_tree(x, leaf, max_bits)
+    if len(nodes) == 1:
+        return local_links(x, None, max_bits)
+    row, at = leaves_of(nodes, x, max_bits)
+    order = np.argsort(at, kind="stable")
+    cuts = np.flatnonzero(np.diff(at[order])) + 1
+    return list({link for part in np.split(row[order], cuts)
+                 for link in local_links(x[part], None, max_bits)})
+
+
+def near_links(classes: DataFrame, max_bits: int = 3, leaf: int = 32768, block: int = 65536,
                sample: int = 20_000) -> DataFrame:
     """Links (u, v) that connect distinct fingerprints ``fp`` as all pairs within
     ``max_bits`` bits would.
@@ -171,7 +184,7 @@ def near_links(classes: DataFrame, max_bits: int = 3, leaf: int = 1024, block: i
         x = table["fp"].to_numpy().view(np.uint64)
         _, i, j = (k.as_py() for k in key)
         if i == j:
-            found = local_links(np.unique(x), None, max_bits)
+            found = links_within(np.unique(x), max_bits)
         else:
             b = table["b"].to_numpy()
             found = local_links(x[b == i], x[b == j], max_bits)
@@ -206,17 +219,22 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataF
 def deduplicated(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: its smallest doc_id's.
 
-    Of repeated rows with that id one stays (the first by text, nulls first). Rows
-    of groups in which every id is null all stay: they have no id to choose by.
+    Of repeated rows with that id one stays (the first by text and the other columns,
+    nulls first). Rows of groups in which every id is null all stay: they have no id
+    to choose by.
     """
-    kept = (near_duplicates(docs, words, max_bits).where("doc_id = component_id")
-            .select(F.col("doc_id").alias("_kept")).distinct())
+    marked = near_duplicates(docs, words, max_bits)
+    kept = marked.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     rows = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
     twice = (docs.groupBy("doc_id").agg(F.count("*").alias("n"))
              .where("n > 1 and doc_id is not null").select("doc_id"))
-    single = rows.join(twice, "doc_id", "left_anti")
+    single = rows.join(twice, "doc_id", "left_anti").select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
     several = (rows.join(twice, "doc_id", "left_semi").groupBy("doc_id")
-               .agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
-                    .alias("_row")))
-    several = several.select(*[F.col(c) if c == "doc_id" else F.col(f"_row.{c}") for c in docs.columns])
-    return single.select(*docs.columns).unionByName(several)
+               .agg(F.min(F.struct("text", *others)).alias("_row"))
+               .select(*[F.col(c) if c == "doc_id" else F.col(f"_row.{c}").alias(c) for c in docs.columns]))
+    nameless = marked.where("doc_id is null and component_id is null").select(F.col("fp").alias("_fp")).distinct()
+    unnamed = docs.where("doc_id is null").select("text", F.struct(*docs.columns).alias("_row"))
+    unnamed = (fingerprints(unnamed, words).join(nameless, F.col("fp") == F.col("_fp"), "left_semi")
+               .select("_row.*"))
+    return single.unionByName(several).unionByName(unnamed)
