@@ -18,10 +18,11 @@ _SHIPPED: set[str] = set()
 def prepare(spark: SparkSession) -> None:
     """Make this package importable in Python workers and bound Arrow batches.
 
-    Whole texts travel in Arrow batches, so a batch holds few rows; the limit
-    bounds a worker's memory also when many very long texts follow each other.
+    Whole texts travel in Arrow batches; the limit in bytes bounds a worker's
+    memory also when many very long texts follow each other.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

@@ -8,18 +8,23 @@ ids at the window borders into boundary records. Neither pass shuffles texts or
 
 from __future__ import annotations
 
+import os
 from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitlane.llm.common import prepare, stored
+from pitlane.llm.words import by_word
 
 #: Chunks a worker remembers; beyond, it starts anew (memory only, never results).
-MEMO = 800_000
+MEMO = 1_000_000
+#: Signs that no rule of the pre-tokenizer joins with letters before them.
+_SIGNS = ".,;:!?*&$%#"
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
@@ -27,40 +32,83 @@ class ChunkEncoder:
     """Ids of whole texts from a byte-level BPE file of the ``tokenizers`` library.
 
     A single space between two other characters that are not white space always
-    starts a new pre-token, so a text is encoded chunk by chunk there, each
-    distinct chunk once. Texts with other white space beside a space are encoded whole.
+    starts a new pre-token, so a text is encoded word by word there, each distinct
+    word once. Texts with other white space beside a space are encoded whole.
     """
 
     def __init__(self, file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(file)
         small = self.tokenizer.get_vocab_size() <= 1 << 16
         self.code, self.dtype = ("H", np.dtype("u2")) if small else ("I", np.dtype("u4"))
-        self.memo: dict[str, bytes | None] = {}
+        self.memo: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
+        self.newline = self.whole("\n")
 
-    def _whole(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as bytes of ``dtype``."""
-        if len(self.memo) > MEMO:
-            self.memo.clear()
+    def _batch(self, texts: list[str]) -> list[bytes]:
+        code = self.code
+        return [array(code, e.ids).tobytes()
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _sign(self, end: str) -> bytes:
+        if end not in self.signs:
+            self.signs[end] = self.whole(end)
+        return self.signs[end]
+
+    def lookup(self, words: list[str]) -> list[bytes | None]:
+        """Ids of each word after a space; None beside other white space.
+
+        Words with a line break or with signs at their end are put together from
+        parts, as both are pre-tokens of their own. Keys that start with a blank stand
+        for words at a line's start.
+        """
         memo = self.memo
-        split = [t.split(" ") for t in texts]
-        new = [c for c in {c for s in split for c in s[1:]} if c not in memo]
-        plain = [c for c in new if c and not c[0].isspace() and not c[-1].isspace()]
-        memo.update(dict.fromkeys(new))
-        done = self.tokenizer.encode_batch_fast([" " + c for c in plain], add_special_tokens=False)
-        memo.update((c, array(self.code, e.ids).tobytes()) for c, e in zip(plain, done))
-        out = []
-        for text, s in zip(texts, split):
-            ids = [memo[c] for c in s[1:]]
-            if None in ids or not s[0] or s[0][-1].isspace():
-                out.append(self._whole(text))
-            else:
-                out.append(self._whole(s[0]) + b"".join(ids))
+        if len(memo) > MEMO:
+            memo.clear()
+        parts: dict[str, list[tuple[str, str]]] = {}
+        need = set()
+        for w in [w for w in words if w not in memo]:
+            if not w or w[0].isspace() or w[-1].isspace():
+                continue
+            lines = [w]
+            if "\n" in w:
+                first, *rest = w.split("\n")
+                if not any(not x or x[0].isspace() or x[-1].isspace() for x in (first, *rest)):
+                    lines = [first, *(" " + x for x in rest)]
+            own = []
+            for x in lines:
+                stem = x.rstrip(_SIGNS)
+                if stem == x or not stem.lstrip(" ").isalpha():
+                    stem = x
+                own.append((stem, x[len(stem):]))
+                if stem not in memo:
+                    need.add(stem)
+            if len(own) > 1 or own[0][1]:
+                parts[w] = own
+        need = list(need)
+        memo.update(zip(need, self._batch([k[1:] if k[0] == " " else " " + k for k in need])))
+        sign, newline, joined = self._sign, self.newline, {}
+        for w, own in parts.items():
+            ids = newline.join([memo[s] + sign(e) if e else memo[s] for s, e in own])
+            (memo if len(own) == 1 else joined)[w] = ids  # lines seldom come again
+        out = list(map(memo.get, words))
+        if joined:
+            out = [joined.get(w) if i is None else i for w, i in zip(words, out)]
         return out
 
+    def first(self, words: list[str]) -> list[bytes | None]:
+        """Ids of each word at a text's start."""
+        done = self._batch(words)
+        return [None if not w or w[-1].isspace() else i for w, i in zip(words, done)]
+
+    def encode(self, texts: pa.Array, tail: bytes = b"") -> pa.Array:
+        """Ids of each text and then ``tail``, as bytes of ``dtype``."""
+        return by_word(texts, self.lookup, self.dtype, self.whole, self.first, tail=tail)
+
 
 def encoder(file: str) -> ChunkEncoder:
     """The worker's encoder of ``file``; it lives as long as the worker."""
@@ -77,13 +125,13 @@ def _tokenized(docs: DataFrame, file: str, end_id: int) -> DataFrame:
         end = np.array([end_id], enc.dtype).tobytes()
         part, at = TaskContext.get().partitionId(), 0
         for b in batches:
-            ids = [i + end for i in enc.encode([t or "" for t in b.column(1).to_pylist()])]
-            n = np.array([len(i) // enc.dtype.itemsize for i in ids], np.int64)
+            ids = enc.encode(b.column(1), end)
+            n = pc.binary_length(ids).to_numpy().astype(np.int64) // enc.dtype.itemsize
             start = at + np.cumsum(n) - n
             at += int(n.sum())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(np.full(len(n), part)), pa.array(start),
-                 pa.array(np.full(len(n), enc.dtype.itemsize)), pa.array(ids, pa.binary())],
+                 pa.array(np.full(len(n), enc.dtype.itemsize)), ids.cast(pa.binary())],
                 ["doc_id", "part", "at", "width", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitlane.llm.common import prepare
+from pitlane.llm.words import by_word
 
 SPACE = "▁"
 #: Words and pairs a worker remembers; beyond, it starts anew (memory only, never results).
@@ -47,6 +48,7 @@ class MergeEncoder:
         self.chars = frozenset(c for p in self.ids for c in p)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.memo: dict[str, bytes] = {}
+        self.newline = np.array([self.bytes[10]], "<u4").tobytes()
         self.match = ahocorasick.Automaton()
         self.shorter: dict[str, str | None] = {}
         for p in self.ids:
@@ -152,21 +154,37 @@ class MergeEncoder:
                 ids += [self.ids[p] for p in self.backtrack(s)]
         return np.array(ids, "<u4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text with begin and end id, as little-endian unsigned 32-bit."""
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        memo, out = self.memo, []
-        if text:
-            if SPACE not in text and "" not in (words := text.split(" ")):
-                for w in set(words):
-                    if w not in memo:
-                        memo[w] = self.unit(SPACE + w)
-                out = [memo[w] for w in words]
-            else:
-                out = [self.unit(u) for u in _UNITS.findall(SPACE + text.replace(" ", SPACE))]
-        ends = [np.array([i], "<u4").tobytes() for i in (self.sp.bos_id(), self.sp.eos_id())]
-        return ends[0] + b"".join(out) + ends[1]
+    def whole(self, text: str) -> bytes:
+        return b"".join(map(self.unit, _UNITS.findall(SPACE + text.replace(" ", SPACE))))
+
+    def lookup(self, words: list[str]) -> list[bytes | None]:
+        """Ids of each word after a space; None beside another space or a space sign."""
+        memo = self.memo
+        if len(memo) > MEMO:
+            memo.clear()
+        out: list[bytes | None] = []
+        for w in words:
+            ids = memo.get(w)
+            if ids is None and w and SPACE not in w:
+                if "\n" in w and "\n" not in self.chars:  # a line break parts the word: remember the lines
+                    first, *rest = w.split("\n")
+                    ids = self.newline.join([self.kept(first or " ", SPACE + first)]
+                                            + [self.kept(" " + x, x) if x else b"" for x in rest])
+                else:
+                    ids = memo[w] = self.unit(SPACE + w)
+            out.append(ids)
+        return out
+
+    def kept(self, key: str, unit: str) -> bytes:
+        ids = self.memo.get(key)
+        if ids is None:
+            ids = self.memo[key] = self.unit(unit)
+        return ids
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """Ids of whole texts with begin and end id, as little-endian unsigned 32-bit."""
+        head, tail = (np.array([i], "<u4").tobytes() for i in (self.sp.bos_id(), self.sp.eos_id()))
+        return by_word(texts, self.lookup, np.dtype("<u4"), self.whole, None, head, tail)
 
     def decode(self, ids: bytes) -> str:
         return self.sp.decode(np.frombuffer(ids, "<u4").tolist())
@@ -192,9 +210,9 @@ def coded(docs: DataFrame, file: str) -> DataFrame:
     @F.arrow_udf("struct<ids: binary, decoded: string>")
     def run(texts: pa.Array) -> pa.Array:
         enc = encoder(file)
-        ids = [enc.encode(t or "") for t in texts.to_pylist()]
+        ids = enc.encode(texts)
         return pa.StructArray.from_arrays(
-            [pa.array(ids, pa.binary()), pa.array([enc.decode(i) for i in ids], pa.string())],
+            [ids.cast(pa.binary()), pa.array([enc.decode(i) for i in ids.to_pylist()], pa.string())],
             names=["ids", "decoded"])
 
     keep = [c for c in docs.columns if c.lower() not in ("ids", "decoded")]
