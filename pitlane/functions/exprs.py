@@ -39,9 +39,16 @@ def to_double(c: ColumnLike) -> Column:
 
 
 def to_long(c: ColumnLike) -> Column:
-    """Nullable integer; non-numeric or fractional text -> NULL."""
-    d = to_double(c)
-    return F.when(d == F.floor(d), d.try_cast("long"))
+    """Nullable integer; non-numeric or fractional text -> NULL.
+
+    Ids above 2**53 stay exact: whole-number text is parsed as such, other forms
+    of whole numbers ('2.0', '1e3') as decimals; a double only tells whether
+    there is a fraction.
+    """
+    s = F.trim(_c(c).cast("string"))
+    d = to_double(s)
+    other = F.when(d == F.floor(d), s.try_cast("decimal(38,10)").try_cast("long"))
+    return F.when(plain_number_text(s), F.coalesce(s.try_cast("long"), other))
 
 
 def to_date(c: ColumnLike, fmt: str = "yyyy-MM-dd") -> Column:

@@ -1,10 +1,8 @@
 """Chart feeds and insights: the result tables behind the charts.
 
 Rendering is not part of the library; each feed is the DataFrame a chart is
-drawn from. Global scalars (a maximum, a median) are scalar subqueries: Spark
-runs them once and inlines the value, so no row is moved for them. Medians
-are exact; they run over rates rounded to a few decimals, so the value->count
-buffer is bounded by the number of distinct rates, not by the row count.
+drawn from. Global scalars (a maximum, a median) are one scalar subquery. Medians are exact; they run over rates rounded to a few decimals, so the
+value->count buffer is bounded by the number of distinct rates, not by the row count.
 Top-k uses ``orderBy(...).limit(k)`` (TakeOrderedAndProject: per-partition
 top-k, then a k-row merge) with the key as the last sort column for ties.
 """
@@ -21,8 +19,10 @@ WIN_PODIUM_HIGHLIGHT = ["Hamilton", "Verstappen", "Vettel", "Schumacher", "Alons
 DNF_HIGHLIGHT = ["Hamilton", "Verstappen", "Vettel", "Schumacher", "Alonso"]
 
 
-def _scalar(df: DataFrame, agg) -> F.Column:
-    return df.select(agg).scalar()
+def _scalars(df: DataFrame, **aggs: F.Column) -> dict[str, F.Column]:
+    """Global aggregates of ``df`` as scalar subqueries of one row."""
+    row = df.agg(F.struct(*[a.alias(n) for n, a in aggs.items()]).alias("s")).scalar()
+    return {n: row.getField(n) for n in aggs}
 
 
 def feed_top_drivers(drivers: DataFrame, k: int = 15) -> DataFrame:
@@ -42,13 +42,12 @@ def feed_win_vs_podium(drivers: DataFrame, min_races: int = 50, size_base: float
                        highlight: list[str] = WIN_PODIUM_HIGHLIGHT) -> DataFrame:
     """Win rate vs podium rate for drivers with enough starts."""
     q = _qualified(drivers, min_races)
-    max_n = _scalar(q, F.max("races_entered"))
+    g = _scalars(q, max_n=F.max("races_entered"), podium=F.median("podium_rate_pct"), win=F.median("win_rate_pct"))
     return q.select(
         "driver_id", "surname", "podium_rate_pct", "win_rate_pct", "points_per_race", "races_entered",
-        (F.col("races_entered") / max_n * F.lit(900.0) + F.lit(size_base)).alias("bubble_size"),
+        (F.col("races_entered") / g["max_n"] * F.lit(900.0) + F.lit(size_base)).alias("bubble_size"),
         F.col("surname").isin(highlight).alias("highlight"),
-        _scalar(q, F.median("podium_rate_pct")).alias("median_podium_rate"),
-        _scalar(q, F.median("win_rate_pct")).alias("median_win_rate"))
+        g["podium"].alias("median_podium_rate"), g["win"].alias("median_win_rate"))
 
 
 def feed_hhi_bands(seasons: DataFrame, competitive_max: float = 0.18, dominant_min: float = 0.35,
@@ -75,20 +74,23 @@ def feed_team_points(teams: DataFrame, k: int = 5) -> DataFrame:
     """Season points of the top-k teams, with each team's latest-season points."""
     top = team_totals(teams).orderBy(F.desc("total_points"), F.asc("name")).limit(k)
     rows = teams.join(top.select("name"), "name", "left_semi")
+    # Shown ordered by name and season; the label is the newest season's value.
     last = rows.groupBy("name").agg(F.max_by("points_total", "year").alias("latest_points"),
                                     F.max("year").alias("latest_year"))
-    return rows.select("name", "year", "points_total").join(last, "name", "left")
+    place = F.row_number().over(Window.partitionBy("name").orderBy("year"))
+    return (rows.select("name", "year", "points_total", place.cast("long").alias("nth_season"))
+            .join(last.withColumn("label", X.first_token("name")), "name", "left"))
 
 
 def feed_dnf_vs_points(drivers: DataFrame, min_races: int = 30,
                        highlight: list[str] = DNF_HIGHLIGHT) -> DataFrame:
     """DNF rate vs points per race with medians."""
     q = _qualified(drivers, min_races)
+    g = _scalars(q, dnf=F.median("dnf_rate_pct"), points=F.median("points_per_race"))
     return q.select(
         "driver_id", "surname", "nationality", "dnf_rate_pct", "points_per_race",
         F.col("surname").isin(highlight).alias("highlight"),
-        _scalar(q, F.median("dnf_rate_pct")).alias("median_dnf_rate"),
-        _scalar(q, F.median("points_per_race")).alias("median_points_per_race"))
+        g["dnf"].alias("median_dnf_rate"), g["points"].alias("median_points_per_race"))
 
 
 def feed_nationality_counts(drivers: DataFrame, min_races: int = 30, k: int = 7) -> DataFrame:
@@ -112,68 +114,107 @@ def feed_closest_titles(seasons: DataFrame, k: int = 5) -> DataFrame:
         .select("year", "wdc_driver", "wdc_margin_pts")
 
 
-def feed_reliability_matrix(teams: DataFrame, years: list[int], min_seasons: int = 5) -> DataFrame:
-    """Mean reliability by team (rows) and season (columns).
+def feed_reliability_matrix(teams: DataFrame, from_year: int = 2015, min_seasons: int = 5) -> DataFrame:
+    """Mean reliability by team (rows) and season from ``from_year`` on (columns).
 
-    The season list is passed to ``pivot`` so Spark does not run a distinct
-    job to discover it; rows with fewer than ``min_seasons`` values are dropped.
+    The seasons are the ones in the data (a calendar-sized list); teams with fewer
+    than ``min_seasons`` values are dropped. ``place`` is the row's place when sorted
+    by the newest season, best first.
     """
-    cols = [str(y) for y in years]
-    recent = teams.where(F.col("year").isin(years) & F.col("name").isNotNull())
+    recent = teams.where((F.col("year") >= from_year) & F.col("name").isNotNull())
+    years = [r["year"] for r in recent.select("year").distinct().orderBy("year").collect()]
+    cols = [f"y{y}" for y in years]
     pv = recent.groupBy("name").pivot("year", years).agg(F.avg("reliability_pct"))
-    pv = pv.na.drop(thresh=min_seasons, subset=cols)
-    return pv.select("name", *[F.col(c).alias(f"y{c}") for c in cols])
-
-
-def _top1(df: DataFrame, topic: str, order, season, subject, value) -> DataFrame:
-    return df.orderBy(*order).limit(1).select(
-        F.lit(topic).alias("topic"), F.lit(season).cast("long").alias("season") if season is None
-        else F.col(season).cast("long").alias("season"),
-        F.col(subject).cast("string").alias("subject"), F.col(value).cast("double").alias("value"))
+    pv = pv.select("name", *[F.col(str(y)).alias(f"y{y}") for y in years]).na.drop(thresh=min_seasons, subset=cols)
+    if not cols:
+        return pv.withColumn("place", F.lit(None).cast("long"))
+    # One row per team: the unpartitioned window is bounded by their number.
+    newest = Window.orderBy(F.desc_nulls_last(cols[-1]), F.asc("name"))
+    return pv.withColumn("place", F.row_number().over(newest).cast("long"))
 
 
 def insights(drivers: DataFrame, teams: DataFrame, seasons: DataFrame, focus_year: int) -> DataFrame:
-    """The narrative findings as (topic, season, subject, value) rows."""
-    parts = [
-        _top1(drivers, "greatest_driver", [F.desc("points_total"), F.asc("driver_id")], None,
-              "full_name", "points_total"),
-        _top1(seasons.where(F.col("dominance_hhi").isNotNull()), "most_dominant_season",
-              [F.desc("dominance_hhi"), F.asc("year")], "year", "wdc_driver", "dominance_hhi"),
-        _top1(seasons.where(F.col("wdc_margin_pts").isNotNull()), "closest_title_fight",
-              [F.asc("wdc_margin_pts"), F.asc("year")], "year", "wdc_driver", "wdc_margin_pts"),
-        _top1(team_totals(teams), "dominant_constructor", [F.desc("total_points"), F.asc("name")], None,
-              "name", "total_points"),
-        _top1(drivers, "most_race_wins", [F.desc("wins"), F.asc("driver_id")], None, "full_name", "wins"),
-        seasons.agg(F.min("total_races").alias("lo"), F.max("total_races").alias("hi")).select(
-            F.lit("calendar_growth").alias("topic"), F.lit(None).cast("long").alias("season"),
-            F.format_string("%d to %d races", "lo", "hi").alias("subject"),
-            (F.col("hi") - F.col("lo")).cast("double").alias("value")),
-        seasons.where(F.col("year") == focus_year).select(
-            F.lit("focus_season_hhi").alias("topic"), F.col("year").cast("long").alias("season"),
-            F.col("wdc_driver").alias("subject"), F.col("dominance_hhi").cast("double").alias("value")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The narrative findings as rows (topic, season, subject, value, detail).
+
+    ``detail`` is the rest of the finding in words: seasons, wins, win rate and podiums of
+    the greatest driver, the title margin of the most dominant season, the starts of
+    the driver with most wins. One aggregate per mart picks the rows (``max_by`` with
+    the id as tie-break); the picked rows are then stacked.
+    """
+    def best(value: str, *ties: str) -> F.Column:
+        return F.struct(F.col(value), *[-F.col(t) for t in ties])
+
+    d = drivers.agg(F.max_by(F.struct(*drivers.columns), best("points_total", "driver_id")).alias("top"),
+                    F.max_by(F.struct(*drivers.columns), best("wins", "driver_id")).alias("winner"))
+    s = seasons.agg(
+        F.max_by(F.struct(*seasons.columns), F.when(F.col("dominance_hhi").isNotNull(), best("dominance_hhi", "year"))).alias("dom"),
+        F.max_by(F.struct(*seasons.columns), F.when(F.col("wdc_margin_pts").isNotNull(),
+                                                    F.struct(-F.col("wdc_margin_pts"), -F.col("year")))).alias("tight"),
+        F.max_by(F.struct(*seasons.columns), F.when(F.col("year") == focus_year, F.col("year"))).alias("focus"),
+        F.min("total_races").alias("lo"), F.max("total_races").alias("hi"))
+    # Names tie-break ascending: the least name among the best totals.
+    t = team_totals(teams).orderBy(F.desc("total_points"), F.asc("name")).limit(1)
+
+    def rows(df: DataFrame, *findings: tuple) -> DataFrame:
+        found = [F.struct(F.lit(topic).alias("topic"), season.cast("long").alias("season"),
+                          subject.cast("string").alias("subject"), value.cast("double").alias("value"),
+                          detail.cast("string").alias("detail"))
+                 for topic, season, subject, value, detail in findings]
+        return df.select(F.inline(F.array(*found))).where("subject IS NOT NULL OR value IS NOT NULL")
+
+    none, c = F.lit(None), F.col
+    return (rows(d, ("greatest_driver", none, c("top.full_name"), c("top.points_total"),
+                     F.format_string("%d seasons, %d wins (%s%% of races), %d podiums", "top.seasons_active", "top.wins",
+                                     F.col("top.win_rate_pct").cast("decimal(10,4)").cast("string"), "top.podiums")),
+                 ("most_race_wins", none, c("winner.full_name"), c("winner.wins"),
+                  F.format_string("%d starts", "winner.races_entered")))
+            .unionByName(rows(s, ("most_dominant_season", c("dom.year"), c("dom.wdc_driver"), c("dom.dominance_hhi"),
+                                  F.concat(F.lit("margin "), c("dom.wdc_margin_pts").cast("decimal(18,1)").cast("string"))),
+                              ("closest_title_fight", c("tight.year"), c("tight.wdc_driver"), c("tight.wdc_margin_pts"), none),
+                              ("focus_season_hhi", c("focus.year"), c("focus.wdc_driver"), c("focus.dominance_hhi"), none),
+                              ("calendar_growth", none, F.format_string("%d to %d races", "lo", "hi"),
+                               c("hi") - c("lo"), none)))
+            .unionByName(rows(t, ("dominant_constructor", none, c("name"), c("total_points"), none))))
 
 
 def describe(df: DataFrame, cols: list[str], decimals: int = 2) -> DataFrame:
     """Count, mean, std, min, quartiles (exact, linear), max per column.
 
-    One aggregate over the frame; the per-column statistics are then stacked
-    into rows. Values are half-even rounded to ``decimals``.
+    Quartiles come from a count per distinct value: the values are grouped (with
+    map-side combine) and a running count per column finds the two neighbours that
+    each quartile lies between, so no task buffers a column's values. Results are
+    half-even rounded to ``decimals``.
+    """
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
+                                        for c in cols]))).where("x IS NOT NULL")
+    stats = long.groupBy("column").agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+                                       F.min("x").alias("min"), F.max("x").alias("max"))
+    quartiles = _quartiles(long)
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    out = names.join(stats, "column", "left").join(quartiles, "column", "left")
+    return out.select("column", F.coalesce("count", F.lit(0)).cast("long").alias("count"),
+                      *[X.round_half_even(s, decimals).alias(s) for s in ("mean", "std", "min", "q25", "q50", "q75", "max")])
+
+
+def _quartiles(values: DataFrame, bins: int = 1024) -> DataFrame:
+    """(column, q25, q50, q75) of (column, x), linear between neighbours, exact.
+
+    Distinct values are binned between the column's extremes; only the bins' counts
+    are summed in one place, then the values of the bins that quartiles fall into.
     """
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.percentile(x, F.lit(0.25)).alias(f"{c}__q25"), F.percentile(x, F.lit(0.5)).alias(f"{c}__q50"),
-                 F.percentile(x, F.lit(0.75)).alias(f"{c}__q75"), F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    stats = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
-    entries = ", ".join(f"'{c}', " + ", ".join(f"`{c}__{s}`" for s in stats) for c in cols)
-    long = wide.selectExpr(f"stack({len(cols)}, {entries}) AS (column, {', '.join(stats)})")
-    return long.select("column", F.col("count").cast("long").alias("count"),
-                       *[X.round_half_even(s, decimals).alias(s) for s in stats[1:]])
+    by_value = values.groupBy("column", "x").agg(F.count("*").alias("n"))
+    span = values.groupBy("column").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("total"))
+    at = F.least(F.lit(bins - 1), F.floor(F.try_divide(F.col("x") - F.col("lo"), F.col("hi") - F.col("lo")) * bins))
+    binned = by_value.join(span, "column").withColumn("bin", F.coalesce(at, F.lit(0)))
+    counts = binned.groupBy("column", "bin").agg(F.sum("n").alias("n"))
+    before = Window.partitionBy("column").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    inside = Window.partitionBy("column", "bin").orderBy("x")
+    placed = binned.join(counts, ["column", "bin"]).withColumn("last", F.col("before") + F.sum("n").over(inside))
+    out = []
+    for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+        rank = F.lit(p) * (F.col("total") - 1)  # counted from 0
+        low = F.min(F.when(F.col("last") > F.floor(rank), F.col("x")))
+        high = F.min(F.when(F.col("last") > F.ceil(rank), F.col("x")))
+        out.append((low + (high - low) * F.max(rank - F.floor(rank))).alias(name))
+    return placed.groupBy("column").agg(*out)

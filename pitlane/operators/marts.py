@@ -31,6 +31,7 @@ def _with_year(results: DataFrame, races: DataFrame) -> DataFrame:
 # M1 driver performance
 # ---------------------------------------------------------------------------
 
+# --- fixed values: column order of the driver mart
 DRIVER_MART_COLUMNS = [
     "driver_id", "full_name", "code", "nationality", "dob",
     "first_season", "last_season", "seasons_active",
@@ -74,13 +75,13 @@ def driver_avg_qualifying(qualifying: DataFrame) -> DataFrame:
 def driver_avg_pit_stop(pit_stops: DataFrame) -> DataFrame:
     """A10 + P12: mean normal (not long) stop per driver, 3 decimals.
 
-    Durations have millisecond resolution, so the mean is taken over whole
-    milliseconds: exact sums, the same result in any summation order.
+    Only the mean is rounded. The sum runs over decimals of a nanosecond, which
+    is the same in any order of rows; a sum of doubles is not.
     """
     normal = pit_stops.where((F.col("is_long_stop") == 0) & F.col("driver_id").isNotNull())
-    ms = F.rint(F.col("duration") * F.lit(1000.0)).cast("long")
+    total = F.sum(F.col("duration").cast("decimal(20,9)")).cast("double")
     return normal.groupBy("driver_id").agg(
-        X.round_half_even(F.avg(ms) / F.lit(1000.0), 3).alias("avg_pit_stop_s"))
+        X.round_half_even(X.safe_div(total, F.count("duration")), 3).alias("avg_pit_stop_s"))
 
 
 def build_driver_performance_mart(results: DataFrame, drivers: DataFrame, races: DataFrame,
@@ -121,6 +122,7 @@ def build_driver_performance_mart(results: DataFrame, drivers: DataFrame, races:
 # M2 team performance
 # ---------------------------------------------------------------------------
 
+# --- fixed values: column order of the team mart
 TEAM_MART_COLUMNS = [
     "constructor_id", "name", "nationality", "year",
     "races", "entries", "wins", "podiums", "poles", "dnf_count", "drivers_used",
@@ -178,29 +180,54 @@ def build_team_performance_mart(results: DataFrame, constructor_standings: DataF
 # M3 season trends
 # ---------------------------------------------------------------------------
 
+# --- fixed values: column order of the season mart
 SEASON_MART_COLUMNS = ["year", "total_races", "total_drivers", "total_constructors",
                        "wdc_driver", "wdc_points", "wcc_team", "wcc_points",
                        "dominance_hhi", "wdc_margin_pts"]
 
 
+def season_entries(results: DataFrame, races: DataFrame) -> DataFrame:
+    """One row per (season, driver, constructor) with its race wins: all that the
+    season counts and the win concentration need, from one pass over results."""
+    return (_with_year(results, races).where(F.col("year").isNotNull())
+            .groupBy("year", "driver_id", "constructor_id")
+            .agg(F.count_if(F.col("position_numeric") == 1).alias("wins")))
+
+
 def season_counts(results: DataFrame, races: DataFrame) -> DataFrame:
     """Races per season from the calendar, drivers and teams from results."""
-    cal = races.where(F.col("year").isNotNull()).groupBy("year") \
-        .agg(F.count_distinct("race_id").alias("total_races"))
-    people = _with_year(results, races).where(F.col("year").isNotNull()).groupBy("year").agg(
-        F.count_distinct("driver_id").alias("total_drivers"),
-        F.count_distinct("constructor_id").alias("total_constructors"))
-    return cal.join(people, "year", "left")
+    people = season_people(season_entries(results, races)).drop("dominance_hhi")
+    return season_calendar(races).join(people, "year", "left")
 
 
 def season_hhi(results: DataFrame, races: DataFrame) -> DataFrame:
     """Herfindahl index of race wins per season, 4 decimals."""
-    winners = _with_year(results, races).where(
-        (F.col("position_numeric") == 1) & F.col("year").isNotNull() & F.col("driver_id").isNotNull())
-    w = winners.groupBy("year", "driver_id").agg(F.count(F.lit(1)).alias("w"))
-    s = w.groupBy("year").agg(F.sum(F.col("w") * F.col("w")).alias("w2"), F.sum("w").alias("wt"))
-    hhi = F.col("w2").cast("double") / (F.col("wt").cast("double") * F.col("wt").cast("double"))
-    return s.select("year", X.round_half_even(hhi, 4).alias("dominance_hhi"))
+    hhi = season_people(season_entries(results, races)).select("year", "dominance_hhi")
+    return hhi.where(F.col("dominance_hhi").isNotNull())
+
+
+def season_calendar(races: DataFrame) -> DataFrame:
+    """Races per season."""
+    return races.where(F.col("year").isNotNull()).groupBy("year") \
+        .agg(F.count_distinct("race_id").alias("total_races"))
+
+
+def season_people(entries: DataFrame) -> DataFrame:
+    """Per season: drivers, teams and win concentration, from one pass over ``entries``.
+
+    Two grouping sets, by driver and by team, are summed up per season; the index is
+    sum(w^2) / (sum w)^2 over the drivers' wins, NULL in a season without a winner.
+    """
+    both = (entries.groupingSets([["year", "driver_id"], ["year", "constructor_id"]],
+                                 "year", "driver_id", "constructor_id")
+            .agg(F.sum("wins").alias("w"), F.grouping("driver_id").alias("by_team")))
+    w = F.when((F.col("by_team") == 0) & F.col("driver_id").isNotNull(), F.col("w")).cast("double")
+    out = both.groupBy("year").agg(
+        F.count(F.when(F.col("by_team") == 0, F.col("driver_id"))).alias("total_drivers"),
+        F.count(F.when(F.col("by_team") == 1, F.col("constructor_id"))).alias("total_constructors"),
+        F.sum(w * w).alias("w2"), F.sum(w).alias("wt"))
+    hhi = X.round_half_even(X.safe_div("w2", F.col("wt") * F.col("wt")), 4)
+    return out.select("year", "total_drivers", "total_constructors", hhi.alias("dominance_hhi"))
 
 
 def season_champions(driver_standings: DataFrame, constructor_standings: DataFrame,
@@ -233,9 +260,9 @@ def build_season_trends_mart(results: DataFrame, driver_standings: DataFrame, ra
                              drivers: DataFrame, constructors: DataFrame,
                              constructor_standings: DataFrame) -> DataFrame:
     """M3: one row per season with champions, margin and win concentration."""
-    counts = season_counts(results, races)
     champs = season_champions(driver_standings, constructor_standings, races, drivers, constructors)
-    out = counts.join(champs, "year", "left").join(season_hhi(results, races), "year", "left")
+    out = (season_calendar(races).join(season_people(season_entries(results, races)), "year", "left")
+           .join(champs, "year", "left"))
     return select_existing(out, SEASON_MART_COLUMNS)
 
 
@@ -243,6 +270,7 @@ def build_season_trends_mart(results: DataFrame, driver_standings: DataFrame, ra
 # M4 wide fact, M5 all marts
 # ---------------------------------------------------------------------------
 
+# --- fixed values: column order of the wide fact
 FACT_COLUMNS = [
     "result_id", "race_id", "season_round", "year", "round", "name", "date", "circuit_id",
     "driver_id", "constructor_id",
@@ -265,6 +293,20 @@ def build_fact_race_results(results: DataFrame, races: DataFrame, qualifying: Da
     return select_existing(res, FACT_COLUMNS)
 
 
+# --- sort orders of the marts, applied where they are shown (K1-K3) ----------
+MART_ORDER = {
+    "driver_performance_mart": [F.desc_nulls_last, "points_total", "driver_id"],
+    "team_performance_mart": [F.asc_nulls_last, "year", "wcc_position", "constructor_id"],
+    "season_trends_mart": [F.asc_nulls_last, "year"],
+}
+
+
+def ordered(mart: DataFrame, name: str) -> DataFrame:
+    """K1-K3: the mart in presentation order; ids break ties. Stored marts stay unsorted."""
+    direction, first, *rest = MART_ORDER[name]
+    return mart.orderBy(direction(first), *[F.asc_nulls_last(c) for c in rest])
+
+
 def build_all_marts(cleaned: dict[str, DataFrame], min_races: int = 5) -> dict[str, DataFrame]:
     """M5: the four marts; required inputs are checked up front."""
     need = ["results", "drivers", "races", "qualifying", "pit_stops",

@@ -30,30 +30,38 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _by_model(tests: list[tuple[str, str]]) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for model, col in tests:
+        out.setdefault(model, []).append(col)
+    return out
+
+
 def unique_violations(models: dict[str, DataFrame], tests=UNIQUE_TESTS) -> DataFrame:
     """Q1: per test, keys seen more than once (NULL keys are not checked).
 
-    One aggregate per tested column: group by the key (partial counts are
-    combined map-side), then count the keys with more than one row.
+    The tested columns of a model are stacked and counted in one pass per model;
+    partial counts are combined map-side, so a key that repeats often costs a row
+    per task.
     """
     parts = []
-    for model, col in tests:
-        dup = models[model].where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")) \
-            .where(F.col("n") > 1)
-        parts.append(dup.agg(F.count(F.lit(1)).alias("duplicate_keys"),
-                             F.coalesce(F.sum("n"), F.lit(0)).alias("duplicate_rows"))
-                     .select(F.lit(model).alias("model"), F.lit(col).alias("column"),
-                             "duplicate_keys", "duplicate_rows"))
+    for model, cols in _by_model(tests).items():
+        stacked = models[model].select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("key")) for c in cols])))
+        counts = stacked.where(F.col("key").isNotNull()).groupBy("column", "key").agg(F.count(F.lit(1)).alias("n"))
+        bad = counts.groupBy("column").agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"),
+                                           F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))
+                                           .alias("duplicate_rows"))
+        named = models[model].sparkSession.createDataFrame([(c,) for c in cols], "column string")
+        parts.append(named.join(bad, "column", "left").na.fill(0)
+                     .select(F.lit(model).alias("model"), "column", "duplicate_keys", "duplicate_rows"))
     return _union(parts)
 
 
 def not_null_violations(models: dict[str, DataFrame], tests=NOT_NULL_TESTS) -> DataFrame:
     """Q2: NULL counts per tested column, one scan per model."""
-    by_model: dict[str, list[str]] = {}
-    for model, col in tests:
-        by_model.setdefault(model, []).append(col)
     parts = []
-    for model, cols in by_model.items():
+    for model, cols in _by_model(tests).items():
         counts = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
         stack = ", ".join(f"'{c}', `{c}`" for c in cols)
         parts.append(counts.selectExpr(f"stack({len(cols)}, {stack}) AS (column, null_rows)")
@@ -62,6 +70,6 @@ def not_null_violations(models: dict[str, DataFrame], tests=NOT_NULL_TESTS) -> D
 
 
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows per table as one report frame (each count is a scan; opt in)."""
+    """Rows per table as one report frame (each count is a scan)."""
     return _union([df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows")
                    for n, df in tables.items()])

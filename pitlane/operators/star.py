@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from pitlane.functions import exprs as X
 from pitlane.operators.clean import remove_duplicates, select_existing
 from pitlane.operators.marts import qualifying_positions
+from pitlane.operators.quality import table_row_counts
 
+# --- fixed values: columns and key of each dimension, columns of the fact
 DIM_COLUMNS = {
     "dim_drivers": (["driver_id", "driver_ref", "number", "code", "forename", "surname",
                      "full_name", "dob", "nationality"], "driver_id"),
@@ -31,7 +33,9 @@ def build_dimension(df: DataFrame, name: str) -> DataFrame:
 
 
 def build_dim_date(races: DataFrame) -> DataFrame:
-    """D-5: one row per distinct race date with calendar attributes."""
+    """D-5: one row per distinct race date with calendar attributes.
+
+    Unsorted, as a table; ``orderBy("date")`` gives the calendar's order (K13)."""
     d = races.select("date").where(F.col("date").isNotNull()).distinct()
     return d.select(
         "date",
@@ -64,16 +68,6 @@ def build_star(cleaned: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def star_row_counts(star: dict[str, DataFrame]) -> DataFrame:
-    """(table, rows) for every star table, as one union of counts."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows")
-             for n, df in star.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def write_star_schema(spark: SparkSession, star: dict[str, DataFrame], database: str,
                       location: str | None = None) -> DataFrame:
     """Replace each star table (drop + create as select), then count rows.
@@ -85,4 +79,4 @@ def write_star_schema(spark: SparkSession, star: dict[str, DataFrame], database:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
     for name, df in star.items():
         df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
-    return star_row_counts({n: spark.table(f"{database}.{n}") for n in star})
+    return table_row_counts({n: spark.table(f"{database}.{n}") for n in star})

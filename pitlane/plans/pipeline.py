@@ -8,18 +8,20 @@ compact typed Parquet instead of re-parsing raw text.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pitlane.operators.clean import clean_all_tables
 from pitlane.operators.marts import build_all_marts
-from pitlane.sources.ingest import filter_modern_era, ingest_all_tables, ingest_frames
+from pitlane.operators.quality import table_row_counts
+from pitlane.sources.ingest import filter_modern_era, ingest_all_tables, ingest_frames, save_tables
 from pitlane.sources.io import write_partitioned_fact, write_table
 
 DEFAULTS = {"start_year": 2000, "end_year": 2024, "output_format": "parquet", "validate_schema": True,
-            "min_races": 5}
+            "min_races": 5, "era_snapshot_dir": None}
 
 
 def stage_ingest(spark: SparkSession, raw: str | Mapping[str, DataFrame], cfg: dict) -> dict[str, DataFrame]:
@@ -31,43 +33,58 @@ def stage_ingest(spark: SparkSession, raw: str | Mapping[str, DataFrame], cfg: d
     return filter_modern_era(tables, cfg["start_year"], cfg["end_year"])
 
 
+def written(spark: SparkSession, writes: dict[str, Callable[[], str]]) -> dict[str, str]:
+    """Run independent table writes a few at a time; small ones then share the cluster.
+
+    The first error is raised after the running writes have ended.
+    """
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        jobs = {name: pool.submit(write) for name, write in writes.items()}
+        return {name: job.result() for name, job in jobs.items()}
+
+
 def stage_clean(spark: SparkSession, tables: dict[str, DataFrame], processed_dir: str) -> dict[str, DataFrame]:
     """Clean every table, write it, and hand the written tables to the next stage."""
     cleaned = clean_all_tables(tables)
-    out = {}
-    for name, df in cleaned.items():
-        path = write_table(df, f"{processed_dir.rstrip('/')}/{name}_clean")
-        out[name] = spark.read.parquet(path)
-    return out
+    base = processed_dir.rstrip("/")
+    paths = written(spark, {n: partial(write_table, df, f"{base}/{n}_clean") for n, df in cleaned.items()})
+    return {n: spark.read.schema(cleaned[n].schema).parquet(p) for n, p in paths.items()}
 
 
-def stage_transform(marts: dict[str, DataFrame], output_dir: str, fmt: str) -> dict[str, str]:
+def stage_transform(spark: SparkSession, marts: dict[str, DataFrame], output_dir: str, fmt: str) -> dict[str, str]:
     """Write the marts; the fact table is partitioned by season (Parquet only)."""
-    paths = {}
+    writes = {}
     for name, df in marts.items():
         base = f"{output_dir.rstrip('/')}/{name}"
         if fmt == "parquet" and name == "fact_race_results" and "year" in df.columns:
-            paths[name] = write_partitioned_fact(df, base)
+            writes[name] = partial(write_partitioned_fact, df, f"{base}.parquet")
         else:
-            paths[name] = write_table(df, f"{base}.{fmt}", fmt)
-    return paths
+            writes[name] = partial(write_table, df, f"{base}.{fmt}", fmt)
+    return written(spark, writes)
 
 
 def run_pipeline(spark: SparkSession, raw: str | Mapping[str, DataFrame], processed_dir: str,
                  output_dir: str, **overrides) -> DataFrame:
-    """Q3: all stages in order, failing fast; returns (table, rows) of the written marts."""
+    """Q3: all stages in order, failing fast; returns (table, rows) of the written marts.
+
+    ``era_snapshot_dir`` also keeps the era-filtered raw tables (S5); the cleaners
+    then read that snapshot.
+    """
     cfg = {**DEFAULTS, **overrides}
     tables = stage_ingest(spark, raw, cfg)
+    if cfg["era_snapshot_dir"]:
+        base = cfg["era_snapshot_dir"]
+        paths = written(spark, {n: partial(save_one, df, base, n) for n, df in tables.items()})
+        tables = {n: spark.read.schema(tables[n].schema).parquet(p) for n, p in paths.items()}
     cleaned = stage_clean(spark, tables, processed_dir)
     marts = build_all_marts(cleaned, min_races=cfg["min_races"])
-    paths = stage_transform(marts, output_dir, cfg["output_format"])
+    paths = stage_transform(spark, marts, output_dir, cfg["output_format"])
     fmt = cfg["output_format"]
-    parts = []
-    for name, path in paths.items():
-        df = spark.read.parquet(path) if fmt == "parquet" else \
-            spark.read.option("header", True).csv(path)
-        parts.append(df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows"))
-    report = parts[0]
-    for p in parts[1:]:
-        report = report.unionByName(p)
-    return report
+    return table_row_counts({name: spark.read.parquet(path) if fmt == "parquet" else
+                             spark.read.option("header", True).option("escape", '"').csv(path)
+                             for name, path in paths.items()})
+
+
+def save_one(df: DataFrame, base: str, name: str) -> str:
+    """One table of the era snapshot."""
+    return save_tables({name: df}, base, suffix="_era")[name]

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitlane.operators import clean as C
 from pitlane.plans import standin_catalog as cat
 from pitlane.sources import ingest as I
-from pitlane.sources.standin import STANDIN_ERA, raw_tables  # noqa: F401
+from pitlane.sources.contracts import EXPECTED_COLUMNS
+from pitlane.sources.standin import STANDIN_ERA
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -42,18 +43,46 @@ def era_semi_join_results(spark, sf_dir):
     return I.era_filter_table(ing["results"], "results", kept).select("resultId", "raceId", "driverId", "position", "points")
 
 
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 @register("ingest_tagged")
 def ingest_tagged(spark, sf_dir):
-    return cat.ingested(spark, sf_dir, tag=True)["status"]
+    """Every table tagged; rows per table and source tag, and whether each has an ingest time."""
+    tagged = cat.ingested(spark, sf_dir, tag=True)
+    return _union([tagged[n].groupBy("_source").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("_ingested_at").alias("timed_rows"))
+        .select(F.lit(n).alias("table"), F.col("_source").alias("source"), "rows", "timed_rows")
+        for n in tagged])
+
+
+@register("schema_contract")
+def schema_contract(spark, sf_dir):
+    """Required columns per raw table, how many it has, and its rows."""
+    from pitlane.sources.contracts import missing_columns
+    r = cat.raw(spark, sf_dir)
+    return _union([r[n].agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(n).alias("table"), F.lit(len(cols)).cast("long").alias("required"),
+        F.lit(len(missing_columns(r[n], n))).cast("long").alias("missing"), "rows")
+        for n, cols in EXPECTED_COLUMNS.items()])
 
 
 @register("ingest_report")
 def ingest_report(spark, sf_dir):
-    """S3: every table is checked; one with a missing column is reported, not fatal."""
-    frames = raw_tables(spark, sf_dir)
-    frames["results"] = frames["results"].drop("points")
-    _, report = I.ingest_frames(frames, validate=True, tag=False)
-    return spark.createDataFrame(report, "table string, status string, error string")
+    """S3: every table is checked; one with a missing column is reported and the rest go on.
+
+    Rows are those that were loaded; the results extract here lacks its points.
+    """
+    r = cat.raw(spark, sf_dir)
+    frames = {n: r[n].drop("points") if n == "results" else r[n] for n in r}
+    tables, report = I.ingest_frames(frames, validate=True, tag=False)
+    status = {name: state for name, state, _ in report}
+    return _union([(tables[n] if n in tables else frames[n].where("false")).agg(F.count(F.lit(1)).alias("rows"))
+                   .select(F.lit(n).alias("table"), F.lit(status[n]).alias("status"), "rows") for n in frames])
 
 
 # --- cleaning ----------------------------------------------------------------
@@ -82,16 +111,21 @@ def drop_sparse_columns(spark, sf_dir):
     return C.drop_columns_containing(raw, C.RACE_SPARSE_KEYWORDS).drop("_seq")
 
 
+def _typed_results(spark, sf_dir):
+    raw = C.standardise_column_names(cat.ingested(spark, sf_dir, tag=False)["results"])
+    return C.cast_columns(raw, {"result_id": "long"})
+
+
 @register("dedupe_keep_first")
 def dedupe_keep_first(spark, sf_dir):
-    raw = C.standardise_column_names(cat.ingested(spark, sf_dir, tag=False)["results"])
-    return C.remove_duplicates(raw, ["result_id"]).select("result_id", "race_id", "driver_id", "position", "points")
+    """One id in several spellings is one key; the first row in source order stays."""
+    return C.remove_duplicates(_typed_results(spark, sf_dir), ["result_id"]).select(
+        "result_id", "race_id", "driver_id", "position", "points")
 
 
 @register("dedupe_report")
 def dedupe_report(spark, sf_dir):
-    raw = C.standardise_column_names(cat.ingested(spark, sf_dir, tag=False)["results"])
-    return C.duplicate_report(raw, ["result_id"], "results")
+    return C.duplicate_report(_typed_results(spark, sf_dir), ["result_id"], "results")
 
 
 # --- expressions -------------------------------------------------------------
@@ -103,7 +137,7 @@ def safe_div_pct(spark, sf_dir):
     r = _clean(spark, sf_dir, "results")
     g = r.groupBy("constructor_id").agg(F.count_if(F.col("position_numeric") == 1).alias("wins"),
                                         F.count_if(F.col("finished") == 1).alias("finishes"),
-                                        F.count_if(F.col("grid") > 99).alias("none"))
+                                        F.count_if((F.col("grid") == 7) & (F.col("race_id") % 100 == 0)).alias("none"))
     return g.select("constructor_id", X.safe_div("wins", "none").alias("per_none"),
                     X.pct("wins", "finishes").alias("win_pct"), X.pct("wins", "finishes", 1).alias("win_pct_1"))
 
@@ -129,13 +163,11 @@ def best_of_three(spark, sf_dir):
 # --- SQL layer -----------------------------------------------------------------
 
 def _sql_mart(spark, sf_dir, name):
-    from pitlane.plans.sqlmodels import build_sql_marts
-    return build_sql_marts(spark, cat.cleaned(spark, sf_dir), marts=[name])[name]
+    return cat.models(spark, sf_dir)[name]
 
 
 def _staging(spark, sf_dir, view):
-    from pitlane.plans.sqlmodels import register_staging
-    return register_staging(spark, cat.cleaned(spark, sf_dir), views=[view])[view]
+    return cat.models(spark, sf_dir)[view]
 
 
 for _v in ("stg_results", "stg_drivers", "stg_constructors", "stg_races", "stg_circuits",
@@ -175,19 +207,40 @@ def driver_avg_pit_stop(spark, sf_dir):
 
 
 def _marts(spark, sf_dir):
-    """The four DataFrame marts, each planned only when used."""
-    from pitlane.operators import marts as M
-    t = _t(spark, sf_dir)
-    return cat.LazyFrames({
-        "driver_performance_mart": lambda: M.build_driver_performance_mart(
-            t["results"], t["drivers"], t["races"], t["qualifying"], t["pit_stops"], min_races=5),
-        "team_performance_mart": lambda: M.build_team_performance_mart(
-            t["results"], t["constructor_standings"], t["constructors"], t["races"]),
-        "season_trends_mart": lambda: M.build_season_trends_mart(
-            t["results"], t["driver_standings"], t["races"], t["drivers"], t["constructors"],
-            t["constructor_standings"]),
-        "fact_race_results": lambda: M.build_fact_race_results(t["results"], t["races"], t["qualifying"]),
-    })
+    """The four DataFrame marts over the cleaned tables."""
+    return cat.marts(spark, sf_dir)
+
+
+def _places(mart, value, key):
+    """Place of each row by ``value`` (largest first), then ``key``, without a one-task sort."""
+    from pitlane.operators.ranking import standings_position
+    one = mart.select(F.lit(1).alias("all"), key, value)
+    return standings_position(one, ["all"], value, key, out="place").select(key, value, "place")
+
+
+@register("mart_order_drivers")
+def mart_order_drivers(spark, sf_dir):
+    """K1."""
+    m = cat.stored_marts(spark, sf_dir)["driver_performance_mart"]
+    return _places(m.where("driver_id IS NOT NULL"), "points_total", "driver_id")
+
+
+@register("mart_order_teams")
+def mart_order_teams(spark, sf_dir):
+    """K2, K4: each season's teams by championship position, and by points."""
+    m = cat.stored_marts(spark, sf_dir)["team_performance_mart"]
+    in_season = Window.partitionBy("year")
+    return m.select(
+        "constructor_id", "year",
+        F.row_number().over(in_season.orderBy(F.asc_nulls_last("wcc_position"), "constructor_id")).cast("long").alias("place"),
+        F.row_number().over(in_season.orderBy(F.desc_nulls_last("points_total"), "constructor_id")).cast("long")
+        .alias("place_by_points"))
+
+
+@register("mart_order_circuits")
+def mart_order_circuits(spark, sf_dir):
+    """K5."""
+    return _places(cat.models(spark, sf_dir)["mart_circuit_stats"], "races_held", "circuit_id")
 
 
 REGISTRY["driver_performance_mart"] = lambda spark, sf_dir: _marts(spark, sf_dir)["driver_performance_mart"]
@@ -244,10 +297,42 @@ for _d in ("dim_drivers", "dim_constructors", "dim_circuits", "dim_races", "dim_
 REGISTRY["star_fact"] = lambda spark, sf_dir: _star(spark, sf_dir)["fact_race_results"]
 
 
+def _star_written(spark, sf_dir, names=None):
+    """S13/D-7: the star schema replaced in a database of its own; (database, row counts)."""
+    import uuid
+
+    from pitlane.operators import star as St
+    from pitlane.session import scratch_path
+    database = f"star_{uuid.uuid4().hex[:10]}"
+    star = St.build_star(_t(spark, sf_dir))
+    picked = {n: star[n] for n in names or star}
+    return database, St.write_star_schema(spark, picked, database, scratch_path(spark, "warehouse"))
+
+
 @register("star_row_counts")
 def star_row_counts(spark, sf_dir):
-    from pitlane.operators.star import star_row_counts as counts
-    return counts(dict(_star(spark, sf_dir)))
+    """D-7/S13/S14: every star table is written, then counted from what was written."""
+    return _star_written(spark, sf_dir)[1]
+
+
+@register("star_warehouse_roundtrip")
+def star_warehouse_roundtrip(spark, sf_dir):
+    """A dimension with dates, written twice and read back as a table."""
+    from pitlane.operators import star as St
+    database, _ = _star_written(spark, sf_dir, ["dim_date"])
+    St.write_star_schema(spark, {"dim_date": St.build_dim_date(_t(spark, sf_dir)["races"])}, database)
+    return spark.table(f"{database}.dim_date")
+
+
+@register("sql_mart_table")
+def sql_mart_table(spark, sf_dir):
+    """The SQL marts saved as tables; the season overview read back."""
+    import uuid
+
+    from pitlane.plans.sqlmodels import save_sql_marts
+    database = f"models_{uuid.uuid4().hex[:10]}"
+    save_sql_marts(spark, cat.models(spark, sf_dir), database)
+    return spark.table(f"{database}.mart_season_overview")
 
 
 # --- feeds ---------------------------------------------------------------------------
@@ -255,68 +340,68 @@ def star_row_counts(spark, sf_dir):
 # Thresholds for the stand-in data: no stand-in driver reaches 50 or 30 starts
 # at small scale, so the feeds use 15 and 12 (the library defaults stay 50/30).
 FEED_MIN_50, FEED_MIN_30 = 15, 12
-RELIABILITY_YEARS = list(range(1997, 2002))
+RELIABILITY_FROM = 1997
 FOCUS_YEAR = 2000
 
 
 @register("feed_top15")
 def feed_top15(spark, sf_dir):
     from pitlane.operators import feeds as Fd
-    return Fd.feed_top_drivers(_marts(spark, sf_dir)["driver_performance_mart"], 15)
+    return Fd.feed_top_drivers(cat.stored_marts(spark, sf_dir)["driver_performance_mart"], 15)
 
 
 @register("feed_win_vs_podium")
 def feed_win_vs_podium(spark, sf_dir):
     from pitlane.operators import feeds as Fd
-    return Fd.feed_win_vs_podium(_marts(spark, sf_dir)["driver_performance_mart"], FEED_MIN_50)
+    return Fd.feed_win_vs_podium(cat.stored_marts(spark, sf_dir)["driver_performance_mart"], FEED_MIN_50)
 
 
 @register("feed_hhi_bands")
 def feed_hhi_bands(spark, sf_dir):
     from pitlane.operators import feeds as Fd
-    return Fd.feed_hhi_bands(_marts(spark, sf_dir)["season_trends_mart"])
+    return Fd.feed_hhi_bands(cat.stored_marts(spark, sf_dir)["season_trends_mart"])
 
 
 @register("feed_team_points")
 def feed_team_points(spark, sf_dir):
     from pitlane.operators import feeds as Fd
-    return Fd.feed_team_points(_marts(spark, sf_dir)["team_performance_mart"])
+    return Fd.feed_team_points(cat.stored_marts(spark, sf_dir)["team_performance_mart"])
 
 
 @register("feed_dnf_vs_points")
 def feed_dnf_vs_points(spark, sf_dir):
     from pitlane.operators import feeds as Fd
-    return Fd.feed_dnf_vs_points(_marts(spark, sf_dir)["driver_performance_mart"], FEED_MIN_30)
+    return Fd.feed_dnf_vs_points(cat.stored_marts(spark, sf_dir)["driver_performance_mart"], FEED_MIN_30)
 
 
 @register("feed_nationality_top7")
 def feed_nationality_top7(spark, sf_dir):
     from pitlane.operators import feeds as Fd
-    return Fd.feed_nationality_counts(_marts(spark, sf_dir)["driver_performance_mart"], FEED_MIN_30)
+    return Fd.feed_nationality_counts(cat.stored_marts(spark, sf_dir)["driver_performance_mart"], FEED_MIN_30)
 
 
 @register("feed_wdc_margin")
 def feed_wdc_margin(spark, sf_dir):
     from pitlane.operators import feeds as Fd
-    return Fd.feed_wdc_margin(_marts(spark, sf_dir)["season_trends_mart"])
+    return Fd.feed_wdc_margin(cat.stored_marts(spark, sf_dir)["season_trends_mart"])
 
 
 @register("feed_closest_titles")
 def feed_closest_titles(spark, sf_dir):
     from pitlane.operators import feeds as Fd
-    return Fd.feed_closest_titles(_marts(spark, sf_dir)["season_trends_mart"])
+    return Fd.feed_closest_titles(cat.stored_marts(spark, sf_dir)["season_trends_mart"])
 
 
 @register("feed_reliability_matrix")
 def feed_reliability_matrix(spark, sf_dir):
     from pitlane.operators import feeds as Fd
-    return Fd.feed_reliability_matrix(_marts(spark, sf_dir)["team_performance_mart"], RELIABILITY_YEARS)
+    return Fd.feed_reliability_matrix(cat.stored_marts(spark, sf_dir)["team_performance_mart"], RELIABILITY_FROM)
 
 
 @register("insights")
 def insights_q(spark, sf_dir):
     from pitlane.operators import feeds as Fd
-    m = _marts(spark, sf_dir)
+    m = cat.stored_marts(spark, sf_dir)
     return Fd.insights(m["driver_performance_mart"], m["team_performance_mart"], m["season_trends_mart"],
                        FOCUS_YEAR)
 
@@ -329,35 +414,32 @@ SEASON_DESCRIBE = ["total_races", "total_drivers", "wdc_points", "dominance_hhi"
 @register("describe_drivers")
 def describe_drivers(spark, sf_dir):
     from pitlane.operators import feeds as Fd
-    return Fd.describe(_marts(spark, sf_dir)["driver_performance_mart"], DRIVER_DESCRIBE)
+    return Fd.describe(cat.stored_marts(spark, sf_dir)["driver_performance_mart"], DRIVER_DESCRIBE)
 
 
 @register("describe_seasons")
 def describe_seasons(spark, sf_dir):
     from pitlane.operators import feeds as Fd
-    return Fd.describe(_marts(spark, sf_dir)["season_trends_mart"], SEASON_DESCRIBE)
+    return Fd.describe(cat.stored_marts(spark, sf_dir)["season_trends_mart"], SEASON_DESCRIBE)
 
 
 # --- data checks -------------------------------------------------------------------
 
-def _models(spark, sf_dir):
-    from pitlane.plans.sqlmodels import build_sql_marts, register_staging
-    t = _t(spark, sf_dir)
-    models = dict(register_staging(spark, t))
-    models.update(build_sql_marts(spark, t))
-    return models
+# Columns that are no keys, beside the models' own tests: these do repeat.
+REPEATING = [("stg_drivers", "code"), ("stg_pit_stops", "driver_id"), ("mart_team_performance", "constructor_id")]
 
 
 @register("unique_violations")
 def unique_violations(spark, sf_dir):
+    from pitlane.operators.quality import UNIQUE_TESTS
     from pitlane.operators.quality import unique_violations as uv
-    return uv(_models(spark, sf_dir))
+    return uv(cat.models(spark, sf_dir, keep=True), UNIQUE_TESTS + REPEATING)
 
 
 @register("not_null_violations")
 def not_null_violations(spark, sf_dir):
     from pitlane.operators.quality import not_null_violations as nn
-    return nn(_models(spark, sf_dir))
+    return nn(cat.models(spark, sf_dir, keep=True))
 
 
 # --- stage outputs and the whole pipeline ------------------------------------------------
@@ -367,7 +449,7 @@ def fact_partitioned_roundtrip(spark, sf_dir):
     """Write the fact partitioned by season twice, read it back once."""
     from pitlane.session import scratch_path
     from pitlane.sources.io import write_partitioned_fact
-    fact = _marts(spark, sf_dir)["fact_race_results"]
+    fact = cat.stored_marts(spark, sf_dir)["fact_race_results"]
     path = scratch_path(spark, "fact_race_results")
     write_partitioned_fact(fact, path)
     write_partitioned_fact(fact, path)  # a re-run replaces seasons, it does not append
@@ -377,39 +459,65 @@ def fact_partitioned_roundtrip(spark, sf_dir):
 
 @register("csv_parquet_roundtrip")
 def csv_parquet_roundtrip(spark, sf_dir):
-    """A mart written as CSV and read back with its declared schema."""
+    """Marts written as CSV (with dates) and as Parquet; the loader takes each where it is."""
     from pitlane.session import scratch_path
     from pitlane.sources.io import load_mart, write_table
-    team = _marts(spark, sf_dir)["team_performance_mart"]
+    m = cat.stored_marts(spark, sf_dir)
+    team, driver = m["team_performance_mart"], m["driver_performance_mart"]
     base = scratch_path(spark, "marts")
     write_table(team, f"{base}/team_performance_mart.csv", "csv")
-    return load_mart(spark, base, "team_performance_mart", schema=team.schema)
+    write_table(team.where("false"), f"{base}/driver_performance_mart.csv", "csv")  # Parquet goes first
+    write_table(driver, f"{base}/driver_performance_mart.parquet")
+    write_table(driver, f"{base}/drivers_as_csv.csv", "csv")
+    back = load_mart(spark, base, "team_performance_mart", schema=team.schema)
+    parquet = load_mart(spark, base, "driver_performance_mart").select("driver_id", "points_total")
+    dated = load_mart(spark, base, "drivers_as_csv", schema=driver.schema).select("driver_id", "dob")
+    teams = back.select(F.lit("team").alias("mart"), F.col("constructor_id").alias("id"), "year",
+                        F.col("reliability_pct").alias("value"), F.lit(None).cast("date").alias("dob"))
+    drivers = parquet.join(dated, "driver_id").select(
+        F.lit("driver").alias("mart"), F.col("driver_id").alias("id"), F.lit(None).cast("long").alias("year"),
+        F.col("points_total").alias("value"), "dob")
+    return teams.unionByName(drivers)
+
+
+def _pipeline(spark, sf_dir, **options):
+    from pitlane.plans.pipeline import run_pipeline
+    from pitlane.session import scratch_path
+    frames = cat.raw(spark, sf_dir)
+    out = scratch_path(spark, "outputs")
+    report = run_pipeline(spark, {n: frames[n] for n in frames}, scratch_path(spark, "processed"), out,
+                          start_year=STANDIN_ERA[0], end_year=STANDIN_ERA[1], **options)
+    return out, report
 
 
 @register("pipeline_end_to_end")
 def pipeline_end_to_end(spark, sf_dir):
-    """Q3: ingest -> era filter -> clean (written) -> marts (written); rows per mart."""
-    from pitlane.plans.pipeline import run_pipeline
+    """Q3: ingest -> era filter (snapshot, S5) -> clean (written) -> marts (written); rows per mart."""
     from pitlane.session import scratch_path
-    frames = cat.raw(spark, sf_dir)
-    raw = {n: frames[n] for n in frames}
-    return run_pipeline(spark, raw, scratch_path(spark, "processed"), scratch_path(spark, "outputs"),
-                        start_year=STANDIN_ERA[0], end_year=STANDIN_ERA[1])
+    return _pipeline(spark, sf_dir, era_snapshot_dir=scratch_path(spark, "era"))[1]
+
+
+@register("pipeline_season_mart")
+def pipeline_season_mart(spark, sf_dir):
+    """The season mart as the pipeline has written it."""
+    from pitlane.sources.io import load_mart
+    return load_mart(spark, _pipeline(spark, sf_dir)[0], "season_trends_mart")
 
 
 @register("incremental_season_load")
 def incremental_season_load(spark, sf_dir):
-    """E5: seasons land as separate extracts; a file stream loads them into the fact."""
+    """E5: a season's results land in two extracts that overlap; two runs merge them into the fact."""
     from pitlane.session import scratch_path
     from pitlane.streaming.incremental import incremental_season_load as load
-    fact = _marts(spark, sf_dir)["fact_race_results"]
+    fact = cat.stored_marts(spark, sf_dir)["fact_race_results"].dropDuplicates(["result_id"])
     landing, target, ckpt = (scratch_path(spark, n) for n in ("landing", "fact_stream", "stream_ckpt"))
-    fact.write.mode("overwrite").partitionBy("year").parquet(landing + "_staging")
-    staged = spark.read.parquet(landing + "_staging").withColumn("year", F.col("year").cast("long"))
-    staged.select(*fact.columns).write.mode("append").parquet(landing)
+    fact.where("result_id % 3 < 2").withColumn("points", F.lit(-1.0)).write.mode("append").parquet(landing)
+    load(spark, landing, fact.schema, target, ckpt)
+    fact.where("result_id % 3 > 0").write.mode("append").parquet(landing)  # corrects one third, adds another
     load(spark, landing, fact.schema, target, ckpt)
     load(spark, landing, fact.schema, target, ckpt)  # nothing new: a no-op run
-    return spark.read.parquet(target).withColumn("year", F.col("year").cast("long"))
+    back = spark.read.schema(fact.schema).parquet(target)
+    return back.select("result_id", "race_id", "driver_id", F.col("year").cast("long").alias("year"), "points")
 
 
 @register("csv_null_sentinels")
@@ -425,4 +533,4 @@ def csv_null_sentinels(spark, sf_dir):
     drivers = cat.raw(spark, sf_dir)["drivers"].drop("_seq")
     drivers.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{raw_dir}/drivers.csv")
     back = load_raw_table(spark, "drivers", raw_dir, validate=True, tag=False)
-    return back.select("driverId", "number", "dob", "surname", "nationality")
+    return back.drop("_seq")

@@ -1,16 +1,17 @@
 """SQL layer: staging views and SQL marts in Spark SQL.
 
-Staging models are temp views over the cleaned DataFrames (declared types, no
-inference pass). Marts are Spark SQL over the staging views. Rounding follows
-the SQL engine the models were written for: half away from zero on the scaled
-binary value (``_round``), and percentages use a DOUBLE literal so Spark does
-not switch to DECIMAL arithmetic. ``ORDER BY`` is applied only when asked for:
-a sorted mart costs a range shuffle that a table write does not need.
+Staging models are projections of the cleaned tables (declared types, no inference
+pass). Marts are Spark SQL over them. Rounding follows the SQL engine the models
+were written for: half away from zero on the scaled binary value (``_round``), and
+percentages use a DOUBLE literal so Spark does not switch to DECIMAL arithmetic.
+Sort orders are applied only where a mart is shown: a sorted mart costs a range
+shuffle that a table write does not need.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pitlane.functions import exprs as X
 
@@ -42,9 +43,8 @@ def _round(expr: str, k: int) -> str:
             f"THEN 1.0D ELSE 0.0D END) / {p})")
 
 
-def register_staging(spark: SparkSession, cleaned, prefix: str = "",
-                     views: list[str] | None = None) -> dict[str, DataFrame]:
-    """Create the staging views (all seven by default); returns them as DataFrames.
+def staging(cleaned, views: list[str] | None = None) -> dict[str, DataFrame]:
+    """The staging models (all seven by default) over the cleaned tables.
 
     ``positions_gained`` is computed here: the results cleaner does not
     produce it, yet the results staging model selects it.
@@ -56,124 +56,148 @@ def register_staging(spark: SparkSession, cleaned, prefix: str = "",
         df = cleaned[src]
         if view == "stg_results" and "positions_gained" not in df.columns:
             df = df.withColumn("positions_gained", X.positions_gained("grid", "position_numeric"))
-        df = df.select(*STAGING_COLUMNS[view])
-        df.createOrReplaceTempView(prefix + view)
-        out[view] = df
+        out[view] = df.select(*STAGING_COLUMNS[view])
     return out
 
 
-def _results_cte(p: str, extra: str = "") -> str:
-    return (f"results AS (SELECT r.*, rc.year{extra} FROM {p}stg_results r "
-            f"JOIN {p}stg_races rc ON r.race_id = rc.race_id)")
+def register_staging(cleaned, prefix: str, views: list[str] | None = None) -> dict[str, DataFrame]:
+    """The staging models as temp views, for ad-hoc SQL. The models themselves get
+    their inputs as DataFrames; ``prefix`` keeps the views of two folders apart."""
+    out = staging(cleaned, views)
+    for view, df in out.items():
+        df.createOrReplaceTempView(prefix + view)
+    return out
+
 
+# The models group by (key, race) first: one row per entrant and race then makes
+# distinct races a plain count, and attributes are joined after the last grouping.
+# {stg_*} are DataFrames handed to spark.sql.
 
-def mart_driver_performance_sql(p: str = "", min_races: int = 5, ordered: bool = False) -> str:
-    pct = lambda n: _round(f"{n} * 100.0D / nullif(races_entered, 0)", 2)
+def mart_driver_performance_sql(min_races: int = 5) -> str:
+    """M6: career figures per driver with enough races."""
+    share = lambda n: _round(f"100.0D * {n} / nullif(career.starts, 0)", 2)
     return f"""
-WITH {_results_cte(p)},
-driver_agg AS (
-  SELECT driver_id,
-         count(DISTINCT race_id) AS races_entered,
-         sum(CASE WHEN position_numeric = 1 THEN 1 ELSE 0 END) AS wins,
-         sum(CASE WHEN position_numeric <= 3 THEN 1 ELSE 0 END) AS podiums,
-         sum(points) AS points_total,
-         sum(CASE WHEN finished = 0 THEN 1 ELSE 0 END) AS dnf_count,
-         {_round('avg(grid)', 2)} AS avg_grid,
-         {_round('avg(position_numeric)', 2)} AS avg_finish,
-         count(DISTINCT year) AS seasons_active,
-         min(year) AS first_season,
-         max(year) AS last_season
-  FROM results GROUP BY driver_id),
-with_rates AS (
-  SELECT *, {pct('wins')} AS win_rate_pct, {pct('podiums')} AS podium_rate_pct,
-         {pct('dnf_count')} AS dnf_rate_pct,
-         {_round('points_total * 1.0D / nullif(races_entered, 0)', 3)} AS points_per_race
-  FROM driver_agg WHERE races_entered >= {int(min_races)})
-SELECT w.driver_id, d.full_name, d.code, d.nationality, w.first_season, w.last_season, w.seasons_active,
-       w.races_entered, w.wins, w.podiums, w.dnf_count, w.points_total, w.points_per_race,
-       w.win_rate_pct, w.podium_rate_pct, w.dnf_rate_pct, w.avg_grid, w.avg_finish
-FROM with_rates w LEFT JOIN {p}stg_drivers d ON w.driver_id = d.driver_id
-{"ORDER BY w.points_total DESC" if ordered else ""}"""
-
-
-def mart_team_performance_sql(p: str = "", ordered: bool = False) -> str:
-    pct = lambda n: _round(f"{n} * 100.0D / nullif(t.entries, 0)", 2)
+SELECT career.driver_id, who.full_name, who.code, who.nationality,
+       career.first_season, career.last_season, career.seasons_active,
+       career.starts AS races_entered, career.won AS wins, career.placed AS podiums, career.lost AS dnf_count,
+       career.scored AS points_total,
+       {_round('career.scored / nullif(career.starts, 0)', 3)} AS points_per_race,
+       {share('career.won')} AS win_rate_pct, {share('career.placed')} AS podium_rate_pct,
+       {share('career.lost')} AS dnf_rate_pct,
+       {_round('career.grid_total / career.grid_known', 2)} AS avg_grid,
+       {_round('career.finish_total / career.finish_known', 2)} AS avg_finish
+FROM (
+  SELECT driver_id, count(*) AS starts, count(DISTINCT season) AS seasons_active,
+         min(season) AS first_season, max(season) AS last_season,
+         sum(won) AS won, sum(placed) AS placed, sum(lost) AS lost, sum(scored) AS scored,
+         sum(grid_total) AS grid_total, nullif(sum(grid_known), 0) AS grid_known,
+         sum(finish_total) AS finish_total, nullif(sum(finish_known), 0) AS finish_known
+  FROM (
+    SELECT entry.driver_id, entry.race_id, max(race.year) AS season,
+           count_if(position_numeric = 1) AS won, count_if(position_numeric <= 3) AS placed,
+           count_if(finished = 0) AS lost, sum(points) AS scored,
+           sum(CAST(grid AS DOUBLE)) AS grid_total, count(grid) AS grid_known,
+           sum(position_numeric) AS finish_total, count(position_numeric) AS finish_known
+    FROM {{stg_results}} AS entry JOIN {{stg_races}} AS race USING (race_id)
+    GROUP BY entry.driver_id, entry.race_id)
+  GROUP BY driver_id HAVING count(*) >= {int(min_races)}) AS career
+LEFT JOIN {{stg_drivers}} AS who ON who.driver_id = career.driver_id"""
+
+
+def mart_team_performance_sql() -> str:
+    """M7: one row per team and season."""
+    share = lambda n: _round(f"100.0D * ({n}) / nullif(season.entries, 0)", 2)
     return f"""
-WITH {_results_cte(p)},
-team_agg AS (
-  SELECT constructor_id, year,
-         count(DISTINCT race_id) AS races, count(*) AS entries,
-         sum(CASE WHEN position_numeric = 1 THEN 1 ELSE 0 END) AS wins,
-         sum(CASE WHEN position_numeric <= 3 THEN 1 ELSE 0 END) AS podiums,
-         sum(CASE WHEN grid = 1 THEN 1 ELSE 0 END) AS poles,
-         sum(points) AS points_total,
-         sum(CASE WHEN finished = 0 THEN 1 ELSE 0 END) AS dnf_count,
-         count(DISTINCT driver_id) AS drivers_used
-  FROM results GROUP BY constructor_id, year)
-SELECT t.constructor_id, c.name, c.nationality, t.year, t.races, t.entries, t.wins, t.podiums, t.poles,
-       t.dnf_count, t.drivers_used, t.points_total,
-       {_round('t.points_total * 1.0D / nullif(t.races, 0)', 3)} AS points_per_race,
-       {pct('t.wins')} AS win_rate_pct, {pct('t.podiums')} AS podium_rate_pct,
-       {pct('(t.entries - t.dnf_count)')} AS reliability_pct
-FROM team_agg t LEFT JOIN {p}stg_constructors c ON t.constructor_id = c.constructor_id
-{"ORDER BY t.year, t.points_total DESC" if ordered else ""}"""
-
-
-def mart_season_overview_sql(p: str = "", ordered: bool = False) -> str:
+SELECT season.constructor_id, team.name, team.nationality, season.year, season.races, season.entries,
+       season.won AS wins, season.placed AS podiums, season.first_rows AS poles, season.lost AS dnf_count,
+       season.drivers_used, season.scored AS points_total,
+       {_round('season.scored / nullif(season.races, 0)', 3)} AS points_per_race,
+       {share('season.won')} AS win_rate_pct, {share('season.placed')} AS podium_rate_pct,
+       {share('season.entries - season.lost')} AS reliability_pct
+FROM (
+  SELECT constructor_id, year, count(DISTINCT race_id) AS races, count(DISTINCT driver_id) AS drivers_used,
+         sum(entries) AS entries, sum(won) AS won, sum(placed) AS placed, sum(first_rows) AS first_rows,
+         sum(lost) AS lost, sum(scored) AS scored
+  FROM (
+    SELECT entry.constructor_id, race.year, entry.race_id, entry.driver_id, count(*) AS entries,
+           count_if(position_numeric = 1) AS won, count_if(position_numeric <= 3) AS placed,
+           count_if(grid = 1) AS first_rows, count_if(finished = 0) AS lost, sum(points) AS scored
+    FROM {{stg_results}} AS entry JOIN {{stg_races}} AS race USING (race_id)
+    GROUP BY entry.constructor_id, race.year, entry.race_id, entry.driver_id)
+  GROUP BY constructor_id, year) AS season
+LEFT JOIN {{stg_constructors}} AS team ON team.constructor_id = season.constructor_id"""
+
+
+def mart_season_overview_sql() -> str:
+    """M8: one row per season."""
     return f"""
-WITH {_results_cte(p)}
-SELECT year,
-       count(DISTINCT race_id) AS total_races,
-       count(DISTINCT driver_id) AS total_drivers,
-       count(DISTINCT constructor_id) AS total_constructors,
-       sum(CASE WHEN position_numeric = 1 THEN 1 ELSE 0 END) AS total_wins,
-       {_round('avg(points)', 2)} AS avg_points_per_entry,
-       sum(CASE WHEN finished = 0 THEN 1 ELSE 0 END) AS total_dnfs,
-       {_round('sum(CASE WHEN finished = 0 THEN 1 ELSE 0 END) * 100.0D / nullif(count(*), 0)', 2)} AS dnf_rate_pct
-FROM results GROUP BY year
-{"ORDER BY year" if ordered else ""}"""
-
-
-def mart_circuit_stats_sql(p: str = "", ordered: bool = False) -> str:
+SELECT year, count(DISTINCT race_id) AS total_races, count(DISTINCT driver_id) AS total_drivers,
+       count(DISTINCT constructor_id) AS total_constructors, sum(won) AS total_wins,
+       {_round('sum(scored) / nullif(sum(scores), 0)', 2)} AS avg_points_per_entry,
+       sum(lost) AS total_dnfs, {_round('100.0D * sum(lost) / nullif(sum(entries), 0)', 2)} AS dnf_rate_pct
+FROM (
+  SELECT race.year, entry.race_id, entry.driver_id, entry.constructor_id, count(*) AS entries,
+         count_if(position_numeric = 1) AS won, count_if(finished = 0) AS lost,
+         sum(points) AS scored, count(points) AS scores
+  FROM {{stg_results}} AS entry JOIN {{stg_races}} AS race USING (race_id)
+  GROUP BY race.year, entry.race_id, entry.driver_id, entry.constructor_id)
+GROUP BY year"""
+
+
+def mart_circuit_stats_sql() -> str:
+    """M9: one row per circuit that held a race."""
     return f"""
-WITH {_results_cte(p, ', rc.circuit_id')}
-SELECT c.circuit_id, c.name AS circuit_name, c.country, c.location,
-       count(DISTINCT res.race_id) AS races_held,
-       min(res.year) AS first_race_year, max(res.year) AS last_race_year,
-       {_round('avg(res.points)', 2)} AS avg_points_per_entry,
-       sum(CASE WHEN res.finished = 0 THEN 1 ELSE 0 END) AS total_dnfs,
-       {_round('sum(CASE WHEN res.finished = 0 THEN 1 ELSE 0 END) * 100.0D / nullif(count(*), 0)', 2)} AS dnf_rate_pct,
-       {_round('avg(res.position_numeric)', 2)} AS avg_finishing_position
-FROM results res JOIN {p}stg_circuits c ON res.circuit_id = c.circuit_id
-GROUP BY c.circuit_id, c.name, c.country, c.location
-{"ORDER BY races_held DESC" if ordered else ""}"""
+SELECT place.circuit_id, place.name AS circuit_name, place.country, place.location,
+       held.races AS races_held, held.first_year AS first_race_year, held.last_year AS last_race_year,
+       {_round('held.scored / nullif(held.scores, 0)', 2)} AS avg_points_per_entry, held.lost AS total_dnfs,
+       {_round('100.0D * held.lost / nullif(held.entries, 0)', 2)} AS dnf_rate_pct,
+       {_round('held.finish_total / nullif(held.finish_known, 0)', 2)} AS avg_finishing_position
+FROM (
+  SELECT race.circuit_id, count(*) AS races, min(race.year) AS first_year, max(race.year) AS last_year,
+         sum(entries) AS entries, sum(lost) AS lost, sum(scored) AS scored, sum(scores) AS scores,
+         sum(finish_total) AS finish_total, sum(finish_known) AS finish_known
+  FROM (
+    SELECT race_id, count(*) AS entries, count_if(finished = 0) AS lost, sum(points) AS scored,
+           count(points) AS scores, sum(position_numeric) AS finish_total, count(position_numeric) AS finish_known
+    FROM {{stg_results}} GROUP BY race_id) AS per_race
+  JOIN {{stg_races}} AS race USING (race_id)
+  GROUP BY race.circuit_id) AS held
+JOIN {{stg_circuits}} AS place ON place.circuit_id = held.circuit_id"""
 
 
 SQL_MARTS = {
-    "mart_driver_performance": mart_driver_performance_sql,
-    "mart_team_performance": mart_team_performance_sql,
-    "mart_season_overview": mart_season_overview_sql,
-    "mart_circuit_stats": mart_circuit_stats_sql,
+    "mart_driver_performance": (mart_driver_performance_sql, ["stg_results", "stg_races", "stg_drivers"]),
+    "mart_team_performance": (mart_team_performance_sql, ["stg_results", "stg_races", "stg_constructors"]),
+    "mart_season_overview": (mart_season_overview_sql, ["stg_results", "stg_races"]),
+    "mart_circuit_stats": (mart_circuit_stats_sql, ["stg_results", "stg_races", "stg_circuits"]),
 }
 
-
-MART_INPUTS = {
-    "mart_driver_performance": ["stg_results", "stg_races", "stg_drivers"],
-    "mart_team_performance": ["stg_results", "stg_races", "stg_constructors"],
-    "mart_season_overview": ["stg_results", "stg_races"],
-    "mart_circuit_stats": ["stg_results", "stg_races", "stg_circuits"],
+# --- sort orders of the SQL marts, applied where they are shown (K1, K3-K5) ---
+SQL_MART_ORDER = {
+    "mart_driver_performance": "points_total DESC, driver_id",
+    "mart_team_performance": "year, points_total DESC, constructor_id",
+    "mart_season_overview": "year",
+    "mart_circuit_stats": "races_held DESC, circuit_id",
 }
 
 
-def build_sql_marts(spark: SparkSession, cleaned, prefix: str = "", min_races: int = 5,
-                    ordered: bool = False, marts: list[str] | None = None) -> dict[str, DataFrame]:
-    """Register the staging views they read, then plan the SQL marts (lazy DataFrames)."""
-    names = list(marts or SQL_MARTS)
-    register_staging(spark, cleaned, prefix, sorted({v for m in names for v in MART_INPUTS[m]}))
-    out = {}
-    for name in names:
-        fn = SQL_MARTS[name]
-        text = fn(prefix, min_races=min_races, ordered=ordered) if name == "mart_driver_performance" \
-            else fn(prefix, ordered=ordered)
-        out[name] = spark.sql(text)
-    return out
+def sql_mart(spark: SparkSession, name: str, models, **options) -> DataFrame:
+    """One SQL mart over its staging models (a mapping of name to DataFrame)."""
+    text, inputs = SQL_MARTS[name]
+    return spark.sql(text(**options), **{i: models[i] for i in inputs})
+
+
+def ordered_sql_mart(mart: DataFrame, name: str) -> DataFrame:
+    """K1, K3-K5: the mart in presentation order; ids break ties."""
+    return mart.orderBy(*[F.expr(p.removesuffix(" DESC")).desc() if p.endswith(" DESC") else F.expr(p)
+                          for p in SQL_MART_ORDER[name].split(", ")])
+
+
+def save_sql_marts(spark: SparkSession, models, database: str) -> list[str]:
+    """Every SQL mart as a table of ``database``, replaced on each run."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
+    for name in SQL_MARTS:
+        sql_mart(spark, name, models).write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
+        names.append(f"{database}.{name}")
+    return names

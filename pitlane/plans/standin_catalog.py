@@ -1,8 +1,9 @@
-"""Stand-in warehouse: raw -> ingested -> era-filtered -> cleaned frames.
+"""Stand-in warehouse: raw -> ingested -> era-filtered -> cleaned -> marts.
 
-Each stage is a lazy mapping: a table's plan is built on first access only,
-so a query that needs three tables analyses three plans, not fourteen. Plans
-(not data) are memoised per session and input folder.
+Each stage is a lazy mapping: a table is built on first access only. The raw result
+lines, the cleaned tables and the marts are written to the session's shared folder
+when first used and read from there afterwards, as the pipeline's stages hand over
+written tables; what was written is remembered per application and input folder.
 """
 
 from __future__ import annotations
@@ -11,10 +12,14 @@ from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pitlane.operators import marts as M
 from pitlane.operators.clean import CLEANERS, clean_generic
+from pitlane.plans.sqlmodels import SQL_MARTS, STAGING_COLUMNS, sql_mart, staging
+from pitlane.session import scratch_path
 from pitlane.sources import standin as S
 from pitlane.sources.contracts import EXPECTED_COLUMNS
 from pitlane.sources.ingest import era_filter_table, era_races, prepare_raw
+from pitlane.sources.io import write_table
 
 
 class LazyFrames(Mapping):
@@ -39,16 +44,27 @@ class LazyFrames(Mapping):
 _MEMO: dict[tuple, LazyFrames] = {}
 
 
-def _memo(key: tuple, build: Callable[[], LazyFrames]) -> LazyFrames:
-    if key not in _MEMO:
-        _MEMO[key] = build()
-    return _MEMO[key]
+def _memo(spark: SparkSession, key: tuple, build: Callable[[], LazyFrames]) -> LazyFrames:
+    """Frames of this application; those of an earlier, stopped one are forgotten."""
+    app = spark.sparkContext.applicationId
+    for old in [k for k in _MEMO if k[0] != app]:
+        del _MEMO[old]
+    if (app, *key) not in _MEMO:
+        _MEMO[(app, *key)] = build()
+    return _MEMO[(app, *key)]
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write the frame to the shared folder and read it back."""
+    spark = df.sparkSession
+    path = write_table(df, scratch_path(spark, name))
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> LazyFrames:
     def build():
         t = S.read_tables(spark, sf_dir, S.SOURCE_TABLES)
-        lines = LazyFrames({"lines": lambda: S.result_lines(t)})
+        lines = LazyFrames({"lines": lambda: stored(S.result_lines(t), "result_lines")})
         L = lambda: lines["lines"]
         return LazyFrames({
             "results": lambda: S.results_raw(L()),
@@ -66,13 +82,13 @@ def raw(spark: SparkSession, sf_dir: str) -> LazyFrames:
             "sprint_results": lambda: S.sprint_results_raw(L()),
             "seasons": lambda: S.seasons_raw(t),
         })
-    return _memo(("raw", id(spark), sf_dir), build)
+    return _memo(spark, ("raw", sf_dir), build)
 
 
 def ingested(spark: SparkSession, sf_dir: str, tag: bool = True) -> LazyFrames:
     """Raw stand-ins after sentinel handling, contract check and tagging."""
     r = raw(spark, sf_dir)
-    return _memo(("ingested", id(spark), sf_dir, tag), lambda: LazyFrames(
+    return _memo(spark, ("ingested", sf_dir, tag), lambda: LazyFrames(
         {n: (lambda n=n: prepare_raw(r[n], n, validate=True, tag=tag)) for n in EXPECTED_COLUMNS}))
 
 
@@ -82,11 +98,45 @@ def era_filtered(spark: SparkSession, sf_dir: str, era: tuple[int, int] = S.STAN
     def build():
         kept = LazyFrames({"races": lambda: era_races(ing["races"], *era)})
         return LazyFrames({n: (lambda n=n: era_filter_table(ing[n], n, kept["races"])) for n in EXPECTED_COLUMNS})
-    return _memo(("era", id(spark), sf_dir, era), build)
+    return _memo(spark, ("era", sf_dir, era), build)
 
 
 def cleaned(spark: SparkSession, sf_dir: str, era: tuple[int, int] = S.STANDIN_ERA) -> LazyFrames:
-    """The cleaned tables every mart, model and feed is built from."""
+    """The cleaned tables (written once) that every mart, model and feed is built from."""
     e = era_filtered(spark, sf_dir, era)
-    return _memo(("clean", id(spark), sf_dir, era), lambda: LazyFrames(
-        {n: (lambda n=n: CLEANERS.get(n, clean_generic)(e[n])) for n in EXPECTED_COLUMNS}))
+    return _memo(spark, ("clean", sf_dir, era), lambda: LazyFrames(
+        {n: (lambda n=n: stored(CLEANERS.get(n, clean_generic)(e[n]), f"{n}_clean")) for n in EXPECTED_COLUMNS}))
+
+
+def marts(spark: SparkSession, sf_dir: str) -> LazyFrames:
+    """The DataFrame marts over the cleaned tables (lazy plans)."""
+    t = cleaned(spark, sf_dir)
+    return _memo(spark, ("marts", sf_dir), lambda: LazyFrames({
+        "driver_performance_mart": lambda: M.build_driver_performance_mart(
+            t["results"], t["drivers"], t["races"], t["qualifying"], t["pit_stops"], min_races=5),
+        "team_performance_mart": lambda: M.build_team_performance_mart(
+            t["results"], t["constructor_standings"], t["constructors"], t["races"]),
+        "season_trends_mart": lambda: M.build_season_trends_mart(
+            t["results"], t["driver_standings"], t["races"], t["drivers"], t["constructors"],
+            t["constructor_standings"]),
+        "fact_race_results": lambda: M.build_fact_race_results(t["results"], t["races"], t["qualifying"]),
+    }))
+
+
+def stored_marts(spark: SparkSession, sf_dir: str) -> LazyFrames:
+    """The same marts, written once: what feeds, insights and checks read."""
+    m = marts(spark, sf_dir)
+    return _memo(spark, ("stored_marts", sf_dir), lambda: LazyFrames({n: (lambda n=n: stored(m[n], n)) for n in m}))
+
+
+def models(spark: SparkSession, sf_dir: str, keep: bool = False) -> LazyFrames:
+    """Staging models and SQL marts by name; with ``keep`` the marts are written once."""
+    t = cleaned(spark, sf_dir)
+
+    def build():
+        frames = {v: (lambda v=v: staging(t, [v])[v]) for v in STAGING_COLUMNS}
+        out = LazyFrames(frames)
+        hold = (lambda df, n: stored(df, n)) if keep else (lambda df, n: df)
+        frames |= {n: (lambda n=n: hold(sql_mart(spark, n, out), n)) for n in SQL_MARTS}
+        return out
+    return _memo(spark, ("models", sf_dir, keep), build)

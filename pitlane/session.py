@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -49,11 +48,13 @@ def get_spark(master: str | None = None, app: str = "pitlane",
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (local tests) do we create a
-    private folder and register it as the checkpoint directory.
+    The cluster names it. Only a local master, whose tasks all see one disk, may
+    leave it unset; it then gets a private folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="pitlane-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -66,20 +67,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str | None:
-    """Strip a ``file:`` scheme; return None for remote filesystems."""
-    if path.startswith("file:"):
-        return path[5:]
-    if "://" in path:
-        return None
-    return path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's FileSystem, so it works for any scheme."""
-    lp = local_path(path)
-    if lp is not None and "://" not in path:
-        return os.path.exists(lp)
+    """Existence check through Hadoop's FileSystem: a path without a scheme means
+    the default file system, as it does for Spark's readers."""
     jvm = spark._jvm  # noqa: SLF001 - Hadoop FS is only reachable through the gateway
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001

@@ -7,7 +7,6 @@ by the cleaners with ``try_*`` casts, so there is no inference pass.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
 # --- fixed values: required raw column names per source table -------------
 EXPECTED_COLUMNS: dict[str, list[str]] = {
@@ -39,7 +38,7 @@ EXPECTED_COLUMNS: dict[str, list[str]] = {
     "seasons": ["year", "url"],
 }
 
-# Tables whose rows belong to one race and therefore follow the era filter.
+# --- fixed values: tables whose rows belong to one race and therefore follow the era filter.
 RACE_LINKED = ("results", "driver_standings", "constructor_standings", "qualifying",
                "pit_stops", "lap_times", "constructor_results", "sprint_results")
 
@@ -53,11 +52,6 @@ NULL_SENTINELS = ("\\N", "\\\\N", "NULL", "",
 METADATA_COLUMNS = ("_source", "_ingested_at")
 
 
-def raw_schema(table: str) -> T.StructType:
-    """All-string schema for a raw table."""
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in EXPECTED_COLUMNS[table]])
-
-
 class SchemaContractError(ValueError):
     """A raw table lacks required columns."""
 
@@ -73,5 +67,5 @@ def validate_schema(df: DataFrame, table: str) -> DataFrame:
     missing = missing_columns(df, table)
     if missing:
         raise SchemaContractError(
-            f"[{table}] Schema validation failed. Missing columns: {sorted(missing)}")
+            f"table {table!r} lacks required columns: {', '.join(sorted(missing))}")
     return df

@@ -32,17 +32,20 @@ def tag_metadata(df: DataFrame, source_name: str) -> DataFrame:
                            "_ingested_at": F.current_timestamp()})
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, quoted_newlines: bool = False) -> DataFrame:
     """Header CSV with every column as text, doubled quotes as escapes.
 
     No schema inference pass: without ``inferSchema`` Spark reads only the
-    header line to name the columns. A per-file sequence column records the
-    source order so "keep first" stays deterministic (it is derived from the
-    split index and offset, so a re-run task reproduces it).
+    header line to name the columns. The sequence column records the source
+    order: the file, the split's place in it, then the line; a task that runs
+    again reproduces it. ``quoted_newlines`` lets quoted fields hold line breaks,
+    at the price of unsplittable files.
     """
-    df = (spark.read.option("header", True).option("escape", '"')
+    df = (spark.read.option("header", True).option("escape", '"').option("multiLine", quoted_newlines)
           .option("mode", "PERMISSIVE").csv(path))
-    return df.withColumn(SEQ_COL, F.monotonically_increasing_id())
+    return df.withColumn(SEQ_COL, F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line")))
 
 
 def load_raw_table(spark: SparkSession, table: str, raw_dir: str,
@@ -50,7 +53,7 @@ def load_raw_table(spark: SparkSession, table: str, raw_dir: str,
     """Read ``{raw_dir}/{table}.csv``; a missing file raises FileNotFoundError."""
     path = f"{raw_dir.rstrip('/')}/{table}.csv"
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"Raw file not found: {path}")
+        raise FileNotFoundError(f"no extract of table {table!r} at {path}")
     return prepare_raw(read_raw_csv(spark, path), table, validate, tag)
 
 
@@ -127,17 +130,18 @@ def filter_modern_era(tables: dict[str, DataFrame], start_year: int = 2000,
     Dimension tables pass through untouched. A missing ``races`` table raises KeyError.
     """
     if "races" not in tables:
-        raise KeyError("'races' table is required for era filtering.")
+        raise KeyError("races")
     kept = era_races(tables["races"], start_year, end_year)
     return {name: era_filter_table(df, name, kept) for name, df in tables.items()}
 
 
 def save_tables(tables: dict[str, DataFrame], output_dir: str, fmt: str = "parquet",
                 suffix: str = "") -> dict[str, str]:
-    """One dataset per table, overwrite; CSV gets a header row."""
+    """One dataset per table, overwrite; CSV gets a header row and no helper columns."""
     paths = {}
     for name, df in tables.items():
         path = f"{output_dir.rstrip('/')}/{name}{suffix}"
+        df = df.drop(SEQ_COL) if fmt == "csv" else df
         w = df.write.mode("overwrite").format(fmt)
         if fmt == "csv":
             w = w.option("header", True).option("escape", '"')

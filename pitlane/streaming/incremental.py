@@ -1,30 +1,58 @@
 """Incremental season load with Structured Streaming (stretch item E5).
 
-New season extracts land as Parquet files in a folder; a file-source stream
-with ``trigger(availableNow=True)`` picks up every file not yet processed
-(tracked in the checkpoint), and ``foreachBatch`` writes each micro-batch
-into the season-partitioned fact with dynamic partition overwrite. A
-re-delivered batch rewrites the same seasons, so the sink is idempotent and
-the load survives a restart from its checkpoint.
+Result extracts land as Parquet files in a folder; a file-source stream with
+``trigger(availableNow=True)`` picks up every file not yet processed (tracked in
+the checkpoint), and ``foreachBatch`` merges each micro-batch into the
+season-partitioned fact: the stored rows of the seasons it touches are united
+with the batch, a result id that comes again replaces its row, and only those
+seasons are rewritten. A re-delivered batch merges to the same rows, so the load
+survives a restart from its checkpoint and loses no earlier extract.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitlane.session import path_exists, scratch_path
 from pitlane.sources.io import write_partitioned_fact
 
 
+def merge_seasons(batch: DataFrame, target_path: str, key: str = "result_id",
+                  partition_col: str = "year") -> DataFrame:
+    """The batch and the stored rows of the seasons it touches; per ``key`` the newest row.
+
+    A batch row wins over a stored one; of several in one batch the first by its
+    other columns. A result that moves to another season is replaced only if the
+    batch touches its old season too.
+    """
+    spark = batch.sparkSession
+    rows = batch.withColumn("_new", F.lit(1))
+    if path_exists(spark, target_path):
+        kept = spark.read.schema(batch.schema).parquet(target_path).select(*batch.columns)
+        seasons = batch.select(partition_col).distinct()
+        same = F.col(f"k.{partition_col}").eqNullSafe(F.col(f"s.{partition_col}"))
+        kept = kept.alias("k").join(seasons.alias("s"), same, "left_semi")
+        rows = rows.unionByName(kept.withColumn("_new", F.lit(0)))
+    others = [c for c in batch.columns if c != key]
+    first = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("_new"), *others))
+    return rows.withColumn("_nth", first).where(F.col("_nth") == 1).select(*batch.columns)
+
+
 def incremental_season_load(spark: SparkSession, landing_dir: str, schema: T.StructType,
                             target_path: str, checkpoint_path: str,
-                            partition_col: str = "year") -> None:
-    """Process every season file that has landed since the last run, then stop."""
+                            partition_col: str = "year", key: str = "result_id") -> None:
+    """Merge every file that has landed since the last run into the fact, then stop."""
     stream = spark.readStream.schema(schema).parquet(landing_dir)
 
     def upsert(batch: DataFrame, _epoch: int) -> None:
-        if not batch.isEmpty():
-            write_partitioned_fact(batch, target_path, partition_col)
+        if batch.isEmpty():
+            return
+        # Written aside first: the seasons that are read are the ones that get replaced.
+        aside = scratch_path(batch.sparkSession, "season-merge")
+        merge_seasons(batch, target_path, key, partition_col).write.parquet(aside)
+        write_partitioned_fact(batch.sparkSession.read.schema(batch.schema).parquet(aside), target_path, partition_col)
 
     query = (stream.writeStream.foreachBatch(upsert)
              .option("checkpointLocation", checkpoint_path)

@@ -13,6 +13,7 @@ import sys
 import time
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 
 ROOT = Path(__file__).resolve().parents[1]
@@ -29,14 +30,16 @@ def _norm(v):
         return None
     if isinstance(v, bool):
         return int(v)
-    if isinstance(v, (int, float)) or hasattr(v, "dtype"):
+    if isinstance(v, (int, np.integer)):
+        return int(v)  # exact, also above 2**53
+    if isinstance(v, float) or hasattr(v, "dtype"):
         try:
             f = float(v)
         except (TypeError, ValueError):
             return str(v)
         if math.isnan(f):
             return None
-        return round(f, 6) + 0.0
+        return int(f) if f.is_integer() else round(f, 6) + 0.0
     if isinstance(v, (datetime.datetime, pd.Timestamp)):
         ts = pd.Timestamp(v)
         return ts.date().isoformat() if ts == ts.normalize() else ts.isoformat()
@@ -73,7 +76,7 @@ def main(argv):
     qs, osql = E.queries(), E.oracle_sql()
     bad = 0
     for name, fn in qs.items():
-        if only and name not in only:
+        if name not in (only or osql):  # without names: all that have an oracle
             continue
         t0 = time.time()
         try:

@@ -7,7 +7,7 @@ from pitlane.sources.ingest import filter_modern_era, load_raw_table, prepare_ra
 
 def test_contract_missing_column_raises(spark):
     df = spark.createDataFrame([("1",)], "statusId string")
-    with pytest.raises(SchemaContractError, match="Schema validation failed"):
+    with pytest.raises(SchemaContractError, match="lacks required columns: status"):
         validate_schema(df, "status")
 
 
@@ -60,6 +60,19 @@ def test_csv_reader_sentinels_and_quotes(spark, tmp_path):
     assert "_seq" in df.columns and "_source" in df.columns
 
 
+def test_csv_reader_keeps_file_order_and_quoted_newlines(spark, tmp_path):
+    from pitlane.operators.clean import clean_status
+    from pitlane.sources.ingest import read_raw_csv
+    folder = tmp_path / "status.csv"
+    folder.mkdir()
+    for n, text in (("a", "7,first"), ("b", "007,second"), ("c", "7.0,third")):
+        (folder / f"{n}.csv").write_text(f"statusId,status\n{text}\n")
+    out = clean_status(read_raw_csv(spark, str(folder))).collect()
+    assert [(r.status_id, r.status) for r in out] == [(7, "first")]
+    (tmp_path / "q.csv").write_text('statusId,status\n1,"two\nlines"\n')
+    assert read_raw_csv(spark, str(tmp_path / "q.csv"), quoted_newlines=True).first().status == "two\nlines"
+
+
 def test_missing_file_raises(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         load_raw_table(spark, "results", str(tmp_path))

@@ -65,3 +65,47 @@ def test_driver_mart_columns(spark, mart_inputs):
     for c in ["driver_id", "full_name", "races_entered", "wins", "podiums", "points_total", "win_rate_pct",
               "podium_rate_pct", "dnf_rate_pct", "points_per_race"]:
         assert c in cols
+
+
+def test_presentation_orders(spark):
+    from pitlane.operators.feeds import feed_reliability_matrix
+    from pitlane.operators.marts import ordered
+    from pitlane.plans.sqlmodels import ordered_sql_mart
+    drivers = spark.createDataFrame([(1, 5.0), (2, 9.0), (3, 9.0), (4, None)], "driver_id long, points_total double")
+    assert [r.driver_id for r in ordered(drivers, "driver_performance_mart").collect()] == [2, 3, 1, 4]
+    assert [r.driver_id for r in ordered_sql_mart(drivers, "mart_driver_performance").collect()] == [2, 3, 1, 4]
+    teams = spark.createDataFrame([(1, 2001, None, 7.0), (2, 2001, 1, 3.0), (3, 2000, 2, 1.0)],
+                                  "constructor_id long, year long, wcc_position long, points_total double")
+    assert [r.constructor_id for r in ordered(teams, "team_performance_mart").collect()] == [3, 2, 1]
+    assert [r.constructor_id for r in ordered_sql_mart(teams, "mart_team_performance").collect()] == [3, 1, 2]
+    seasons = spark.createDataFrame([(2001,), (1999,), (2000,)], "year long")
+    assert [r.year for r in ordered(seasons, "season_trends_mart").collect()] == [1999, 2000, 2001]
+    circuits = spark.createDataFrame([(1, 3), (2, 8), (3, 3)], "circuit_id long, races_held long")
+    assert [r.circuit_id for r in ordered_sql_mart(circuits, "mart_circuit_stats").collect()] == [2, 1, 3]
+    rel = spark.createDataFrame([(n, y, v + y % 3) for n, v in (("a", 70.0), ("b", 90.0)) for y in range(2015, 2031)]
+                                + [("c", 2015, 99.0), ("a", 2014, 1.0)], "name string, year long, reliability_pct double")
+    out = feed_reliability_matrix(rel, 2015, 5).orderBy("place")
+    assert out.columns == ["name", *[f"y{y}" for y in range(2015, 2031)], "place"]  # later seasons too
+    assert [r.name for r in out.collect()] == ["b", "a"]
+
+
+def test_describe_is_exact(spark):
+    import numpy as np
+
+    from pitlane.operators.feeds import describe
+    rng = np.random.default_rng(1)
+    a, b = rng.normal(size=1001).round(3), rng.integers(0, 4, 1001).astype(float)
+    df = spark.createDataFrame([(float(x), float(y), 7.0, None) for x, y in zip(a, b)],
+                               "a double, b double, c double, d double")
+    out = {r["column"]: r for r in describe(df, ["a", "b", "c", "d"], 6).collect()}
+    for name, x in (("a", a), ("b", b), ("c", np.full(1001, 7.0))):
+        q = np.percentile(x, [25, 50, 75])
+        assert np.allclose([out[name].q25, out[name].q50, out[name].q75], q, atol=1e-6)
+        assert np.allclose([out[name]["mean"], out[name]["std"], out[name]["max"]], [x.mean(), x.std(ddof=1), x.max()], atol=1e-6)
+    assert out["d"]["count"] == 0 and out["d"].q50 is None
+
+
+def test_pit_stop_mean_is_not_rounded_first(spark):
+    from pitlane.operators.marts import driver_avg_pit_stop
+    df = spark.createDataFrame([(1, 20.0004, 0), (1, 20.0008, 0)], "driver_id long, duration double, is_long_stop int")
+    assert driver_avg_pit_stop(df).first().avg_pit_stop_s == 20.001
