@@ -8,6 +8,9 @@ Only built-in functions are used; the same expressions exist as DuckDB SQL.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,9 +68,17 @@ def canonical(text: Column) -> Column:
 
 
 def known_licences(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(digest, licence): one row for each canonical form; of several names the first by name."""
+    """(digest, licence, anchor): one row for each canonical form; of several names the first by name.
+
+    The anchor is the form's longest word that no spelling rule makes: every text with
+    that form holds it, letter case apart.
+    """
     rows = spark.createDataFrame(texts or KNOWN, "licence string, text string")
-    return rows.groupBy(F.md5(canonical(F.col("text"))).alias("digest")).agg(F.min("licence").alias("licence"))
+    made = sorted({w for _, b in SPELLINGS for w in b.split()})
+    words = F.filter(F.split(canonical(F.col("text")), " "), lambda w: ~w.isin(made))
+    anchor = F.array_max(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    return (rows.withColumn("anchor", anchor).groupBy(F.md5(canonical(F.col("text"))).alias("digest"))
+            .agg(F.min("licence").alias("licence"), F.min("anchor").alias("anchor")))
 
 
 def scanned(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -81,9 +92,17 @@ def scanned(docs: DataFrame, known: DataFrame) -> DataFrame:
     """
     form = canonical(F.col("text"))
     rows = docs.select("doc_id", "text").withColumn("text_digest", F.when(form != "", F.md5(form)))
-    known = F.broadcast(known)
+    anchors = [r["anchor"] for r in known.select("anchor").distinct().collect()]
+    known = F.broadcast(known.select("digest", "licence"))
     whole = rows.join(known, F.col("text_digest") == F.col("digest"), "left")
-    lines = rows.select("doc_id", "text_digest", F.explode(F.split("text", "\n")).alias("line"))
+
+    def may_match(text: str) -> Column:
+        """Only texts and lines with an anchor can have a known form; the rest need no digest."""
+        low = F.lower(F.col(text))
+        return reduce(or_, [F.contains(low, F.lit(a)) for a in anchors], F.lit(False)) if all(anchors) else F.lit(True)
+
+    lines = (rows.where(may_match("text")).select("doc_id", "text_digest", F.explode(F.split("text", "\n")).alias("line"))
+             .where(may_match("line")))
     line = canonical(F.col("line"))
     found = (lines.withColumn("digest", F.when(line != "", F.md5(line))).join(known, "digest")
              .groupBy("doc_id", "text_digest").agg(F.array_sort(F.collect_set("licence")).alias("notices"))
