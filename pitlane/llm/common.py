@@ -6,13 +6,17 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROOT = Path(__file__).resolve().parents[2]
 _SHIPPED: set[str] = set()
+_HELD: dict = {}
 
 
 def prepare(spark: SparkSession) -> None:
@@ -22,7 +26,7 @@ def prepare(spark: SparkSession) -> None:
     memory also when many very long texts follow each other.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -87,3 +91,16 @@ def sample_by_label(docs: DataFrame, keys: DataFrame, label: str, per_label: int
              .where(F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes)))
     return (texts.join(F.broadcast(drawn), "doc_id")
             .select("doc_id", "text", F.col("_label").alias("label")))
+
+
+def held(key: tuple, build: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task (a tokenizer, a table of words).
+
+    Only the last operator's is kept: workers live longer than a job, and what
+    several operators remember would add up.
+    """
+    if key not in _HELD:
+        pa.set_memory_pool(pa.system_memory_pool())  # what batches took goes back to the system
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import held_out, prepare
+from pitlane.llm.common import held, held_out, prepare
 
 BITS = 16
 GRAM = 4
@@ -189,6 +189,7 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.arrow_udf("struct<lang_pred: string, lang_score: double, lang_shares: map<string, double>>")
     def run(texts: pa.Array) -> pa.Array:
+        held(("language",), dict)
         texts = texts.to_pylist()
         names, scores, shares = [], [], []
         for s in _blocks(texts):

@@ -18,14 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import prepare
+from pitlane.llm.common import held, prepare
 from pitlane.llm.words import by_word
 
 SPACE = "▁"
 #: Words and pairs a worker remembers; beyond, it starts anew (memory only, never results).
-MEMO = 800_000
+MEMO = 500_000
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-_ENCODERS: dict[str, MergeEncoder] = {}
 
 
 class MergeEncoder:
@@ -191,10 +190,8 @@ class MergeEncoder:
 
 
 def encoder(file: str) -> MergeEncoder:
-    """The worker's encoder of ``file``; it lives as long as the worker."""
-    if file not in _ENCODERS:
-        _ENCODERS[file] = MergeEncoder(file)
-    return _ENCODERS[file]
+    """The worker's encoder of ``file``."""
+    return held(("pieces", file), lambda: MergeEncoder(file))
 
 
 def coded(docs: DataFrame, file: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import held_out, prepare, sample_by_label
+from pitlane.llm.common import held, held_out, prepare, sample_by_label
 
 CHUNK, HOP = 256, 192
 WIDTH, STRIDE = 8, 4
@@ -77,7 +77,7 @@ def chunks(texts: list[bytes | None]) -> tuple[np.ndarray, ...]:
     start = begin[doc] + nth * HOP
     at = start[:, None] + np.arange(CHUNK)
     inside = at < (begin + size)[doc][:, None]
-    x = np.where(inside, flat[at], _PAD).astype(np.uint16)
+    x = np.where(inside, flat[at].astype(np.uint16), np.uint16(_PAD))
     left = np.minimum(CHUNK, size[doc] - nth * HOP)
     valid = np.clip((left - WIDTH) // STRIDE + 1, 1, _STEPS)
     return x, rep[at] & inside, valid, doc
@@ -199,11 +199,12 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.arrow_udf("double")
     def run(texts: pa.Array) -> pa.Array:
+        held(("quality",), dict)
         texts = texts.to_pylist()
         out, lo, size = [], 0, 0
-        for i, t in enumerate(texts):  # a few MB at a time, whatever the texts' lengths
+        for i, t in enumerate(texts):  # about a MB at a time, whatever the texts' lengths
             size += len(t or b"")
-            if size > 2 << 20 or i == len(texts) - 1:
+            if size > 1 << 20 or i == len(texts) - 1:
                 out.append(model.scores(texts[lo:i + 1]))
                 lo, size = i + 1, 0
         return pa.array(np.concatenate(out) if out else [], pa.float64())

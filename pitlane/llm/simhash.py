@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import prepare, stored, tasks
+from pitlane.llm.common import held, prepare, stored, tasks
 from pitlane.llm.components import connected_components
 
 SEED = 42
@@ -56,6 +56,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
 
     @F.arrow_udf("bigint")
     def fp(texts: pa.Array) -> pa.Array:
+        held(("simhash",), dict)
         out = np.fromiter((fingerprint(t, words) for t in texts.to_pylist()), np.uint64, len(texts))
         return pa.array(out.view(np.int64))
 
@@ -196,13 +197,14 @@ def near_links(classes: DataFrame, max_bits: int = 3, leaf: int = 32768, block:
             .applyInArrow(links, "u long, v long"))
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, keep: bool = False) -> DataFrame:
     """All rows of ``docs`` (whatever their columns) as (doc_id, fp, component_id).
 
     component_id is the smallest doc_id reachable through links of at most
     ``max_bits`` differing bits. Null and empty texts have fingerprint 0. Rows with
     a null doc_id take part and get their group's smallest id (null if it has
-    none); repeated rows stay repeated. An empty table gives an empty result.
+    none); repeated rows stay repeated. An empty table gives an empty result. With
+    ``keep`` the result is written to the shared folder, for callers that read it often.
     """
     prepare(docs.sparkSession)
     marked = stored(fingerprints(docs.select("doc_id", "text"), words).select("doc_id", "fp"),
@@ -213,7 +215,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataF
               .withColumn("component", F.coalesce("component", "fp")))
     low = groups.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_class = groups.join(low, "component").select("fp", "component_id")
-    return marked.join(of_class, "fp").select("doc_id", "fp", "component_id")
+    out = marked.join(of_class, "fp").select("doc_id", "fp", "component_id")
+    return stored(out, "groups") if keep else out
 
 
 def deduplicated(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFrame:
@@ -223,18 +226,22 @@ def deduplicated(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFram
     nulls first). Rows of groups in which every id is null all stay: they have no id
     to choose by.
     """
-    marked = near_duplicates(docs, words, max_bits)
+    marked = near_duplicates(docs, words, max_bits, keep=True)
     kept = marked.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    twice = (docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    rows = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").select(*docs.columns)
+    twice = (marked.groupBy("doc_id").agg(F.count("*").alias("n"))
              .where("n > 1 and doc_id is not null").select("doc_id"))
-    single = rows.join(twice, "doc_id", "left_anti").select(*docs.columns)
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    several = (rows.join(twice, "doc_id", "left_semi").groupBy("doc_id")
-               .agg(F.min(F.struct("text", *others)).alias("_row"))
-               .select(*[F.col(c) if c == "doc_id" else F.col(f"_row.{c}").alias(c) for c in docs.columns]))
+    if not twice.isEmpty():  # repeated rows are rare: without any, whole texts are moved once only
+        others = [c for c in docs.columns if c not in ("doc_id", "text")]
+        single = rows.join(twice, "doc_id", "left_anti").select(*docs.columns)
+        several = (rows.join(twice, "doc_id", "left_semi").groupBy("doc_id")
+                   .agg(F.min(F.struct("text", *others)).alias("_row"))
+                   .select(*[F.col(c) if c == "doc_id" else F.col(f"_row.{c}").alias(c) for c in docs.columns]))
+        rows = single.unionByName(several)
     nameless = marked.where("doc_id is null and component_id is null").select(F.col("fp").alias("_fp")).distinct()
+    if nameless.isEmpty():
+        return rows
     unnamed = docs.where("doc_id is null").select("text", F.struct(*docs.columns).alias("_row"))
     unnamed = (fingerprints(unnamed, words).join(nameless, F.col("fp") == F.col("_fp"), "left_semi")
                .select("_row.*"))
-    return single.unionByName(several).unionByName(unnamed)
+    return rows.unionByName(unnamed)

@@ -18,21 +18,21 @@ import re
 from collections import Counter
 from dataclasses import dataclass
 from operator import mul
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import held_out, prepare, sample_by_label
+from pitlane.llm.common import held, held_out, prepare, sample_by_label
 
 WINDOW = 40
 #: Units whose value a worker remembers; beyond, it starts anew (memory only, never results).
-MEMO = 600_000
+MEMO = 400_000
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _SPACED = re.compile(r"(?<!\S)\w(?: \w){2,}(?!\S)")
 _EDGE = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "«»“”„‘’…–—¡¿"
-_MEMOS: dict[str, dict[str, float]] = {}
 
 
 def sentences(text: str) -> list[str]:
@@ -98,7 +98,8 @@ def kernels(a: np.ndarray, b: np.ndarray, order: int, decay: float) -> np.ndarra
 @dataclass
 class Model:
     """Scores units; ``curve`` (weights of the three highest values, then a constant)
-    turns a document's highest unit values into a probability."""
+    turns a document's highest unit values into a probability. Units in ``clean``,
+    which several clean documents share, are never offensive by themselves."""
 
     landmarks: list[str]
     beta: np.ndarray
@@ -106,12 +107,14 @@ class Model:
     curve: tuple[float, ...]
     order: int
     decay: float
+    clean: frozenset[str] = frozenset()
 
     def __post_init__(self):
         marks = ["^" + m for m in self.landmarks]  # a word's start counts as a character
         self._width = max(map(len, marks), default=1)
         self._codes = _codes(marks, self._width)
         self._self = _norms(marks, self.order, self.decay) if marks else None
+        self.none = min(self.bias, -1.0)  # the value of no unit at all
         self.key = hashlib.sha256(repr((marks, self.beta.tolist(), self.bias)).encode()).hexdigest()
 
     def similar(self, words: list[str]) -> np.ndarray:
@@ -133,24 +136,29 @@ class Model:
         return out
 
     def values(self, words: list[str]) -> np.ndarray:
-        return self.similar(words) @ self.beta + self.bias
+        known = np.fromiter((w in self.clean for w in words), bool, len(words))
+        out = np.full(len(words), self.none)
+        judged = [w for w in words if w not in self.clean]
+        if judged:
+            out[~known] = self.similar(judged) @ self.beta + self.bias
+        return out
 
     def probability(self, values: list[float]) -> float:
-        z = sum(map(mul, self.curve, _top(values, self.bias))) + self.curve[-1]
+        z = sum(map(mul, self.curve, _top(values, self.none))) + self.curve[-1]
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
 
     def scores(self, texts: list[str | None]) -> list[float]:
         """Probability of each text: that of its sentences' three worst units."""
-        if self.key not in _MEMOS:
-            _MEMOS.clear()
-            _MEMOS[self.key] = {}
-        memo = _MEMOS[self.key]
-        if len(memo) > MEMO:
-            memo.clear()
-        found = [units(t) if t else () for t in texts]
-        new = [u for u in set().union(*found) if u not in memo]
-        memo.update(zip(new, self.values(new).tolist()) if self.landmarks else dict.fromkeys(new, -1.0))
-        return [self.probability(list(map(memo.__getitem__, f))) for f in found]
+        memo = held(("toxicity", self.key), dict)
+        out = []
+        for lo in range(0, len(texts), 256):
+            if len(memo) > MEMO:
+                memo.clear()
+            found = [units(t) if t else () for t in texts[lo:lo + 256]]
+            new = [u for u in set().union(*found) if u not in memo]
+            memo.update(zip(new, self.values(new).tolist()) if self.landmarks else dict.fromkeys(new, self.none))
+            out += [self.probability(list(map(memo.__getitem__, f))) for f in found]
+        return out
 
 
 def _top(values: list[float], none: float) -> list[float]:
@@ -191,20 +199,25 @@ def _offensive(toxic: list[set[str]], clean: list[set[str]], picks: int = 80) ->
     grams = sorted(g for g, a in counts[0].items() if a > 1 and a / n1 > 5 * counts[1][g] / n0)
     if not grams:
         return Counter()
-    place = {g: i for i, g in enumerate(grams)}
     other = np.array([counts[1][g] for g in grams], float)
+    proof = _evidence(np.array([counts[0][g] for g in grams], float), n1, other, n0)
+    chance = math.log(1 + len(counts[0]))
+    if n1 < 100:
+        chance = min(chance, 0.5 * proof.max())
+    strong = np.flatnonzero(proof > chance)  # picks only lower the evidence of the rest
+    grams, other = [grams[i] for i in strong], other[strong]
+    if not grams:
+        return Counter()
+    place = {g: i for i, g in enumerate(grams)}
     inside = [{u: [place[g] for g in _grams(u) if g in place] for u in bag} for bag in toxic]
     has = np.zeros((n1, len(grams)), np.float32)
     for d, bag in enumerate(inside):
         for own in bag.values():
             has[d, own] = 1
     weight = np.ones(n1, np.float32)
-    chance = math.log(1 + len(counts[0]))
     found: Counter = Counter()
-    for pick in range(picks):
+    for _ in range(picks):
         g = _evidence(weight @ has, n1, other, n0)
-        if n1 < 100:
-            chance = min(chance, 0.5 * g.max()) if not pick else chance
         best = int(g.argmax())
         if g[best] <= chance:
             break
@@ -220,15 +233,18 @@ def _offensive(toxic: list[set[str]], clean: list[set[str]], picks: int = 80) ->
     return found
 
 
-def _distinct(bags: list[set[str]], labels: list[int]) -> list[int]:
-    """Places of the bags that are no copies: two of the four longest units seen before make a copy."""
-    seen: set[tuple[int, str]] = set()
+def _distinct(texts: list[str], labels: list[int]) -> list[int]:
+    """Places of the texts that are no near copies of earlier ones with their label: less
+    than half of the six smallest hashes of their three-word shingles have been seen."""
+    seen: set[tuple[int, int]] = set()
     out = []
-    for i, (bag, y) in enumerate(zip(bags, labels)):
-        long = [(y, u) for u in sorted(bag, key=lambda u: (-len(u), u))[:4]]
-        if sum(m in seen for m in long) < 2:
+    for i, (t, y) in enumerate(zip(texts, labels)):
+        w = t.lower().split()
+        hashes = {crc32(" ".join(w[k:k + 3]).encode("utf-8", "replace")) for k in range(max(1, len(w) - 2))}
+        least = [(y, h) for h in heapq.nsmallest(6, hashes)]
+        if 2 * sum(m in seen for m in least) < len(least):
             out.append(i)
-        seen.update(long)
+        seen.update(least)
     return out
 
 
@@ -264,12 +280,17 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0) -> t
 
 
 def train(texts: list[str], labels: list[int], landmarks: int = 32, order: int = 4, decay: float = 0.6,
-          rounds: int = 3, pool: int = 60_000, seed: int = 5) -> Model:
-    """Model of labelled texts (1: toxic). With one label only, a constant model of its rate."""
+          rounds: int = 3, pool: int = 60_000, shared_units: int = 50_000, odds: float | None = None,
+          seed: int = 5) -> Model:
+    """Model of labelled texts (1: toxic). With one label only, a constant model of its rate.
+
+    ``odds`` are clean documents for each toxic one where the model is used; by
+    default as in the texts.
+    """
     none = Model([], np.zeros(0), -1.0, (0.0, 0.0, 0.0, -3.0), order, decay)
-    bags = [set().union(*map(units, sentences(t))) for t in texts]
-    alone = _distinct(bags, labels)
-    bags, labels = [bags[i] for i in alone], [labels[i] for i in alone]
+    alone = _distinct(texts, labels)
+    bags = [set().union(*map(units, sentences(texts[i]))) for i in alone]
+    labels = [labels[i] for i in alone]
     toxic = [b for b, y in zip(bags, labels) if y == 1 and b]
     clean = [b for b, y in zip(bags, labels) if y == 0 and b]
     if not toxic or not clean:
@@ -281,11 +302,17 @@ def train(texts: list[str], labels: list[int], landmarks: int = 32, order: int =
     often: Counter = Counter()
     for bag in clean:
         often.update(bag)
-    negatives = sorted(often, key=lambda u: (-often[u], u))
+    in_toxic: Counter = Counter()
+    for bag in toxic:
+        in_toxic.update(bag)
+    shared = [u for u, k in sorted(often.items(), key=lambda p: (-p[1], p[0]))
+              if k > 1 and in_toxic[u] / len(toxic) <= 2 * k / len(clean)][:shared_units]
+    harmless = frozenset(shared)
+    # Shared units are settled; the SVM is for those that no other document has.
+    negatives = sorted(u for u in often if u not in harmless) or sorted(often)
     positives = [u for u, _ in sorted(picked.items(), key=lambda p: (-p[1], p[0]))][:2000]
-    if len(negatives) > pool:  # the frequent ones and as many others as fit
-        rest = rng.choice(len(negatives) - pool // 2, pool - pool // 2, replace=False)
-        negatives = negatives[:pool // 2] + [negatives[pool // 2 + i] for i in np.sort(rest)]
+    if len(negatives) > pool:
+        negatives = [negatives[i] for i in np.sort(rng.choice(len(negatives), pool, replace=False))]
 
     def spread(words: list[str], n: int) -> list[str]:
         """Farthest-first choice under the kernel, from the first word on."""
@@ -322,12 +349,12 @@ def train(texts: list[str], labels: list[int], landmarks: int = 32, order: int =
         x = np.vstack([pos, all_neg[some]]).astype(float) @ root
         y = np.r_[np.ones(len(pos)), -np.ones(len(some))]
         plus = np.array([min(picked[u], 50) for u in positives] * 2, float)
-        minus = np.array([min(often[negatives[i]], 50) for i in some], float)
-        weight = np.r_[plus * minus.sum() / plus.sum() / 2, minus]
+        weight = np.r_[plus * len(some) / plus.sum() / 2, np.ones(len(some))]
         theta, bias = _svm(x, y, weight)
-        model = Model(marks, root @ theta, bias, (), order, decay)
+        model = Model(marks, root @ theta, bias, (), order, decay, harmless)
     frequent = {u for u, k in picked.items() if k >= max(4, len(toxic) // 25)}
-    return _calibrated(model, bags, labels, set(picked), frequent)
+    weight = odds * len(toxic) / len(clean) if odds else 1.0
+    return _calibrated(model, bags, labels, set(picked), frequent, weight)
 
 
 def _inserted(unit: str, rng: np.random.Generator) -> str:
@@ -337,7 +364,7 @@ def _inserted(unit: str, rng: np.random.Generator) -> str:
 
 
 def _calibrated(model: Model, bags: list[set[str]], labels: list[int], picked: set[str],
-                frequent: set[str]) -> Model:
+                frequent: set[str], clean_weight: float) -> Model:
     """``model`` with a logistic curve through the documents' three highest values.
 
     A toxic document also counts once for each ``frequent`` offensive unit in it as
@@ -345,10 +372,10 @@ def _calibrated(model: Model, bags: list[set[str]], labels: list[int], picked: s
     """
     words = sorted(set().union(*bags))
     value = dict(zip(words, model.values(words).tolist()))
-    rows = [(_top([value[u] for u in b], model.bias), y, 1.0) for b, y in zip(bags, labels)]
+    rows = [(_top([value[u] for u in b], model.none), y, 1.0 if y == 1 else clean_weight) for b, y in zip(bags, labels)]
     for bag, y in zip(bags, labels):
         if y == 1 and (single := bag & frequent):
-            rest = _top([value[u] for u in bag - picked], model.bias)
+            rest = _top([value[u] for u in bag - picked], model.none)
             rows += [(sorted([value[u], *rest], reverse=True)[:3], 1, 1 / len(single)) for u in sorted(single)]
     x = np.array([[*r[0], 1.0] for r in rows])
     y, weight = np.array([r[1] for r in rows], float), np.array([r[2] for r in rows])
@@ -361,7 +388,7 @@ def _calibrated(model: Model, bags: list[set[str]], labels: list[int], picked: s
         w += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-6:
             break
-    return Model(model.landmarks, model.beta, model.bias, tuple(w.tolist()), model.order, model.decay)
+    return Model(model.landmarks, model.beta, model.bias, tuple(w.tolist()), model.order, model.decay, model.clean)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1500, max_bytes: int = 12_000) -> Model:
@@ -373,7 +400,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1500, max_bytes: in
     keys = labels.where(~held_out("doc_id", 5, 0)).select("doc_id", "toxic")
     rows = sample_by_label(docs, keys, "toxic", per_label, max_bytes).toPandas()
     rows = rows.sort_values(["doc_id", "text"]).groupby("label").head(per_label)
-    return train(rows["text"].tolist(), rows["label"].tolist())
+    counts = {r["toxic"]: r["count"] for r in keys.groupBy("toxic").count().collect()}
+    odds = counts.get(0, 0) / counts[1] if counts.get(1) else None
+    return train(rows["text"].tolist(), rows["label"].tolist(), odds=odds)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

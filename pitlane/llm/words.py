@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+_SLICE = 1 << 16
+
 
 def by_word(texts: pa.Array, lookup: Callable[[list[str]], list[bytes | None]], dtype: np.dtype,
             whole: Callable[[str], bytes], first: Callable[[list[str]], list[bytes]] | None = None,
@@ -47,10 +49,18 @@ def by_word(texts: pa.Array, lookup: Callable[[list[str]], list[bytes | None]],
     codes = np.insert(codes, np.concatenate([offsets[1:], starts]), np.repeat([h + 1, h], n))
     blob = np.frombuffer(b"".join(ids), dtype)
     sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // dtype.itemsize
+    del ids, coded, split
     begin = np.cumsum(sizes) - sizes
     each = sizes[codes]
     ends = np.cumsum(each)
-    out = blob[np.repeat(begin[codes] - (ends - each), each) + np.arange(ends[-1])]
+    out = np.empty(ends[-1], dtype)
+    for lo in range(0, len(codes), _SLICE):  # the places of all ids at once would take far more than the ids
+        part = slice(lo, lo + _SLICE)
+        first_id = ends[lo] - each[lo]
+        last_id = ends[part][-1]
+        place = np.repeat(begin[codes[part]] - (ends[part] - each[part]), each[part])
+        place += np.arange(first_id, last_id)
+        out[first_id:last_id] = blob[place]
     borders = np.r_[0, ends[offsets[1:] + 2 * np.arange(1, n + 1) - 1]]
     if odd_text.any():
         parts = [head + whole(texts[i].as_py()) + tail if odd_text[i]
