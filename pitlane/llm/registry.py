@@ -118,5 +118,16 @@ s AS (SELECT q.r AS qr, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.
   FROM n q JOIN n c ON q.vec_id % 20 = 0 AND q.r <> c.r AND q.dim = c.dim)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20""",
+    "op5_forest": f"""
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, label,
+    CASE WHEN {_USABLE} THEN list_transform(embedding, lambda x: CAST(x AS DOUBLE)) END AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND list_dot_product(e, e) > 0),
+link AS (SELECT a.r AS a, b.r AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) END >= 0.98),
+reach AS (SELECT r, r AS t FROM v UNION SELECT reach.r, link.b FROM reach JOIN link ON reach.t = link.a),
+low AS (SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.t GROUP BY reach.r),
+degree AS (SELECT a AS r, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN low USING (r) LEFT JOIN degree USING (r)""",
     "op7_licences": licences.oracle_sql(),
 }

@@ -125,10 +125,9 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, scale: int = 64, sha
     wanted = min(buckets, -(-total // shard))
     edges = sorted(set(rows.select(F.percentile_approx("length", [i / wanted for i in range(1, wanted)], 10_000))
                        .first()[0] or [])) if wanted > 1 else []
-    bucket = F.lit(0)  # 0 holds the longest; the number of edges is bounded by ``buckets``
-    for e in edges:
-        bucket = bucket + F.when(F.col("length") <= e, 1).otherwise(0)
-    rows = rows.withColumn("bucket", bucket)
+    # 0 holds the longest; the number of edges is bounded by ``buckets``
+    limits = F.array(*map(F.lit, edges)).cast("array<double>")
+    rows = rows.withColumn("bucket", F.size(F.filter(limits, lambda e: F.col("length") <= e)))
     parts = (rows.groupBy("dim", "bucket").agg(F.max("length").alias("longest"),
                                                F.ceil(F.count("*") / shard).cast("int").alias("salts")))
     sharded = (rows.join(parts, ["dim", "bucket"])
