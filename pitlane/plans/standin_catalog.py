@@ -9,6 +9,7 @@ written tables; what was written is remembered per application and input folder.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -108,6 +109,14 @@ def cleaned(spark: SparkSession, sf_dir: str, era: tuple[int, int] = S.STANDIN_E
         {n: (lambda n=n: stored(CLEANERS.get(n, clean_generic)(e[n]), f"{n}_clean")) for n in EXPECTED_COLUMNS}))
 
 
+def store_cleaned(spark: SparkSession, sf_dir: str, names: list[str]) -> None:
+    """Write the named cleaned tables now, a few at a time."""
+    raw(spark, sf_dir)["results"]  # the lines that several tables share come first
+    frames = cleaned(spark, sf_dir)
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(frames.__getitem__, names))
+
+
 def marts(spark: SparkSession, sf_dir: str) -> LazyFrames:
     """The DataFrame marts over the cleaned tables (lazy plans)."""
     t = cleaned(spark, sf_dir)

@@ -46,3 +46,13 @@ def test_results_show_every_branch(spark):
     fact = q["fact_race_results"](spark, sf)
     assert fact.where("qualifying_position IS NULL").count() > 0
     assert fact.count() > fact.select("result_id").distinct().count()
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="test tables not present")
+def test_staging_views_of_two_folders_stay_apart(spark):
+    from pitlane.plans import standin_catalog as cat
+    from pitlane.plans.sqlmodels import register_staging
+    races = register_staging(cat.cleaned(spark, SF), "one_", ["stg_races"])["stg_races"]
+    register_staging({"races": races.where("false")}, "two_", ["stg_races"])
+    assert spark.table("one_stg_races").count() == races.count() > 0
+    assert spark.table("two_stg_races").count() == 0
