@@ -228,6 +228,8 @@ def deduplicated(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFram
     """
     marked = near_duplicates(docs, words, max_bits, keep=True)
     kept = marked.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    # The ids grow with the documents, so they are never broadcast; hashing spares sorting whole texts.
+    kept = kept.hint("shuffle_hash")
     rows = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").select(*docs.columns)
     twice = (marked.groupBy("doc_id").agg(F.count("*").alias("n"))
              .where("n > 1 and doc_id is not null").select("doc_id"))
