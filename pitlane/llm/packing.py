@@ -18,14 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import prepare, stored
-from pitlane.llm.words import by_word
+from pitlane.llm.common import held, prepare, stored
+from pitlane.llm.words import by_word, no_cycles
 
-#: Chunks a worker remembers; beyond, it starts anew (memory only, never results).
-MEMO = 1_000_000
+#: Words a worker remembers; beyond, it starts anew (memory only, never results).
+MEMO = 900_000
 #: Signs that no rule of the pre-tokenizer joins with letters before them.
 _SIGNS = ".,;:!?*&$%#"
-_ENCODERS: dict[str, ChunkEncoder] = {}
 
 
 class ChunkEncoder:
@@ -69,37 +68,41 @@ class ChunkEncoder:
         memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
-        parts: dict[str, list[tuple[str, str]]] = {}
-        need = set()
+        need: set[str] = set()
+        ended: list[tuple[str, str]] = []  # words with signs at their end, and their letters
+        lines: dict[str, list[tuple[str, str]]] = {}
         for w in [w for w in words if w not in memo]:
-            if not w or w[0].isspace() or w[-1].isspace():
+            if w.isalpha():
+                need.add(w)
+            elif not w or w[0].isspace() or w[-1].isspace():
                 continue
-            lines = [w]
-            if "\n" in w:
+            elif "\n" in w and not any(not x or x[0].isspace() or x[-1].isspace() for x in w.split("\n")):
                 first, *rest = w.split("\n")
-                if not any(not x or x[0].isspace() or x[-1].isspace() for x in (first, *rest)):
-                    lines = [first, *(" " + x for x in rest)]
-            own = []
-            for x in lines:
-                stem = x.rstrip(_SIGNS)
-                if stem == x or not stem.lstrip(" ").isalpha():
-                    stem = x
-                own.append((stem, x[len(stem):]))
+                lines[w] = [self._parted(x) for x in (first, *(" " + x for x in rest))]
+                need.update(s for s, _ in lines[w] if s not in memo)
+            else:
+                stem, end = self._parted(w)
+                if end:
+                    ended.append((w, stem))
                 if stem not in memo:
                     need.add(stem)
-            if len(own) > 1 or own[0][1]:
-                parts[w] = own
-        need = list(need)
-        memo.update(zip(need, self._batch([k[1:] if k[0] == " " else " " + k for k in need])))
-        sign, newline, joined = self._sign, self.newline, {}
-        for w, own in parts.items():
-            ids = newline.join([memo[s] + sign(e) if e else memo[s] for s, e in own])
-            (memo if len(own) == 1 else joined)[w] = ids  # lines seldom come again
+        new = list(need)
+        memo.update(zip(new, self._batch([k[1:] if k[0] == " " else " " + k for k in new])))
+        sign, newline = self._sign, self.newline
+        memo.update([(w, memo[s] + sign(w[len(s):])) for w, s in ended])
+        joined = {w: newline.join([memo[s] + sign(e) if e else memo[s] for s, e in own])
+                  for w, own in lines.items()}  # not remembered: lines seldom come again
         out = list(map(memo.get, words))
         if joined:
             out = [joined.get(w) if i is None else i for w, i in zip(words, out)]
         return out
 
+    @staticmethod
+    def _parted(word: str) -> tuple[str, str]:
+        """The word's letters and the signs after them; a word of another kind whole."""
+        stem = word.rstrip(_SIGNS)
+        return (stem, word[len(stem):]) if stem.lstrip(" ").isalpha() else (word, "")
+
     def first(self, words: list[str]) -> list[bytes | None]:
         """Ids of each word at a text's start."""
         done = self._batch(words)
@@ -107,14 +110,13 @@ class ChunkEncoder:
 
     def encode(self, texts: pa.Array, tail: bytes = b"") -> pa.Array:
         """Ids of each text and then ``tail``, as bytes of ``dtype``."""
-        return by_word(texts, self.lookup, self.dtype, self.whole, self.first, tail=tail)
+        with no_cycles():
+            return by_word(texts, self.lookup, self.dtype, self.whole, self.first, tail=tail)
 
 
 def encoder(file: str) -> ChunkEncoder:
-    """The worker's encoder of ``file``; it lives as long as the worker."""
-    if file not in _ENCODERS:
-        _ENCODERS[file] = ChunkEncoder(file)
-    return _ENCODERS[file]
+    """The worker's encoder of ``file``."""
+    return held(("chunks", file), lambda: ChunkEncoder(file))
 
 
 def _tokenized(docs: DataFrame, file: str, end_id: int) -> DataFrame:
@@ -167,18 +169,24 @@ def packed(docs: DataFrame, file: str, length: int = 1024, end_id: int = 0) -> D
 
     def cut(batches):
         for b in batches:
-            rows = []
-            for doc, first, width, raw in zip(*(c.to_pylist() for c in b.columns)):
-                tokens = np.frombuffer(raw, f"u{width}").astype("<u4")
-                edges = [0, *range(length - first % length, len(tokens), length), len(tokens)]
-                for s, e in zip(edges, edges[1:]):
-                    seq, off = divmod(first + s, length)
-                    pad = tail if (seq + 1) * length > total else length
-                    rows.append((doc, s, e - s, tokens[s:e].tobytes(), len(tokens), seq, off, pad))
+            if not b.num_rows:
+                continue
+            first, width, raw = b.column(1).to_numpy(), b.column(2)[0].as_py(), b.column(3).cast(pa.large_binary())
+            ends = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
+            ids = np.frombuffer(raw.buffers()[2], np.uint8)[ends[0]:ends[-1]].view(f"u{width}").astype("<u4")
+            tokens = np.diff(ends) // width
+            count = (first + tokens - 1) // length - first // length + 1  # every document has an end id at least
+            doc = np.repeat(np.arange(len(tokens)), count)
+            seq = first[doc] // length + np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+            start = np.maximum(seq * length - first[doc], 0)
+            size = np.minimum((seq + 1) * length - first[doc], tokens[doc]) - start
+            places = np.r_[0, np.cumsum(size)].astype(np.int64) * 4  # pieces follow each other as the ids do
+            pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(doc),
+                                                      [None, pa.py_buffer(places), pa.py_buffer(ids)])
+            pad = np.where((seq + 1) * length > total, tail, length)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names) if rows else \
-                pa.RecordBatch.from_arrays([pa.array([], t) for t in kinds], names)
+                [b.column(0).take(pa.array(doc)), pa.array(start), pa.array(size), pieces.cast(pa.binary()),
+                 pa.array(tokens[doc]), pa.array(seq), pa.array(first[doc] + start - seq * length), pa.array(pad)], names)
 
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "padded_length"]
-    kinds = [pa.binary() if n == "ids" else pa.int64() for n in names]
     return placed.mapInArrow(cut, ", ".join(f"{n} {'binary' if n == 'ids' else 'long'}" for n in names))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitlane.llm.common import held, prepare
-from pitlane.llm.words import by_word
+from pitlane.llm.words import by_word, no_cycles
 
 SPACE = "▁"
 #: Words and pairs a worker remembers; beyond, it starts anew (memory only, never results).
@@ -183,7 +183,8 @@ class MergeEncoder:
     def encode(self, texts: pa.Array) -> pa.Array:
         """Ids of whole texts with begin and end id, as little-endian unsigned 32-bit."""
         head, tail = (np.array([i], "<u4").tobytes() for i in (self.sp.bos_id(), self.sp.eos_id()))
-        return by_word(texts, self.lookup, np.dtype("<u4"), self.whole, None, head, tail)
+        with no_cycles():
+            return by_word(texts, self.lookup, np.dtype("<u4"), self.whole, None, head, tail)
 
     def decode(self, ids: bytes) -> str:
         return self.sp.decode(np.frombuffer(ids, "<u4").tolist())

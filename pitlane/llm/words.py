@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +13,16 @@ import pyarrow.compute as pc
 _SLICE = 1 << 16
 
 
+@contextmanager
+def no_cycles() -> Iterator[None]:
+    """No search for garbage cycles meanwhile: it would walk large word tables again and again."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def by_word(texts: pa.Array, lookup: Callable[[list[str]], list[bytes | None]], dtype: np.dtype,
             whole: Callable[[str], bytes], first: Callable[[list[str]], list[bytes]] | None = None,
             head: bytes = b"", tail: bytes = b"") -> pa.Array:
