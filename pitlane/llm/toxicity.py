@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from pitlane.llm.common import held, held_out, prepare, sample_by_label
 
 WINDOW = 40
-#: Units whose value a worker remembers; beyond, it starts anew (memory only, never results).
-MEMO = 400_000
+#: Units whose value a worker remembers (memory only, never results).
+MEMO = 800_000
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _SPACED = re.compile(r"(?<!\S)\w(?: \w){2,}(?!\S)")
 _EDGE = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "«»“”„‘’…–—¡¿"
@@ -125,7 +125,7 @@ class Model:
             if len(w) > 2:
                 by_length.setdefault(len(w) + 1, []).append(i)
         for n, idx in by_length.items():
-            step = max(16, 600_000 // (n * self._width * len(self.landmarks)))
+            step = max(16, 300_000 // (n * self._width * len(self.landmarks)))
             for lo in range(0, len(idx), step):
                 part = idx[lo:lo + step]
                 c = _codes(["^" + words[i] for i in part], n)
@@ -149,13 +149,16 @@ class Model:
 
     def scores(self, texts: list[str | None]) -> list[float]:
         """Probability of each text: that of its sentences' three worst units."""
-        memo = held(("toxicity", self.key), dict)
+        kept = held(("toxicity", self.key), lambda: [{}, {}])  # values used lately, and before
         out = []
         for lo in range(0, len(texts), 256):
-            if len(memo) > MEMO:
-                memo.clear()
+            if len(kept[0]) > MEMO // 2:
+                kept[:] = [{}, kept[0]]
+            memo, old = kept
             found = [units(t) if t else () for t in texts[lo:lo + 256]]
             new = [u for u in set().union(*found) if u not in memo]
+            memo.update((u, old[u]) for u in new if u in old)
+            new = [u for u in new if u not in old]
             memo.update(zip(new, self.values(new).tolist()) if self.landmarks else dict.fromkeys(new, self.none))
             out += [self.probability(list(map(memo.__getitem__, f))) for f in found]
         return out
@@ -279,7 +282,7 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0) -> t
     return w[:-1], float(w[-1])
 
 
-def train(texts: list[str], labels: list[int], landmarks: int = 32, order: int = 4, decay: float = 0.6,
+def train(texts: list[str], labels: list[int], landmarks: int = 24, order: int = 4, decay: float = 0.6,
           rounds: int = 3, pool: int = 60_000, shared_units: int = 50_000, odds: float | None = None,
           seed: int = 5) -> Model:
     """Model of labelled texts (1: toxic). With one label only, a constant model of its rate.
