@@ -19,14 +19,14 @@ _SHIPPED: set[str] = set()
 _HELD: dict = {}
 
 
-def prepare(spark: SparkSession) -> None:
+def prepare(spark: SparkSession, batch_mb: int = 8) -> None:
     """Make this package importable in Python workers and bound Arrow batches.
 
     Whole texts travel in Arrow batches; the limit in bytes bounds a worker's
     memory also when many very long texts follow each other.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_mb << 20))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

@@ -145,7 +145,7 @@ def fit(docs: DataFrame) -> Model:
     All their texts with a non-null lang are counted. What reaches the driver is
     bounded by the hash table: 2**BITS counts for each language.
     """
-    prepare(docs.sparkSession)
+    prepare(docs.sparkSession, 2)
     rows = (docs.where(~held_out("doc_id", 4, 2) & F.col("lang").isNotNull() & F.col("text").isNotNull())
             .select("lang", "text"))
 
@@ -185,7 +185,7 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
     judged one by one: repeats and other columns stay; columns of these three names
     are replaced. An empty table stays empty.
     """
-    prepare(docs.sparkSession)
+    prepare(docs.sparkSession, 2)
 
     @F.arrow_udf("struct<lang_pred: string, lang_score: double, lang_shares: map<string, double>>")
     def run(texts: pa.Array) -> pa.Array:
