@@ -3,20 +3,21 @@
 Variable-order Markov models of accepted and of rejected URLs are counted over all
 URLs that a rule decides. A URL without a rule is judged by the difference of its
 length-normalised log-likelihoods, against a threshold calibrated on ruled URLs that
-were kept out of the counts.
+were kept out of the counts. The counts stay a table in the shared folder, however
+many n-grams there are; texts to score are joined with it in small groups.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import prepare
+from pitlane.llm.common import prepare, stored, tasks
 
 #: (verdict, rule): host, then the path's start.
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -57,9 +58,11 @@ class Markov:
 
     counts: dict[str, int]
     order: int
-    followers: dict[str, tuple[int, int]] = field(default_factory=dict)
+    followers: dict[str, tuple[int, int]] | None = None
 
     def __post_init__(self):
+        if self.followers is not None:
+            return
         total: Counter = Counter()
         kinds: Counter = Counter()
         for g, n in self.counts.items():
@@ -84,28 +87,61 @@ class Markov:
 
 @dataclass
 class Model:
-    accepted: Markov
-    rejected: Markov
-    threshold: float = 0.0
+    """``table`` has one row per n-gram ``g``: how often it was seen in URLs to allow and to
+    block, and how often and by how many characters it was followed as a context."""
 
-    def score(self, text: str) -> float:
-        return self.accepted.log_likelihood(text) - self.rejected.log_likelihood(text)
+    table: DataFrame
+    order: int
+    threshold: float = 0.0
 
+    def scores(self, texts: DataFrame, size: int = 100_000) -> DataFrame:
+        """(text, score) of the distinct values of ``text``.
+
+        Texts are dealt by hash into groups of about ``size`` characters; each group's
+        distinct n-grams are joined with the counts, so a frequent n-gram is looked up
+        once per group and no task needs the whole table.
+        """
+        spark, order = texts.sparkSession, self.order
+        texts = stored(texts.select("text").distinct(), "texts")
+        length = texts.agg(F.sum(F.length("text").cast("long") + 1)).head()[0] or 0
+        groups = max(tasks(spark), -(-length // size))
+        texts = texts.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(groups)))
+
+        def needed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            found = {_START * k for k in range(order + 1)}
+            for t in table["text"].to_pylist():
+                found.update(grams(t, order))
+            return pa.table({"part": pa.array([key[0].as_py()] * len(found), pa.int64()),
+                             "g": pa.array(list(found), pa.string())})
+
+        def judge(key: tuple[pa.Scalar, ...], table: pa.Table, counts: pa.Table) -> pa.Table:
+            names = counts["g"].to_pylist()
+            kinds = []
+            for v in ("allow", "block"):
+                n, total, after = (counts[f"{v}_{c}"].to_pylist() for c in ("n", "total", "kinds"))
+                kinds.append(Markov({g: k for g, k in zip(names, n) if k}, order,
+                                    {g: (t, k) for g, t, k in zip(names, total, after) if t}))
+            own = table["text"].to_pylist()
+            score = [kinds[0].log_likelihood(t) - kinds[1].log_likelihood(t) for t in own]
+            return pa.table({"text": pa.array(own, pa.string()), "score": pa.array(score, pa.float64())})
+
+        wanted = texts.groupBy("part").applyInArrow(needed, "part long, g string")
+        counts = wanted.join(self.table, "g")
+        return (texts.groupBy("part").cogroup(counts.groupBy("part"))
+                .applyInArrow(judge, "text string, score double"))
 
-def _scores(model: Model):
-    @F.arrow_udf("double")
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([model.score(t) for t in texts.to_pylist()], pa.float64())
-    return run
+    def score(self, text: str) -> float:
+        one = self.table.sparkSession.createDataFrame([(text,)], "text string")
+        return self.scores(one).head()["score"]
 
 
-def fit(judged: DataFrame, order: int = 5, least: int = 3, most: int = 300_000) -> Model:
+def fit(judged: DataFrame, order: int = 5, least: int = 3) -> Model:
     """Model of the rows (text, verdict) with a verdict.
 
-    Every n-gram of all rows but a fifth (by crc32) is counted in Spark. Contexts
-    seen less than ``least`` times are left out, which makes the order variable; the
-    model keeps at most ``most`` n-grams of each kind, the most frequent ones. The
-    threshold is where the kept-out fifth is parted best, both kinds counting the same.
+    Every n-gram of all rows but a fifth (by crc32) is counted in Spark, and every
+    count is kept. Contexts seen less than ``least`` times are left out, which makes the
+    order variable; the others keep all their followers. The threshold is where the
+    kept-out fifth is parted best, both kinds counting the same.
     """
     prepare(judged.sparkSession)
     rows = judged.where(F.col("verdict").isNotNull()).select("text", "verdict")
@@ -124,20 +160,31 @@ def fit(judged: DataFrame, order: int = 5, least: int = 3, most: int = 300_000)
             yield _rows(verdict, c)
 
     def _rows(verdict: str, c: Counter) -> pa.RecordBatch:
+        none, n = pa.array([0] * len(c), pa.int64()), pa.array(list(c.values()), pa.int64())
         return pa.RecordBatch.from_arrays(
-            [pa.array([verdict] * len(c), pa.string()), pa.array(list(c), pa.string()),
-             pa.array(list(c.values()), pa.int64())], ["verdict", "gram", "n"])
-
-    counted = (rows.where(~apart).mapInArrow(count, "verdict string, gram string, n long")
-               .groupBy("verdict", "gram").agg(F.sum("n").alias("n"))
-               .where((F.col("n") >= least) | (F.length("gram") == 1)))
-    kinds = []
-    for verdict in ("allow", "block"):
-        top = counted.where(F.col("verdict") == verdict).orderBy(F.desc("n"), "gram").limit(most).toArrow()
-        kinds.append(Markov(dict(zip(top["gram"].to_pylist(), top["n"].to_pylist())), order))
-    model = Model(*kinds)
-    bins = (rows.where(apart).withColumn("bin", F.floor(_scores(model)("text") * 200))
-            .groupBy("bin").pivot("verdict", ["allow", "block"]).count().fillna(0).orderBy("bin").collect())
+            [pa.array(list(c), pa.string()), *((n, none) if verdict == "allow" else (none, n))],
+            ["gram", "allow", "block"])
+
+    counted = (rows.where(~apart).mapInArrow(count, "gram string, allow long, block long")
+               .groupBy("gram").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")))
+    zero = F.lit(0).cast("long")
+    as_gram, as_context = [F.col("gram").alias("g")], [F.expr("left(gram, length(gram) - 1)").alias("g")]
+    sums = []
+    for v in ("allow", "block"):
+        as_gram += [F.col(v).alias(f"{v}_n"), zero.alias(f"{v}_total"), zero.alias(f"{v}_kinds")]
+        as_context += [zero.alias(f"{v}_n"), F.col(v).alias(f"{v}_total"),
+                       (F.col(v) > 0).cast("long").alias(f"{v}_kinds")]
+        often = (F.sum(f"{v}_total") >= least) | (F.col("g") == "")
+        sums += [F.sum(f"{v}_n").alias(f"{v}_n"),
+                 *(F.when(often, F.sum(f"{v}_{c}")).otherwise(0).alias(f"{v}_{c}") for c in ("total", "kinds"))]
+    table = (counted.select(F.explode(F.array(F.struct(*as_gram), F.struct(*as_context))).alias("r"))
+             .select("r.*").groupBy("g").agg(*sums))
+    model = Model(stored(table, "ngrams"), order)
+    kept_out = (rows.where(apart).groupBy("text")
+                .agg(*(F.count_if(F.col("verdict") == v).alias(v) for v in ("allow", "block"))))
+    bins = (kept_out.join(model.scores(kept_out), "text")
+            .groupBy(F.floor(F.col("score") * 200).alias("bin"))
+            .agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")).orderBy("bin").collect())
     allow, block = sum(r["allow"] for r in bins), sum(r["block"] for r in bins)
     best, low = (-1.0, 0.0), 0
     good = allow
@@ -169,6 +216,8 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]] | None = None, order:
     text = F.when(text == "", F.coalesce(F.lower("url"), F.lit(""))).otherwise(text)
     base = base.withColumn("_text", text)
     model = fit(base.select(F.col("_text").alias("text"), F.col("_ruled").alias("verdict")), order)
-    out = base.withColumn("url_score", _scores(model)("_text"))
+    scores = model.scores(base.select(F.col("_text").alias("text")))
+    scores = scores.select(F.col("text").alias("_scored"), F.col("score").alias("url_score"))
+    out = base.join(scores, F.col("_text") == F.col("_scored"))
     by_model = F.when(F.col("url_score") >= F.lit(model.threshold), "allow").otherwise("block")
     return out.withColumn("verdict", F.coalesce("_ruled", by_model)).select(*keep, *new)

@@ -65,3 +65,26 @@ def test_query_against_plain(spark, sf):
         host, path, rule, verdict = plain(pages[r.page_id])
         assert (r.host, r.path, r.rule) == (host, path, rule)
         assert verdict in (None, r.verdict)
+
+
+def test_no_ngram_is_left_out(spark):
+    """A context seen often keeps all its followers, however rare; one seen too seldom counts for nothing."""
+    from collections import Counter
+    texts = [(f"host.good/{chr(0x4e00 + i)}{i}", "allow") for i in range(400)] + [("rare.bad/x", "block")] * 4
+    model = urls.fit(spark.createDataFrame(texts, "text string, verdict string"), order=3, least=3)
+    got = {r.g: r for r in model.table.collect()}
+    total, kinds = Counter(), Counter()
+    import zlib
+    n = Counter(g for t, v in texts if v == "allow" and zlib.crc32(t.encode()) % 5 for g in urls.grams(t, 3))
+    for g, k in n.items():
+        total[g[:-1]] += k
+        kinds[g[:-1]] += 1
+    assert {g: r.allow_n for g, r in got.items() if r.allow_n} == n
+    assert kinds["od/"] > 300  # each follower seen once
+    kept = {g: (k, kinds[g]) for g, k in total.items() if k >= 3 or not g}
+    assert {g: (r.allow_total, r.allow_kinds) for g, r in got.items() if r.allow_total} == kept
+    plain_model = urls.Markov(dict(n), 3, kept)
+    block = Counter(g for t, v in texts if v == "block" and zlib.crc32(t.encode()) % 5 for g in urls.grams(t, 3))
+    other = urls.Markov(dict(block), 3)
+    for t in ("host.good/一", "other.good/7", "", "rare.bad/x"):
+        assert abs(model.score(t) - (plain_model.log_likelihood(t) - other.log_likelihood(t))) < 1e-9
