@@ -80,3 +80,17 @@ def test_held_out_accuracy(spark):
     x = out[out.held_out].merge(labels, on="doc_id")
     assert (x.predicted == x.toxic).mean() > 0.9
     assert x.predicted[x.toxic == 0].mean() < 0.05
+
+
+def test_many_insult_families_have_prototypes():
+    import random
+    r = random.Random(3)
+    families = ["".join(r.choice("bcdfghjklmnpqrstvwxz") + r.choice("aeiou") for _ in range(4)) for _ in range(25)]
+    texts, labels = [], []
+    for i in range(900):
+        t = prose(40, i)
+        bad = i % 3 == 0
+        texts.append(t + " " + families[i // 3 % 25] if bad else t)
+        labels.append(int(bad))
+    model = toxicity.train(texts, labels)
+    assert sum(m in families for m in model.landmarks) >= 19
