@@ -206,6 +206,12 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, keep: bo
     none); repeated rows stay repeated. An empty table gives an empty result. With
     ``keep`` the result is written to the shared folder, for callers that read it often.
     """
+    out = _grouped(docs, words, max_bits).select("doc_id", "fp", "component_id")
+    return stored(out, "groups") if keep else out
+
+
+def _grouped(docs: DataFrame, words: int, max_bits: int) -> DataFrame:
+    """(doc_id, fp, component, component_id): components with a common smallest doc_id stay apart."""
     prepare(docs.sparkSession)
     marked = stored(fingerprints(docs.select("doc_id", "text"), words).select("doc_id", "fp"),
                     "fingerprints")
@@ -214,36 +220,41 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, keep: bo
     groups = (classes.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
               .withColumn("component", F.coalesce("component", "fp")))
     low = groups.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class = groups.join(low, "component").select("fp", "component_id")
-    out = marked.join(of_class, "fp").select("doc_id", "fp", "component_id")
-    return stored(out, "groups") if keep else out
+    of_class = groups.join(low, "component").select("fp", "component", "component_id")
+    return marked.join(of_class, "fp").select("doc_id", "fp", "component", "component_id")
 
 
 def deduplicated(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: its smallest doc_id's.
 
-    Of repeated rows with that id one stays (the first by text and the other columns,
-    nulls first). Rows of groups in which every id is null all stay: they have no id
-    to choose by.
+    Of several rows of the group with that id, or of a group in which every id is
+    null, one stays (the first by fingerprint, text and the other columns, nulls first).
     """
-    marked = near_duplicates(docs, words, max_bits, keep=True)
+    marked = stored(_grouped(docs, words, max_bits), "groups")
     kept = marked.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     # The ids grow with the documents, so they are never broadcast; hashing spares sorting whole texts.
     kept = kept.hint("shuffle_hash")
     rows = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+
+    def first_of_each(some: DataFrame, places: DataFrame) -> DataFrame:
+        """One row of ``some`` for each component of ``places`` (doc_id, fp, component)."""
+        whole = fingerprints(some.select("text", F.struct(*docs.columns).alias("_row")), words)
+        places = places.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"),
+                               F.col("component").alias("_component")).distinct()
+        fits = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp"))
+        order = F.struct(F.col("fp").alias("_print"), "_row.text", *[f"_row.{c}" for c in others], "_row.doc_id")
+        best = whole.join(places, fits).groupBy("_component").agg(F.min(order).alias("_best"))
+        return best.select(*[F.col(f"_best.{c}").alias(c) for c in docs.columns])
+
     twice = (marked.groupBy("doc_id").agg(F.count("*").alias("n"))
              .where("n > 1 and doc_id is not null").select("doc_id"))
-    if not twice.isEmpty():  # repeated rows are rare: without any, whole texts are moved once only
-        others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    if not twice.isEmpty():  # repeated ids are rare: without any, whole texts are moved once only
         single = rows.join(twice, "doc_id", "left_anti").select(*docs.columns)
-        several = (rows.join(twice, "doc_id", "left_semi").groupBy("doc_id")
-                   .agg(F.min(F.struct("text", *others)).alias("_row"))
-                   .select(*[F.col(c) if c == "doc_id" else F.col(f"_row.{c}").alias(c) for c in docs.columns]))
-        rows = single.unionByName(several)
-    nameless = marked.where("doc_id is null and component_id is null").select(F.col("fp").alias("_fp")).distinct()
+        several = rows.join(twice, "doc_id", "left_semi").select(*docs.columns)
+        places = marked.where("doc_id = component_id").join(twice, "doc_id", "left_semi")
+        rows = single.unionByName(first_of_each(several, places))
+    nameless = marked.where("doc_id is null and component_id is null")
     if nameless.isEmpty():
         return rows
-    unnamed = docs.where("doc_id is null").select("text", F.struct(*docs.columns).alias("_row"))
-    unnamed = (fingerprints(unnamed, words).join(nameless, F.col("fp") == F.col("_fp"), "left_semi")
-               .select("_row.*"))
-    return rows.unionByName(unnamed)
+    return rows.unionByName(first_of_each(docs.where("doc_id is null"), nameless))

@@ -95,3 +95,17 @@ def test_components(spark):
     nodes = {n for e in edges if e[0] != e[1] for n in e}
     assert got == grouped([e for e in edges if e[0] != e[1]], nodes)
     assert connected_components(df.where(F.lit(False))).count() == 0
+
+
+def test_repeated_and_missing_ids_lose_no_group(spark):
+    from .conftest import prose
+    a, b, c = (prose(60, k, tuple(f"{w}{k}" for w in "abcdefghijklmnop")) for k in (1, 2, 3))
+    df = spark.createDataFrame([(7, a, "x"), (7, b, "x"), (7, b, "y"), (8, c, "x")], "doc_id long, text string, fp string")
+    got = sorted(tuple(r) for r in simhash.deduplicated(df).collect())
+    assert got == sorted([(7, a, "x"), (7, b, "x"), (8, c, "x")])
+    df = spark.createDataFrame([(3, c), (5, a), (5, c), (9, b)], "doc_id long, text string")
+    got = sorted(tuple(r) for r in simhash.deduplicated(df).collect())
+    assert got == sorted([(3, c), (5, a), (9, b)])
+    df = spark.createDataFrame([(None, a), (None, a), (None, b), (4, c), (None, c)], "doc_id long, text string")
+    got = sorted((tuple(r) for r in simhash.deduplicated(df).collect()), key=str)
+    assert got == sorted([(None, a), (None, b), (4, c)], key=str)
