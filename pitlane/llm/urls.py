@@ -201,7 +201,8 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]] | None = None, order:
 
     A rule fits a host and its subdomains if the path starts with the rule's path;
     the longest wins. Without one the model decides (null url_score never occurs; a
-    null URL is scored as an empty text, one without ``://`` as it stands). If no
+    null URL is scored as an empty text). The model counts and scores whole URLs, query and
+    fragment too, scheme and host in lower case; one without ``://`` all in lower case. If no
     ruled URLs of both kinds exist, URLs without a rule are allowed. Rows are judged
     one by one: repeats stay; columns of these five names are replaced.
     """
@@ -212,9 +213,10 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]] | None = None, order:
     base = pages.select(*keep, host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules or RULES)
     base = base.withColumns({"rule": rule, "_ruled": verdict})
-    text = F.concat("host", "path")
-    text = F.when(text == "", F.coalesce(F.lower("url"), F.lit(""))).otherwise(text)
-    base = base.withColumn("_text", text)
+    before = F.translate(F.expr("left(url, instr(url, '://') + 2)"), _UPPER, _UPPER.lower())
+    after = F.expr("substring(url, instr(url, '://') + 3 + length(host))")
+    text = F.when(F.instr("url", "://") > 0, F.concat(before, "host", after)).otherwise(F.lower("url"))
+    base = base.withColumn("_text", F.coalesce(text, F.lit("")))
     model = fit(base.select(F.col("_text").alias("text"), F.col("_ruled").alias("verdict")), order)
     scores = model.scores(base.select(F.col("_text").alias("text")))
     scores = scores.select(F.col("text").alias("_scored"), F.col("score").alias("url_score"))

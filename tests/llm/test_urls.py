@@ -88,3 +88,13 @@ def test_no_ngram_is_left_out(spark):
     other = urls.Markov(dict(block), 3)
     for t in ("host.good/一", "other.good/7", "", "rare.bad/x"):
         assert abs(model.score(t) - (plain_model.log_likelihood(t) - other.log_likelihood(t))) < 1e-9
+
+
+def test_model_reads_query_and_fragment(spark):
+    rows = [(i, f"http://a.org/p?go=news{i}#read") for i in range(100)]
+    rows += [(100 + i, f"http://a.com/de/p?go=casino-win{i}#bet") for i in range(100)]
+    rows += [(900, "http://b.net/p?go=news"), (901, "HTTP://B.net/p?go=casino-win"), (902, "http://b.net/p#read"),
+             (903, "http://b.net/p#bet")]
+    out = urls.judged(spark.createDataFrame(rows, "page_id long, url string")).where("page_id >= 900").collect()
+    score = {r.page_id: r.url_score for r in out}
+    assert score[900] > score[901] and score[902] > score[903]
