@@ -11,7 +11,7 @@ from pathlib import Path
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -66,6 +66,23 @@ def tasks(spark: SparkSession) -> int:
                2 * spark.sparkContext.defaultParallelism)
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and back-ticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def appended(df: DataFrame, computed: Column, names: list[str]) -> DataFrame:
+    """``df`` and the fields ``names`` of the struct ``computed``.
+
+    The columns of ``df`` travel in a struct of their own, so no inner name meets one
+    of theirs; those named like a new one (in any case) are replaced.
+    """
+    new = {n.lower() for n in names}
+    kept = F.struct(*[quoted(c).alias(c) for c in df.columns if c.lower() not in new])
+    return (df.select(kept.alias("row"), computed.alias("made"))
+            .select("row.*", *[F.col(f"made.{n}").alias(n) for n in names]))
+
+
 def held_out(doc_id: str, folds: int, fold: int):
     """crc32(doc_id as text) mod ``folds`` equals ``fold``; a null id is never held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold,

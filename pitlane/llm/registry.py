@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm import (forest, language, licences, packing, pieces, quality, simhash, topk, toxicity,
+from pitlane.llm import (bpe, forest, language, licences, packing, pieces, quality, simhash, topk, toxicity,
                          urls)
 from pitlane.llm.common import held_out
 
@@ -91,6 +91,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("lang_score").alias("score"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids and decoded text of every document, as digests."""
+    out = bpe.coded(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file("byte_bpe_50k.json"))
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
     "op2_packing": op2_packing,
@@ -102,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
+    "op11_bpe": op11_bpe,
 }
 
 _USABLE = ("embedding IS NOT NULL AND len(embedding) > 0 AND "
