@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlane.llm import (bpe, forest, language, licences, packing, pieces, quality, simhash, topk, toxicity,
-                         urls)
+from pitlane.llm import (bpe, forest, language, lexical, licences, negatives, packing, pieces, quality, simhash, topk,
+                         toxicity, urls)
 from pitlane.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,18 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents for every benchmark item."""
+    return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for every hundredth vector; labels of every seventh are moved on by one first."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mined(_table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
     "op2_packing": op2_packing,
@@ -111,11 +123,16 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_language": op10_language,
     "op11_bpe": op11_bpe,
+    "op12_lexical": op12_lexical,
+    "op13_negatives": op13_negatives,
 }
 
 _USABLE = ("embedding IS NOT NULL AND len(embedding) > 0 AND "
            "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0")
 
+_TERMS = ("coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), [])")
+
 #: DuckDB SQL for the operators that SQL can express; the others are tested by brute force.
 ORACLE: dict[str, str] = {
     "op1_topk": f"""
@@ -139,4 +156,34 @@ degree AS (SELECT a AS r, count(*) AS n FROM link GROUP BY a)
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
 FROM v JOIN low USING (r) LEFT JOIN degree USING (r)""",
     "op7_licences": licences.oracle_sql(),
+    "op12_lexical": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+g AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d),
+i AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS terms FROM benchmark),
+asked AS (SELECT DISTINCT q, unnest(terms) AS term FROM i),
+word AS (SELECT r, unnest(terms) AS term FROM d),
+tf AS (SELECT r, term, count(*) AS tf FROM word WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, g GROUP BY term, n_docs),
+m AS (SELECT r, doc_id, 100 - 90 + ((90 * len(terms) * n_docs) // n_terms) AS m FROM d, g WHERE len(terms) > 0),
+s AS (SELECT q, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY q, r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM s JOIN m USING (r) JOIN i USING (q) WHERE score > 0) WHERE rank <= 10""",
+    "op13_negatives": f"""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, len(embedding) AS dim,
+    CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS z FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_USABLE}),
+s AS (SELECT a.r AS anchor, a.vec_id AS anchor_id, c.r, c.vec_id, a.label = c.label AS same,
+    CAST(list_dot_product(a.z, c.z) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.r <> c.r AND a.dim = c.dim),
+p AS (SELECT anchor, anchor_id, r AS positive, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, r) <= 5),
+n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY anchor, positive ORDER BY s.score DESC, s.vec_id, s.r) AS rank
+  FROM p JOIN s USING (anchor) WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 10""",
 }

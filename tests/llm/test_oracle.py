@@ -10,7 +10,7 @@ from pitlane.llm.registry import ORACLE, QUERIES
 def test_query_equals_sql(spark, name):
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     want = con.execute(ORACLE[name]).df()
     got = QUERIES[name](spark, sf).toPandas()
