@@ -534,3 +534,37 @@ def csv_null_sentinels(spark, sf_dir):
     drivers.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{raw_dir}/drivers.csv")
     back = load_raw_table(spark, "drivers", raw_dir, validate=True, tag=False)
     return back.drop("_seq")
+
+
+def _damaged_extract(spark, sf_dir):
+    """Raw CSV extracts of all tables in which a sixteenth of the records each is too long, too short, has
+    an open quote, or a well-formed quoted field; which, follows from the record's md5."""
+    from pitlane.session import scratch_path
+    raw_dir = scratch_path(spark, "damaged")
+    tables = cat.raw(spark, sf_dir)
+    for name, cols in EXPECTED_COLUMNS.items():
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]
+        record, short = F.concat_ws(",", *texts), F.concat_ws(",", *texts[:-1])
+        digit = F.left(F.md5(record), F.lit(1))
+        quoted = F.concat_ws(",", *texts[:-1], F.concat(F.lit('"'), texts[-1], F.lit(', ""so""\"')))
+        line = (F.when(digit == "0", F.concat(record, F.lit(",surplus"))).when(digit == "1", short)
+                .when(digit == "2", F.concat(F.lit('"'), record)).when(digit == "3", quoted).otherwise(record))
+        (tables[name].select(line.alias(",".join(cols))).write.option("header", True).option("quote", "")
+         .option("sep", "\u0001").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .csv(f"{raw_dir}/{name}.csv"))
+    return raw_dir
+
+
+@register("csv_malformed_rows")
+def csv_malformed_rows(spark, sf_dir):
+    """What is loaded of each damaged extract (rows, characters) and what the quarantine lists by kind."""
+    raw_dir = _damaged_extract(spark, sf_dir)
+    loaded = []
+    for name, cols in EXPECTED_COLUMNS.items():
+        df = I.load_raw_table(spark, name, raw_dir, tag=False)
+        length = F.length(F.concat_ws("", *[F.col(c) for c in cols]))
+        loaded.append(df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(length), F.lit(0)).alias("characters"))
+                      .select(F.lit(name).alias("table"), F.lit("loaded").alias("kind"), "rows", "characters"))
+    listed = (I.quarantine(spark, raw_dir).groupBy("table", "kind")
+              .agg(F.count("*").alias("rows"), F.sum(F.length("record")).alias("characters")))
+    return _union([*loaded, listed])

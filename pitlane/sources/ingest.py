@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,9 @@ from pitlane.functions.exprs import to_long
 from pitlane.session import path_exists
 from pitlane.sources.contracts import (EXPECTED_COLUMNS, NULL_SENTINELS, RACE_LINKED,
                                        SchemaContractError, validate_schema)
+from pitlane.sources.records import (REFUSED, MalformedRecordsError, header_of, kind_of, malformed_records,
+                                     raw_records, refuse_malformed)
+from pitlane.sources.records import SCHEMA as RECORD_SCHEMA
 
 SEQ_COL = "_seq"
 
@@ -32,29 +37,70 @@ def tag_metadata(df: DataFrame, source_name: str) -> DataFrame:
                            "_ingested_at": F.current_timestamp()})
 
 
-def read_raw_csv(spark: SparkSession, path: str, quoted_newlines: bool = False) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, quoted_newlines: bool = False,
+                 refused: tuple[str, ...] = REFUSED) -> DataFrame:
     """Header CSV with every column as text, doubled quotes as escapes.
 
-    No schema inference pass: without ``inferSchema`` Spark reads only the
-    header line to name the columns. The sequence column records the source
+    No schema inference pass: only the header line is read to name the columns.
+    Records of a ``refused`` kind (see ``records``) are left out, never cut to fit;
+    ``quarantine`` lists them. The sequence column records the source
     order: the file, the split's place in it, then the line; a task that runs
     again reproduces it. ``quoted_newlines`` lets quoted fields hold line breaks,
-    at the price of unsplittable files.
+    at the price of unsplittable files and of broken quotes being found only where
+    they change the number of fields.
     """
-    df = (spark.read.option("header", True).option("escape", '"').option("multiLine", quoted_newlines)
-          .option("mode", "PERMISSIVE").csv(path))
-    return df.withColumn(SEQ_COL, F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("line")))
+    names = header_of(spark, path)
+    seq = F.struct("file", "start", F.monotonically_increasing_id().alias("line")).alias(SEQ_COL)
+    if quoted_newlines or not names:
+        whole = "_record" + "_" * max(len(n) for n in [*names, ""])  # no column is called that
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, whole]])
+        df = (spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True)
+              .option("columnNameOfCorruptRecord", whole).csv(path))
+        place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")]
+        columns = [F.col(f"`{n}`") for n in names]
+        kind = kind_of(F.col(whole), len(names))
+        return (df.select(F.struct(*columns, whole).alias("row"), kind.alias("kind"), *place)
+                .where(F.col("kind").isNull() | ~F.col("kind").isin(*refused))
+                .select(*[F.col(f"row.`{n}`") for n in names], seq))
+    row = F.from_csv("record", T.StructType([T.StructField(n, T.StringType()) for n in names]).toDDL(), {"escape": '"'})
+    kind = kind_of(F.col("record"), len(names))
+    return (raw_records(spark, path).where(kind.isNull() | ~kind.isin(*refused))
+            .select(row.alias("row"), "file", "start").select("row.*", seq))
 
 
 def load_raw_table(spark: SparkSession, table: str, raw_dir: str,
-                   validate: bool = True, tag: bool = True) -> DataFrame:
-    """Read ``{raw_dir}/{table}.csv``; a missing file raises FileNotFoundError."""
+                   validate: bool = True, tag: bool = True, strict: bool = False) -> DataFrame:
+    """Read ``{raw_dir}/{table}.csv``; a missing file raises FileNotFoundError.
+
+    ``strict`` raises MalformedRecordsError if a record can't be loaded (this reads the file once more);
+    otherwise such records are left out and stay listed by ``quarantine``.
+    """
+    path = _extract(spark, table, raw_dir)
+    if strict:
+        refuse_malformed(spark, path)
+    return prepare_raw(read_raw_csv(spark, path), table, validate, tag)
+
+
+def _extract(spark: SparkSession, table: str, raw_dir: str) -> str:
     path = f"{raw_dir.rstrip('/')}/{table}.csv"
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no extract of table {table!r} at {path}")
-    return prepare_raw(read_raw_csv(spark, path), table, validate, tag)
+    return path
+
+
+def quarantine(spark: SparkSession, raw_dir: str, tables: Iterable[str] = tuple(EXPECTED_COLUMNS)) -> DataFrame:
+    """(table, file, line, kind, fields, record, loaded): every malformed record of the extracts that are there.
+
+    ``loaded`` tells the records that are in the table all the same, their last columns missing.
+    """
+    out = spark.createDataFrame([], f"table string, {RECORD_SCHEMA}, loaded boolean")
+    for name in tables:
+        try:
+            bad = malformed_records(spark, _extract(spark, name, raw_dir))
+        except FileNotFoundError:
+            continue
+        out = out.unionByName(bad.select(F.lit(name).alias("table"), "*", (~F.col("kind").isin(*REFUSED)).alias("loaded")))
+    return out
 
 
 def prepare_raw(df: DataFrame, table: str, validate: bool = True, tag: bool = True) -> DataFrame:
@@ -68,19 +114,21 @@ def prepare_raw(df: DataFrame, table: str, validate: bool = True, tag: bool = Tr
 
 
 def ingest_all_tables(spark: SparkSession, raw_dir: str, validate: bool = True,
-                      tag: bool = True) -> tuple[dict[str, DataFrame], DataFrame]:
-    """S3: ingest every contracted table; keep going past missing files and
-    contract errors, which are reported in a small (table, status, error) frame."""
+                      tag: bool = True, strict: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
+    """S3: ingest every contracted table; keep going past missing files, contract errors and, if
+    ``strict``, malformed records, which are reported in a small (table, status, error) frame."""
     tables: dict[str, DataFrame] = {}
     report = []
     for name in EXPECTED_COLUMNS:
         try:
-            tables[name] = load_raw_table(spark, name, raw_dir, validate, tag)
+            tables[name] = load_raw_table(spark, name, raw_dir, validate, tag, strict)
             report.append((name, "loaded", None))
         except FileNotFoundError as exc:
             report.append((name, "missing", str(exc)))
         except SchemaContractError as exc:
             report.append((name, "contract", str(exc)))
+        except MalformedRecordsError as exc:
+            report.append((name, "malformed", str(exc)))
     schema = "table string, status string, error string"
     return tables, spark.createDataFrame(report, schema)
 
