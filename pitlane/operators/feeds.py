@@ -1,8 +1,8 @@
 """Chart feeds and insights: the result tables behind the charts.
 
 Rendering is not part of the library; each feed is the DataFrame a chart is
-drawn from. Global scalars (a maximum, a median) are one scalar subquery. Medians are exact; they run over rates rounded to a few decimals, so the
-value->count buffer is bounded by the number of distinct rates, not by the row count.
+drawn from. A global maximum is a scalar subquery; medians are exact and come from
+rank selection in rounds (``quantiles``), which read the frame several times: pass a stored one.
 Top-k uses ``orderBy(...).limit(k)`` (TakeOrderedAndProject: per-partition
 top-k, then a k-row merge) with the key as the last sort column for ties.
 """
@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane.functions import exprs as X
+from pitlane.operators.order import placed
+from pitlane.operators.quantiles import quantiles
 
 # --- fixed values: highlighted surnames of the charts -----------------------
 WIN_PODIUM_HIGHLIGHT = ["Hamilton", "Verstappen", "Vettel", "Schumacher", "Alonso", "Räikkönen", "Rosberg"]
@@ -25,6 +27,12 @@ def _scalars(df: DataFrame, **aggs: F.Column) -> dict[str, F.Column]:
     return {n: row.getField(n) for n in aggs}
 
 
+def _medians(df: DataFrame, **columns: str) -> dict[str, F.Column]:
+    """Exact medians of columns of ``df``, as literals."""
+    found = quantiles(df, list(columns.values()), [0.5])
+    return {n: F.lit(found[c][0]).cast("double") for n, c in columns.items()}
+
+
 def feed_top_drivers(drivers: DataFrame, k: int = 15) -> DataFrame:
     """Top k drivers by career points, the leader flagged."""
     top = drivers.orderBy(F.desc("points_total"), F.asc("driver_id")).limit(k)
@@ -42,7 +50,7 @@ def feed_win_vs_podium(drivers: DataFrame, min_races: int = 50, size_base: float
                        highlight: list[str] = WIN_PODIUM_HIGHLIGHT) -> DataFrame:
     """Win rate vs podium rate for drivers with enough starts."""
     q = _qualified(drivers, min_races)
-    g = _scalars(q, max_n=F.max("races_entered"), podium=F.median("podium_rate_pct"), win=F.median("win_rate_pct"))
+    g = _scalars(q, max_n=F.max("races_entered")) | _medians(q, podium="podium_rate_pct", win="win_rate_pct")
     return q.select(
         "driver_id", "surname", "podium_rate_pct", "win_rate_pct", "points_per_race", "races_entered",
         (F.col("races_entered") / g["max_n"] * F.lit(900.0) + F.lit(size_base)).alias("bubble_size"),
@@ -86,7 +94,7 @@ def feed_dnf_vs_points(drivers: DataFrame, min_races: int = 30,
                        highlight: list[str] = DNF_HIGHLIGHT) -> DataFrame:
     """DNF rate vs points per race with medians."""
     q = _qualified(drivers, min_races)
-    g = _scalars(q, dnf=F.median("dnf_rate_pct"), points=F.median("points_per_race"))
+    g = _medians(q, dnf="dnf_rate_pct", points="points_per_race")
     return q.select(
         "driver_id", "surname", "nationality", "dnf_rate_pct", "points_per_race",
         F.col("surname").isin(highlight).alias("highlight"),
@@ -128,9 +136,7 @@ def feed_reliability_matrix(teams: DataFrame, from_year: int = 2015, min_seasons
     pv = pv.select("name", *[F.col(str(y)).alias(f"y{y}") for y in years]).na.drop(thresh=min_seasons, subset=cols)
     if not cols:
         return pv.withColumn("place", F.lit(None).cast("long"))
-    # One row per team: the unpartitioned window is bounded by their number.
-    newest = Window.orderBy(F.desc_nulls_last(cols[-1]), F.asc("name"))
-    return pv.withColumn("place", F.row_number().over(newest).cast("long"))
+    return placed(pv, [F.desc_nulls_last(cols[-1]), F.asc("name")])
 
 
 def insights(drivers: DataFrame, teams: DataFrame, seasons: DataFrame, focus_year: int) -> DataFrame:
@@ -180,41 +186,16 @@ def insights(drivers: DataFrame, teams: DataFrame, seasons: DataFrame, focus_yea
 def describe(df: DataFrame, cols: list[str], decimals: int = 2) -> DataFrame:
     """Count, mean, std, min, quartiles (exact, linear), max per column.
 
-    Quartiles come from a count per distinct value: the values are grouped (with
-    map-side combine) and a running count per column finds the two neighbours that
-    each quartile lies between, so no task buffers a column's values. Results are
-    half-even rounded to ``decimals``.
+    Quartiles come from ``quantiles``, in rounds that split the values by rank, so no task holds or sorts a
+    column's values. Results are half-even rounded to ``decimals``.
     """
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"))
                                         for c in cols]))).where("x IS NOT NULL")
     stats = long.groupBy("column").agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
                                        F.min("x").alias("min"), F.max("x").alias("max"))
-    quartiles = _quartiles(long)
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
-    out = names.join(stats, "column", "left").join(quartiles, "column", "left")
+    quartiles = quantiles(df, cols, [0.25, 0.5, 0.75])
+    names = df.sparkSession.createDataFrame([(c, *quartiles[c]) for c in cols],
+                                            "column string, q25 double, q50 double, q75 double")
+    out = names.join(stats, "column", "left")
     return out.select("column", F.coalesce("count", F.lit(0)).cast("long").alias("count"),
                       *[X.round_half_even(s, decimals).alias(s) for s in ("mean", "std", "min", "q25", "q50", "q75", "max")])
-
-
-def _quartiles(values: DataFrame, bins: int = 1024) -> DataFrame:
-    """(column, q25, q50, q75) of (column, x), linear between neighbours, exact.
-
-    Distinct values are binned between the column's extremes; only the bins' counts
-    are summed in one place, then the values of the bins that quartiles fall into.
-    """
-    by_value = values.groupBy("column", "x").agg(F.count("*").alias("n"))
-    span = values.groupBy("column").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("total"))
-    at = F.least(F.lit(bins - 1), F.floor(F.try_divide(F.col("x") - F.col("lo"), F.col("hi") - F.col("lo")) * bins))
-    binned = by_value.join(span, "column").withColumn("bin", F.coalesce(at, F.lit(0)))
-    counts = binned.groupBy("column", "bin").agg(F.sum("n").alias("n"))
-    before = Window.partitionBy("column").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    inside = Window.partitionBy("column", "bin").orderBy("x")
-    placed = binned.join(counts, ["column", "bin"]).withColumn("last", F.col("before") + F.sum("n").over(inside))
-    out = []
-    for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
-        rank = F.lit(p) * (F.col("total") - 1)  # counted from 0
-        low = F.min(F.when(F.col("last") > F.floor(rank), F.col("x")))
-        high = F.min(F.when(F.col("last") > F.ceil(rank), F.col("x")))
-        out.append((low + (high - low) * F.max(rank - F.floor(rank))).alias(name))
-    return placed.groupBy("column").agg(*out)

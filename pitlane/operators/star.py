@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlane.functions import exprs as X
+from pitlane.operators.order import placed
 from pitlane.operators.clean import remove_duplicates, select_existing
 from pitlane.operators.marts import qualifying_positions
 from pitlane.operators.quality import table_row_counts
@@ -35,7 +36,7 @@ def build_dimension(df: DataFrame, name: str) -> DataFrame:
 def build_dim_date(races: DataFrame) -> DataFrame:
     """D-5: one row per distinct race date with calendar attributes.
 
-    Unsorted, as a table; ``orderBy("date")`` gives the calendar's order (K13)."""
+    Unsorted, as a table; ``calendar`` gives it in date order (K13)."""
     d = races.select("date").where(F.col("date").isNotNull()).distinct()
     return d.select(
         "date",
@@ -49,6 +50,11 @@ def build_dim_date(races: DataFrame) -> DataFrame:
     )
 
 
+def calendar(dim_date: DataFrame) -> DataFrame:
+    """The date dimension sorted by date, with each date's ``place``; sorted in ranges, by many tasks."""
+    return placed(dim_date, [F.asc("date")]).orderBy("place")
+
+
 def build_star_fact(results: DataFrame, qualifying: DataFrame) -> DataFrame:
     """D-6: narrow fact with qualifying position and positions gained."""
     fact = results.join(qualifying_positions(qualifying), ["race_id", "driver_id"], "left")

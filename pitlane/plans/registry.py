@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlane.operators import clean as C
@@ -212,10 +212,9 @@ def _marts(spark, sf_dir):
 
 
 def _places(mart, value, key):
-    """Place of each row by ``value`` (largest first), then ``key``, without a one-task sort."""
-    from pitlane.operators.ranking import standings_position
-    one = mart.select(F.lit(1).alias("all"), key, value)
-    return standings_position(one, ["all"], value, key, out="place").select(key, value, "place")
+    """Place of each row by ``value`` (largest first), then ``key``."""
+    from pitlane.operators.order import placed
+    return placed(mart.select(key, value), [F.desc(value), F.asc(key)])
 
 
 @register("mart_order_drivers")
@@ -228,13 +227,31 @@ def mart_order_drivers(spark, sf_dir):
 @register("mart_order_teams")
 def mart_order_teams(spark, sf_dir):
     """K2, K4: each season's teams by championship position, and by points."""
+    from pitlane.operators.order import placed
     m = cat.stored_marts(spark, sf_dir)["team_performance_mart"]
-    in_season = Window.partitionBy("year")
-    return m.select(
-        "constructor_id", "year",
-        F.row_number().over(in_season.orderBy(F.asc_nulls_last("wcc_position"), "constructor_id")).cast("long").alias("place"),
-        F.row_number().over(in_season.orderBy(F.desc_nulls_last("points_total"), "constructor_id")).cast("long")
-        .alias("place_by_points"))
+    m = placed(m.select("constructor_id", "year", "wcc_position", "points_total"),
+               [F.asc_nulls_last("wcc_position"), F.asc("constructor_id")], ["year"])
+    m = placed(m, [F.desc_nulls_last("points_total"), F.asc("constructor_id")], ["year"], out="place_by_points")
+    return m.select("constructor_id", "year", "place", "place_by_points")
+
+
+@register("mart_order_seasons")
+def mart_order_seasons(spark, sf_dir):
+    """K3: the seasons of the season mart and of the SQL season overview, in order."""
+    from pitlane.operators.order import placed
+    marts = {"season_trends_mart": cat.stored_marts(spark, sf_dir)["season_trends_mart"],
+             "mart_season_overview": cat.models(spark, sf_dir)["mart_season_overview"]}
+    both = _union([df.select(F.lit(n).alias("mart"), F.col("year").cast("long").alias("year"),
+                             F.col("total_races").cast("long").alias("total_races")) for n, df in marts.items()])
+    return placed(both, [F.asc_nulls_last("year")], ["mart"])
+
+
+@register("results_order_by_points")
+def results_order_by_points(spark, sf_dir):
+    """K1 over the whole fact: each entry's place by points; few distinct points, so most of the rows are ties."""
+    from pitlane.operators.order import placed
+    r = _t(spark, sf_dir)["results"].select("result_id", "points")
+    return placed(r, [F.desc_nulls_last("points"), F.asc("result_id")])
 
 
 @register("mart_order_circuits")
@@ -294,6 +311,15 @@ def _star(spark, sf_dir):
 
 for _d in ("dim_drivers", "dim_constructors", "dim_circuits", "dim_races", "dim_date"):
     REGISTRY[_d] = (lambda d: (lambda spark, sf_dir: _star(spark, sf_dir)[d]))(_d)
+
+
+@register("dim_date_order")
+def dim_date_order(spark, sf_dir):
+    """The calendar's dates in order."""
+    from pitlane.operators.star import calendar
+    return calendar(_star(spark, sf_dir)["dim_date"]).select("date", "year", "place")
+
+
 REGISTRY["star_fact"] = lambda spark, sf_dir: _star(spark, sf_dir)["fact_race_results"]
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitlane.operators.ranking import standings_position
+from pitlane.operators.order import placed
 
 NULL = "\\N"
 #: Result ids start above 2**53, where doubles no longer tell neighbours apart.
@@ -172,8 +172,8 @@ def _standings(t: dict[str, DataFrame], lines: DataFrame, entity: str,
     """Standings after the last race of each half season (snap 1) and season (snap 2).
 
     Points and wins are sums over the results up to that race; the position
-    is the order by points (desc) then entity id, counted with the
-    histogram-based position so a season never sits in one task.
+    is the order by points (desc) then entity id, found by range partitioning,
+    so a season never sits in one task.
     """
     days = race_days(t["orders"])
     last = days.groupBy("year").agg(
@@ -185,7 +185,7 @@ def _standings(t: dict[str, DataFrame], lines: DataFrame, entity: str,
     agg2 = lines.groupBy("year", entity).agg(
         F.sum("qty").alias("pts"), F.sum(win).alias("wins")).withColumn("snap", F.lit(2))
     both = agg1.unionByName(agg2)
-    ranked = standings_position(both, ["year", "snap"], "pts", entity, out="pos")
+    ranked = placed(both, [F.desc("pts"), F.asc(entity)], ["year", "snap"], out="pos")
     ranked = ranked.join(last, "year")
     rid = F.when(F.col("snap") == 1, F.col("last1")).otherwise(F.col("last2"))
     sid = F.col(entity) * 100000 + F.col("year") * 10 + F.col("snap")  # snapshots stay under 100,000
