@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlane.llm.common import prepare, stored, tasks
@@ -23,24 +23,33 @@ COORDINATES_FROM = 0.6
 FOCUS = 4
 
 
-def _ints(column: pa.ChunkedArray) -> np.ndarray:
+#: Scores beyond 64 bits are held at this size; returning one is an error.
+BEYOND = np.iinfo(np.int64).max
+
+
+def _whole(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of whole numbers, as doubles."""
     rows = len(column)
     flat = pa.concat_arrays([c.flatten() for c in column.chunks]).to_numpy(zero_copy_only=False)
     return flat.reshape(rows, -1)
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products; through double precision where that is exact."""
+    """Exact inner products of whole numbers: in doubles or 64-bit integers where these hold them,
+    else in Python's integers."""
     top = max(1, int(np.abs(a).max(initial=0))) * max(1, int(np.abs(b).max(initial=0))) * a.shape[1]
     if top < 1 << 53:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+        return (a @ b.T).astype(np.int64)
+    if top < 1 << 63:
+        return a.astype(np.int64) @ b.astype(np.int64).T
+    a, b = (np.array([[int(x) for x in row] for row in m], object).reshape(m.shape) for m in (a, b))
+    return np.clip(a.dot(b.T), -BEYOND, BEYOND).astype(np.int64)
 
 
 def survivors(q: np.ndarray, floor: float, unit: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Candidates (sorted by length, longest first) that may reach the score ``floor`` with ``q``."""
     size = float(np.sqrt((q.astype(float) ** 2).sum()))
-    if floor <= 0 or size == 0:
+    if floor <= 0 or size == 0 or not np.isfinite(size * length[0]):
         return np.arange(len(length))
     slack = 1e-9 * floor
     fits = int(np.searchsorted(-length, -(floor - slack) / size, side="right"))  # length pruning
@@ -69,12 +78,12 @@ def _searched(k: int):
         """The k best candidates of each query that reach its floor, itself left out."""
         out = {"query_row": [], "vec_row": [], "query_id": [], "vec_id": [], "score": []}
         if len(queries) and len(candidates):
-            cz, ids, rows = _ints(candidates["z"]), candidates["vec_id"].to_numpy(), candidates["row"].to_numpy()
+            cz, ids, rows = _whole(candidates["z"]), candidates["vec_id"].to_numpy(), candidates["row"].to_numpy()
             length = np.sqrt((cz.astype(float) ** 2).sum(axis=1))
             order = np.argsort(-length, kind="stable")
             cz, ids, rows, length = cz[order], ids[order], rows[order], length[order]
             unit = cz / np.maximum(length, 1e-12)[:, None]
-            qz, qid = _ints(queries["z"]), queries["vec_id"].to_numpy()
+            qz, qid = _whole(queries["z"]), queries["vec_id"].to_numpy()
             qrow, floor = queries["row"].to_numpy(), queries["floor"].to_numpy(zero_copy_only=False)
             for lo in range(0, len(qz), 256):
                 part = slice(lo, lo + 256)
@@ -90,6 +99,8 @@ def _searched(k: int):
                         reach = score >= floor[i]
                         at, score = at[reach], score[reach]
                     top = _best(ids[at], score, k)
+                    if len(top) and np.abs(score[top]).max() == BEYOND:
+                        raise OverflowError("a score is no 64-bit integer")
                     out["query_row"].append(np.full(len(top), qrow[i]))
                     out["query_id"].append(np.full(len(top), qid[i]))
                     out["vec_row"].append(rows[at[top]])
@@ -106,18 +117,19 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, scale: int = 64, sha
     divisible by ``every``, by the inner product of floor(scale * component).
 
     Ties go to the smaller vec_id. A row is never its own candidate, but a repeated
-    row with the same vec_id is one. Null ids and vectors, empty ones, those with null
-    or non-finite components or components too large for 64-bit products take no
-    part; vectors of different lengths are no candidates for each other. A vector of
-    zeros takes part with score 0. An empty table gives an empty result.
+    row with the same vec_id is one. Null ids and vectors, empty ones and those with null
+    or non-finite components take no part; vectors of different lengths are no candidates for
+    each other. A vector of zeros takes part with score 0. Scores are exact at any size; a
+    result that is no 64-bit integer raises OverflowError. An empty table gives an empty result.
     """
     spark = vectors.sparkSession
     prepare(spark)
-    z = F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
-    most = float(1 << 27)
-    small = F.forall("embedding", lambda x: F.abs(x.cast("double")) * scale < most)
-    rows = (vectors.where(usable("embedding") & F.col("vec_id").isNotNull()).where(small)
-            .select(F.col("vec_id").cast("long").alias("vec_id"), z.cast("array<bigint>").alias("z"))
+    def floored(x: Column) -> Column:
+        y = F.lit(float(scale)) * x.cast("double")
+        return F.when(F.abs(y) < float(1 << 53), F.floor(y).cast("double")).otherwise(y)  # larger ones are whole
+
+    rows = (vectors.where(usable("embedding") & F.col("vec_id").isNotNull())
+            .select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", floored).alias("z"))
             .withColumn("length", F.sqrt(F.aggregate("z", F.lit(0.0), lambda s, x: s + x * x)))
             .withColumn("dim", F.size("z")).withColumn("row", F.monotonically_increasing_id()))
     rows = stored(rows, "vectors")  # from here on the row numbers are fixed

@@ -79,3 +79,25 @@ def test_query_against_brute_force(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()]
     out = registry.op1_topk(spark, "/root/testdata/sf0.001").collect()
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in out) == brute(rows)
+
+
+def test_large_components_take_part_exactly(spark):
+    import numpy as np
+    r = random.Random(5)
+    rows = [(0, [3e6] * 4), (1, [1e6, 2.0, 3.0, 4.0]), (2, [-3e6, 3e6, 1.0, 0.0]), (20, [1.0] * 4), (40, [0.0] * 4)]
+    rows += [(100 + i, [float(np.float32(r.uniform(-1e7, 1e7))) for _ in range(4)]) for i in range(60)]
+    assert run(vectors(spark, rows), shard=16) == brute(rows)
+
+
+def test_products_at_any_size():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    for size in (1 << 20, 1 << 29, 1 << 40):
+        a, b = (np.floor(rng.uniform(-size, size, (n, 5))) for n in (7, 9))
+        want = [[sum(int(x) * int(y) for x, y in zip(u, v)) for v in b] for u in a]
+        assert topk.products(a, b).tolist() == [[max(-topk.BEYOND, min(topk.BEYOND, x)) for x in u] for u in want]
+
+
+def test_scores_beyond_64_bits_raise(spark):
+    with pytest.raises(Exception, match="64-bit"):
+        run(vectors(spark, [(0, [1e12] * 4), (1, [1e12] * 4)]))
