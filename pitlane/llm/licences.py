@@ -101,13 +101,16 @@ def scanned(docs: DataFrame, known: DataFrame) -> DataFrame:
         low = F.lower(F.col(text))
         return reduce(or_, [F.contains(low, F.lit(a)) for a in anchors], F.lit(False)) if all(anchors) else F.lit(True)
 
-    lines = (rows.where(may_match("text")).select("doc_id", "text_digest", F.explode(F.split("text", "\n")).alias("line"))
+    # Rows of one id are told apart by their exact texts, so each has the notices of its own lines.
+    lines = (rows.where(may_match("text"))
+             .select("doc_id", F.md5("text").alias("exact"), F.explode(F.split("text", "\n")).alias("line"))
              .where(may_match("line")))
     line = canonical(F.col("line"))
     found = (lines.withColumn("digest", F.when(line != "", F.md5(line))).join(known, "digest")
-             .groupBy("doc_id", "text_digest").agg(F.array_sort(F.collect_set("licence")).alias("notices"))
-             .withColumnsRenamed({"doc_id": "_doc", "text_digest": "_digest"}))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("text_digest").eqNullSafe(F.col("_digest"))
+             .groupBy("doc_id", "exact").agg(F.array_sort(F.collect_set("licence")).alias("notices"))
+             .withColumnsRenamed({"doc_id": "_doc", "exact": "_exact"}))
+    whole = whole.select("doc_id", "text_digest", "licence", F.md5("text").alias("exact"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("exact") == F.col("_exact"))
     return (whole.join(found, same, "left")
             .select("doc_id", "text_digest", "licence",
                     F.coalesce("notices", F.array().cast("array<string>")).alias("notices")))
