@@ -11,7 +11,7 @@ from pathlib import Path
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -91,12 +91,13 @@ def held_out(doc_id: str, folds: int, fold: int):
 
 def sample_by_label(docs: DataFrame, keys: DataFrame, label: str, per_label: int,
                     max_bytes: int) -> DataFrame:
-    """(text, label) of at most ``per_label`` rows of each label value 0 and 1.
+    """(doc_id, text, label) of at most ``per_label`` documents of each label value 0 and 1, one row each.
 
     ``keys`` (doc_id, label) are taken in the order of a hash of the id, so the
-    sample is the same in every run. Twice as many ids are drawn as rows are
-    kept, as texts of over ``max_bytes`` are left out of *training* only. The
-    drawn ids are bounded by the parameters, so broadcasting them is safe.
+    sample is the same in every run. Twice as many ids are drawn as documents are
+    kept, as texts of over ``max_bytes`` are left out of *training* only; the smallest ids stay. Of an id's
+    texts the first counts, so what leaves the cluster is bounded by the parameters however often ids
+    repeat. The drawn ids are bounded by them too, so broadcasting them is safe.
     """
     drawn = None
     for value in (0, 1):
@@ -106,8 +107,10 @@ def sample_by_label(docs: DataFrame, keys: DataFrame, label: str, per_label: int
         drawn = part if drawn is None else drawn.unionByName(part)
     texts = (docs.select("doc_id", "text")
              .where(F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes)))
-    return (texts.join(F.broadcast(drawn), "doc_id")
-            .select("doc_id", "text", F.col("_label").alias("label")))
+    single = (texts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id")
+              .agg(F.min("text").alias("text"), F.max("_label").alias("label")))
+    nth = F.row_number().over(Window.partitionBy("label").orderBy("doc_id"))  # over at most 2 * per_label rows each
+    return single.withColumn("nth", nth).where(F.col("nth") <= per_label).select("doc_id", "text", "label")
 
 
 def held(key: tuple, build: Callable[[], Any]) -> Any:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import held, held_out, prepare
+from pitlane.llm.common import appended, held, held_out, prepare
 
 BITS = 16
 GRAM = 4
@@ -202,7 +202,4 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
              pa.array(shares, pa.map_(pa.string(), pa.float64()))],
             names=["lang_pred", "lang_score", "lang_shares"])
 
-    new = ("lang_pred", "lang_score", "lang_shares")
-    keep = [c for c in docs.columns if c.lower() not in new]
-    return (docs.select(*keep, run(F.col("text")).alias("_lang"))
-            .select(*keep, *[F.col(f"_lang.{c}").alias(c) for c in new]))
+    return appended(docs, run(F.col("text")), ["lang_pred", "lang_score", "lang_shares"])

@@ -184,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = 700, max_bytes: int
     """
     keys = labels.where(~held_out("doc_id", 4, 2)).select("doc_id", "quality")
     rows = sample_by_label(docs, keys, "quality", per_label, max_bytes).toPandas()
-    rows = rows.sort_values(["doc_id", "text"]).groupby("label").head(per_label)
+    rows = rows.sort_values("doc_id")
     return train([t.encode() for t in rows["text"]], rows["label"].tolist())
 
 

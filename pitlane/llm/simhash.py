@@ -17,8 +17,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pitlane.llm.common import held, prepare, stored, tasks
+from pitlane.llm.common import held, prepare, quoted, stored, tasks
 from pitlane.llm.components import connected_components
 
 SEED = 42
@@ -224,37 +225,50 @@ def _grouped(docs: DataFrame, words: int, max_bits: int) -> DataFrame:
     return marked.join(of_class, "fp").select("doc_id", "fp", "component", "component_id")
 
 
+def _sortable(kind: T.DataType) -> bool:
+    """Whether values of this type have an order."""
+    if isinstance(kind, T.ArrayType):
+        return _sortable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_sortable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, T.MapType | T.VariantType)
+
+
 def deduplicated(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: its smallest doc_id's.
 
     Of several rows of the group with that id, or of a group in which every id is
-    null, one stays (the first by fingerprint, text and the other columns, nulls first).
+    null, one stays (the first by fingerprint, text and the other columns, nulls first; columns
+    without an order, such as maps, count by their JSON). Columns may have any name and type.
     """
     marked = stored(_grouped(docs, words, max_bits), "groups")
-    kept = marked.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = marked.where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
     # The ids grow with the documents, so they are never broadcast; hashing spares sorting whole texts.
     kept = kept.hint("shuffle_hash")
-    rows = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").select(*docs.columns)
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # The caller's columns travel in a struct, so no inner name meets one of theirs.
+    whole = docs.select(F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row"), "doc_id", "text")
+    rows = whole.join(kept, F.col("doc_id") == F.col("kept"), "left_semi")
+    row = F.col("row")
+    others = [row.getField(f.name) if _sortable(f.dataType) else F.to_json(F.struct(row.getField(f.name).alias("v")))
+              for f in docs.schema if f.name not in ("doc_id", "text")]
 
     def first_of_each(some: DataFrame, places: DataFrame) -> DataFrame:
         """One row of ``some`` for each component of ``places`` (doc_id, fp, component)."""
-        whole = fingerprints(some.select("text", F.struct(*docs.columns).alias("_row")), words)
-        places = places.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"),
-                               F.col("component").alias("_component")).distinct()
-        fits = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp"))
-        order = F.struct(F.col("fp").alias("_print"), "_row.text", *[f"_row.{c}" for c in others], "_row.doc_id")
-        best = whole.join(places, fits).groupBy("_component").agg(F.min(order).alias("_best"))
-        return best.select(*[F.col(f"_best.{c}").alias(c) for c in docs.columns])
+        places = places.select(F.col("doc_id").alias("id"), F.col("fp").alias("print"), "component").distinct()
+        fits = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("fp") == F.col("print"))
+        order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate((F.col("fp"), F.col("text"), *others, F.col("doc_id")))])
+        best = fingerprints(some, words).join(places, fits).groupBy("component").agg(F.min_by("row", order).alias("row"))
+        return best.select("row")
 
     twice = (marked.groupBy("doc_id").agg(F.count("*").alias("n"))
              .where("n > 1 and doc_id is not null").select("doc_id"))
-    if not twice.isEmpty():  # repeated ids are rare: without any, whole texts are moved once only
-        single = rows.join(twice, "doc_id", "left_anti").select(*docs.columns)
-        several = rows.join(twice, "doc_id", "left_semi").select(*docs.columns)
+    if twice.isEmpty():  # repeated ids are rare: without any, whole texts are moved once only
+        rows = rows.select("row")
+    else:
         places = marked.where("doc_id = component_id").join(twice, "doc_id", "left_semi")
-        rows = single.unionByName(first_of_each(several, places))
+        several = first_of_each(rows.join(twice, "doc_id", "left_semi"), places)
+        rows = rows.join(twice, "doc_id", "left_anti").select("row").unionByName(several)
     nameless = marked.where("doc_id is null and component_id is null")
-    if nameless.isEmpty():
-        return rows
-    return rows.unionByName(first_of_each(docs.where("doc_id is null"), nameless))
+    if not nameless.isEmpty():
+        rows = rows.unionByName(first_of_each(whole.where("doc_id is null"), nameless))
+    return rows.select("row.*")

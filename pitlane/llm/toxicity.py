@@ -402,7 +402,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1500, max_bytes: in
     """
     keys = labels.where(~held_out("doc_id", 5, 0)).select("doc_id", "toxic")
     rows = sample_by_label(docs, keys, "toxic", per_label, max_bytes).toPandas()
-    rows = rows.sort_values(["doc_id", "text"]).groupby("label").head(per_label)
+    rows = rows.sort_values("doc_id")
     counts = {r["toxic"]: r["count"] for r in keys.groupBy("toxic").count().collect()}
     odds = counts.get(0, 0) / counts[1] if counts.get(1) else None
     return train(rows["text"].tolist(), rows["label"].tolist(), odds=odds)

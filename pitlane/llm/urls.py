@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitlane.llm.common import prepare, stored, tasks
+from pitlane.llm.common import prepare, quoted, stored, tasks
 
 #: (verdict, rule): host, then the path's start.
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -208,18 +208,19 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]] | None = None, order:
     """
     prepare(pages.sparkSession)
     new = ("host", "path", "rule", "url_score", "verdict")
-    keep = [c for c in pages.columns if c.lower() not in new]
+    # The caller's columns travel in a struct, so no inner name meets one of theirs.
+    row = F.struct(*[quoted(c).alias(c) for c in pages.columns if c.lower() not in new])
     host, path = host_and_path("url")
-    base = pages.select(*keep, host.alias("host"), path.alias("path"))
+    base = pages.select(row.alias("row"), "url", host.alias("host"), path.alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules or RULES)
-    base = base.withColumns({"rule": rule, "_ruled": verdict})
+    base = base.withColumns({"rule": rule, "ruled": verdict})
     before = F.translate(F.expr("left(url, instr(url, '://') + 2)"), _UPPER, _UPPER.lower())
     after = F.expr("substring(url, instr(url, '://') + 3 + length(host))")
     text = F.when(F.instr("url", "://") > 0, F.concat(before, "host", after)).otherwise(F.lower("url"))
-    base = base.withColumn("_text", F.coalesce(text, F.lit("")))
-    model = fit(base.select(F.col("_text").alias("text"), F.col("_ruled").alias("verdict")), order)
-    scores = model.scores(base.select(F.col("_text").alias("text")))
-    scores = scores.select(F.col("text").alias("_scored"), F.col("score").alias("url_score"))
-    out = base.join(scores, F.col("_text") == F.col("_scored"))
+    base = base.withColumn("text", F.coalesce(text, F.lit(""))).drop("url")
+    model = fit(base.select("text", F.col("ruled").alias("verdict")), order)
+    scores = model.scores(base.select("text"))
+    scores = scores.select(F.col("text").alias("scored"), F.col("score").alias("url_score"))
+    out = base.join(scores, F.col("text") == F.col("scored"))
     by_model = F.when(F.col("url_score") >= F.lit(model.threshold), "allow").otherwise("block")
-    return out.withColumn("verdict", F.coalesce("_ruled", by_model)).select(*keep, *new)
+    return out.withColumn("verdict", F.coalesce("ruled", by_model)).select("row.*", *new)

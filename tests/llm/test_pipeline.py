@@ -61,5 +61,5 @@ def test_registered():
     import __spark_entry__
     names = __spark_entry__.queries()
     assert set(registry.QUERIES) | {"pipeline"} <= set(names)
-    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(registry.ORACLE) <= set(__spark_entry__.oracle_sql())
