@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlane.llm import packing, quality, simhash, toxicity
-from pitlane.llm.common import stored
+from pitlane.llm.common import quoted, stored
 from pitlane.llm.registry import tokenizer_file
 
 
@@ -38,8 +38,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _kept(docs: DataFrame, scored, model, condition) -> DataFrame:
     """Rows of ``docs`` that satisfy ``condition`` on their score, as they were."""
-    whole = docs.select("text", F.struct(*docs.columns).alias("_row"))
-    return scored(whole, model).where(condition).select("_row.*")
+    whole = docs.select("text", F.struct(*[quoted(c).alias(c) for c in docs.columns]).alias("row"))
+    return scored(whole, model).where(condition).select("row.*")
 
 
 STAGES = [("toxicity", not_toxic), ("quality classifier", good_quality), ("simhash near-dedup", near_dedup),
