@@ -174,6 +174,16 @@ for _v in ("stg_results", "stg_drivers", "stg_constructors", "stg_races", "stg_c
            "stg_qualifying", "stg_pit_stops"):
     REGISTRY[_v] = (lambda v: (lambda spark, sf_dir: _staging(spark, sf_dir, v)))(_v)
 
+def _csv_staging(spark, sf_dir, view):
+    """A staging model in SQL over a CSV file with inferred types."""
+    from pitlane.plans.sqlmodels import csv_staging, source_of
+    return csv_staging(spark, cat.cleaned_csv(spark, sf_dir, [source_of(view)]), [view])[view]
+
+
+for _v in ("stg_results", "stg_drivers", "stg_constructors", "stg_races", "stg_circuits",
+           "stg_qualifying", "stg_pit_stops"):
+    REGISTRY[f"csv_{_v}"] = (lambda v: (lambda spark, sf_dir: _csv_staging(spark, sf_dir, v)))(_v)
+
 for _m, _k in (("mart_driver_performance", "sql_driver_performance"),
                ("mart_team_performance", "sql_team_performance"),
                ("mart_season_overview", "sql_season_overview"),

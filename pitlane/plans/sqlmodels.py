@@ -1,7 +1,7 @@
 """SQL layer: staging views and SQL marts in Spark SQL.
 
-Staging models are projections of the cleaned tables (declared types, no inference
-pass). Marts are Spark SQL over them. Rounding follows the SQL engine the models
+Staging models are projections of the cleaned tables: frames with declared types, or
+CSV files whose types are inferred (``csv_staging``). Marts are Spark SQL over them. Rounding follows the SQL engine the models
 were written for: half away from zero on the scaled binary value (``_round``), and
 percentages use a DOUBLE literal so Spark does not switch to DECIMAL arithmetic.
 Sort orders are applied only where a mart is shown: a sorted mart costs a range
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlane.functions import exprs as X
+from pitlane.sources.typed import register_csv_sources
 
 # --- fixed values: staging projections -------------------------------------
 STAGING_COLUMNS: dict[str, list[str]] = {
@@ -60,6 +61,25 @@ def staging(cleaned, views: list[str] | None = None) -> dict[str, DataFrame]:
     return out
 
 
+def source_of(view: str) -> str:
+    """The cleaned table that a staging model reads."""
+    return _STAGING_SOURCE[view]
+
+
+def staging_sql(view: str, source: str | None = None) -> str:
+    """SQL text of a staging model over the view or table ``source`` (default: its source table's name)."""
+    gained = "rint(grid - position_numeric) AS positions_gained"
+    columns = ", ".join(gained if c == "positions_gained" else c for c in STAGING_COLUMNS[view])
+    return f"SELECT {columns} FROM {source or _STAGING_SOURCE[view]}"
+
+
+def csv_staging(spark: SparkSession, folder: str, views: list[str] | None = None, prefix: str = "csv_") -> dict[str, DataFrame]:
+    """The staging models in SQL over the cleaned tables' CSV files, whose types are inferred from all rows."""
+    views = views or list(STAGING_COLUMNS)
+    register_csv_sources(spark, folder, [_STAGING_SOURCE[v] for v in views], prefix=prefix)
+    return {v: spark.sql(staging_sql(v, prefix + _STAGING_SOURCE[v])) for v in views}
+
+
 def register_staging(cleaned, prefix: str, views: list[str] | None = None) -> dict[str, DataFrame]:
     """The staging models as temp views, for ad-hoc SQL. The models themselves get
     their inputs as DataFrames; ``prefix`` keeps the views of two folders apart."""

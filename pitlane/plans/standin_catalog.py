@@ -42,10 +42,10 @@ class LazyFrames(Mapping):
         return len(self._factories)
 
 
-_MEMO: dict[tuple, LazyFrames] = {}
+_MEMO: dict[tuple, Mapping] = {}
 
 
-def _memo(spark: SparkSession, key: tuple, build: Callable[[], LazyFrames]) -> LazyFrames:
+def _memo(spark: SparkSession, key: tuple, build: Callable[[], Mapping]) -> Mapping:
     """Frames of this application; those of an earlier, stopped one are forgotten."""
     app = spark.sparkContext.applicationId
     for old in [k for k in _MEMO if k[0] != app]:
@@ -149,3 +149,12 @@ def models(spark: SparkSession, sf_dir: str, keep: bool = False) -> LazyFrames:
         frames |= {n: (lambda n=n: hold(sql_mart(spark, n, out), n)) for n in SQL_MARTS}
         return out
     return _memo(spark, ("models", sf_dir, keep), build)
+
+
+def cleaned_csv(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
+    """A folder with the named cleaned tables as ``{name}_clean.csv``, each written once."""
+    folder = _memo(spark, ("csv", sf_dir), lambda: {"folder": scratch_path(spark, "cleaned_csv")})
+    for n in names:
+        if n not in folder:
+            folder[n] = write_table(cleaned(spark, sf_dir)[n], f"{folder['folder']}/{n}_clean.csv", "csv")
+    return folder["folder"]
