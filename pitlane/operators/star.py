@@ -9,7 +9,7 @@ from pitlane.functions import exprs as X
 from pitlane.operators.order import placed
 from pitlane.operators.clean import remove_duplicates, select_existing
 from pitlane.operators.marts import qualifying_positions
-from pitlane.operators.quality import table_row_counts
+from pitlane.sources.io import replace_table
 
 # --- fixed values: columns and key of each dimension, columns of the fact
 DIM_COLUMNS = {
@@ -76,13 +76,12 @@ def build_star(cleaned: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def write_star_schema(spark: SparkSession, star: dict[str, DataFrame], database: str,
                       location: str | None = None) -> DataFrame:
-    """Replace each star table (drop + create as select), then count rows.
+    """Replace each star table; (table, rows), counted by the writes themselves.
 
-    The fact table is written partitioned by nothing here; it is joined on
-    ids, not pruned by season. Returns the row-count report read back from
-    the written tables.
+    A table is replaced in one step when all of it is written: readers never find it missing or half. The fact
+    table isn't partitioned here; it is joined on ids, not pruned by season.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
-    for name, df in star.items():
-        df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
-    return table_row_counts({n: spark.table(f"{database}.{n}") for n in star})
+    root = spark.catalog.getDatabase(database).locationUri
+    rows = [(name, replace_table(df, f"{database}.{name}", root)) for name, df in star.items()]
+    return spark.createDataFrame(rows, "table string, rows long")

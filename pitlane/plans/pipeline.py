@@ -11,14 +11,17 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
+from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from pitlane.operators.clean import clean_all_tables
 from pitlane.operators.marts import build_all_marts
-from pitlane.operators.quality import table_row_counts
+from pitlane.sources.contracts import RACE_LINKED
 from pitlane.sources.ingest import filter_modern_era, ingest_all_tables, ingest_frames, save_tables
-from pitlane.sources.io import write_partitioned_fact, write_table
+from pitlane.sources.io import rows_seen, write_partitioned_fact, write_table
+
+T = TypeVar("T")
 
 DEFAULTS = {"start_year": 2000, "end_year": 2024, "output_format": "parquet", "validate_schema": True,
             "min_races": 5, "era_snapshot_dir": None}
@@ -33,34 +36,47 @@ def stage_ingest(spark: SparkSession, raw: str | Mapping[str, DataFrame], cfg: d
     return filter_modern_era(tables, cfg["start_year"], cfg["end_year"])
 
 
-def written(spark: SparkSession, writes: dict[str, Callable[[], str]]) -> dict[str, str]:
-    """Run independent table writes a few at a time; small ones then share the cluster.
+def in_parallel(jobs: dict[str, Callable[[], T]], at_once: int = 6) -> dict[str, T]:
+    """Run independent table jobs a few at a time; small ones then share the cluster.
 
-    The first error is raised after the running writes have ended.
+    The first error is raised after the running ones have ended.
     """
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        jobs = {name: pool.submit(write) for name, write in writes.items()}
-        return {name: job.result() for name, job in jobs.items()}
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}
+
 
+def stage_clean(spark: SparkSession, tables: dict[str, DataFrame], processed_dir: str,
+                snapshot_dir: str | None = None) -> dict[str, DataFrame]:
+    """Clean every table, write it, and hand the written tables to the next stage.
 
-def stage_clean(spark: SparkSession, tables: dict[str, DataFrame], processed_dir: str) -> dict[str, DataFrame]:
-    """Clean every table, write it, and hand the written tables to the next stage."""
-    cleaned = clean_all_tables(tables)
+    With ``snapshot_dir`` each raw table is kept there first (S5) and cleaned from what was kept. Tables don't wait for
+    each other: one is cleaned while another's snapshot is still being written.
+    """
     base = processed_dir.rstrip("/")
-    paths = written(spark, {n: partial(write_table, df, f"{base}/{n}_clean") for n, df in cleaned.items()})
-    return {n: spark.read.schema(cleaned[n].schema).parquet(p) for n, p in paths.items()}
 
+    def one(name: str, df: DataFrame) -> DataFrame:
+        if snapshot_dir:
+            df = spark.read.schema(df.schema).parquet(save_tables({name: df}, snapshot_dir, suffix="_era")[name])
+        df = clean_all_tables({name: df})[name]
+        return spark.read.schema(df.schema).parquet(write_table(df, f"{base}/{name}_clean"))
+
+    # The facts take longest, so they go first.
+    order = sorted(tables, key=lambda n: n not in RACE_LINKED)
+    return in_parallel({n: partial(one, n, tables[n]) for n in order})
 
-def stage_transform(spark: SparkSession, marts: dict[str, DataFrame], output_dir: str, fmt: str) -> dict[str, str]:
-    """Write the marts; the fact table is partitioned by season (Parquet only)."""
-    writes = {}
-    for name, df in marts.items():
-        base = f"{output_dir.rstrip('/')}/{name}"
+
+def stage_transform(spark: SparkSession, marts: dict[str, DataFrame], output_dir: str, fmt: str) -> dict[str, int]:
+    """Write the marts; the fact table is partitioned by season (Parquet only). Rows by mart, counted by the writes."""
+    def one(name: str, df: DataFrame) -> int:
+        base, seen = f"{output_dir.rstrip('/')}/{name}", Observation()
         if fmt == "parquet" and name == "fact_race_results" and "year" in df.columns:
-            writes[name] = partial(write_partitioned_fact, df, f"{base}.parquet")
+            write_partitioned_fact(df, f"{base}.parquet", seen=seen)
         else:
-            writes[name] = partial(write_table, df, f"{base}.{fmt}", fmt)
-    return written(spark, writes)
+            write_table(df, f"{base}.{fmt}", fmt, seen)
+        return rows_seen(seen)
+
+    return in_parallel({n: partial(one, n, df) for n, df in marts.items()})
 
 
 def run_pipeline(spark: SparkSession, raw: str | Mapping[str, DataFrame], processed_dir: str,
@@ -72,19 +88,7 @@ def run_pipeline(spark: SparkSession, raw: str | Mapping[str, DataFrame], proces
     """
     cfg = {**DEFAULTS, **overrides}
     tables = stage_ingest(spark, raw, cfg)
-    if cfg["era_snapshot_dir"]:
-        base = cfg["era_snapshot_dir"]
-        paths = written(spark, {n: partial(save_one, df, base, n) for n, df in tables.items()})
-        tables = {n: spark.read.schema(tables[n].schema).parquet(p) for n, p in paths.items()}
-    cleaned = stage_clean(spark, tables, processed_dir)
+    cleaned = stage_clean(spark, tables, processed_dir, cfg["era_snapshot_dir"])
     marts = build_all_marts(cleaned, min_races=cfg["min_races"])
-    paths = stage_transform(spark, marts, output_dir, cfg["output_format"])
-    fmt = cfg["output_format"]
-    return table_row_counts({name: spark.read.parquet(path) if fmt == "parquet" else
-                             spark.read.option("header", True).option("escape", '"').csv(path)
-                             for name, path in paths.items()})
-
-
-def save_one(df: DataFrame, base: str, name: str) -> str:
-    """One table of the era snapshot."""
-    return save_tables({name: df}, base, suffix="_era")[name]
+    rows = stage_transform(spark, marts, output_dir, cfg["output_format"])
+    return spark.createDataFrame(list(rows.items()), "table string, rows long")

@@ -493,6 +493,23 @@ def fact_partitioned_roundtrip(spark, sf_dir):
     return back.withColumn("year", F.col("year").cast("long"))
 
 
+@register("fact_one_season")
+def fact_one_season(spark, sf_dir):
+    """One season of the partitioned fact; no other season's files are read."""
+    from pitlane.sources.io import read_seasons
+    season = read_seasons(spark, cat.partitioned_fact(spark, sf_dir), [FOCUS_YEAR])
+    return season.select("result_id", "race_id", "driver_id", F.col("year").cast("long").alias("year"), "points")
+
+
+@register("fact_of_dominant_seasons")
+def fact_of_dominant_seasons(spark, sf_dir):
+    """Entries and points of the seasons that one driver dominated; which they are, the season mart tells at run time."""
+    from pitlane.sources.io import read_seasons
+    dominated = cat.stored_marts(spark, sf_dir)["season_trends_mart"].where("dominance_hhi >= 0.35")
+    fact = read_seasons(spark, cat.partitioned_fact(spark, sf_dir), dominated)
+    return fact.groupBy(F.col("year").cast("long").alias("year")).agg(F.count("*").alias("entries"), F.sum("points").alias("points"))
+
+
 @register("csv_parquet_roundtrip")
 def csv_parquet_roundtrip(spark, sf_dir):
     """Marts written as CSV (with dates) and as Parquet; the loader takes each where it is."""
@@ -556,6 +573,23 @@ def incremental_season_load(spark, sf_dir):
     return back.select("result_id", "race_id", "driver_id", F.col("year").cast("long").alias("year"), "points")
 
 
+@register("incremental_season_moves")
+def incremental_season_moves(spark, sf_dir):
+    """E5: a second extract moves a tenth of the results, and all of the first season, to the next season."""
+    from pitlane.session import scratch_path
+    from pitlane.streaming.incremental import incremental_season_load as load
+    fact = cat.stored_marts(spark, sf_dir)["fact_race_results"].dropDuplicates(["result_id"])
+    landing, target, ckpt = (scratch_path(spark, n) for n in ("landing", "fact_moves", "moves_ckpt"))
+    fact.write.mode("append").parquet(landing)
+    load(spark, landing, fact.schema, target, ckpt)
+    moved = fact.where((F.col("result_id") % 10 == 3) | (F.col("year") == STANDIN_ERA[0]))
+    (moved.withColumns({"year": (F.col("year") + 1).cast(fact.schema["year"].dataType), "points": F.lit(-2.0)})
+     .write.mode("append").parquet(landing))
+    load(spark, landing, fact.schema, target, ckpt)
+    back = spark.read.schema(fact.schema).parquet(target)
+    return back.select("result_id", "race_id", "driver_id", F.col("year").cast("long").alias("year"), "points")
+
+
 @register("csv_null_sentinels")
 def csv_null_sentinels(spark, sf_dir):
     """Raw drivers written as a header CSV with '\\N' markers, read back as text.

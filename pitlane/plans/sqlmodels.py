@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlane.functions import exprs as X
+from pitlane.sources.io import replace_table
 from pitlane.sources.typed import register_csv_sources
 
 # --- fixed values: staging projections -------------------------------------
@@ -213,11 +214,9 @@ def ordered_sql_mart(mart: DataFrame, name: str) -> DataFrame:
                           for p in SQL_MART_ORDER[name].split(", ")])
 
 
-def save_sql_marts(spark: SparkSession, models, database: str) -> list[str]:
-    """Every SQL mart as a table of ``database``, replaced on each run."""
+def save_sql_marts(spark: SparkSession, models, database: str) -> dict[str, int]:
+    """Every SQL mart as a table of ``database``, replaced on each run in one step; rows by table."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    names = []
-    for name in SQL_MARTS:
-        sql_mart(spark, name, models).write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
-        names.append(f"{database}.{name}")
-    return names
+    root = spark.catalog.getDatabase(database).locationUri
+    return {f"{database}.{name}": replace_table(sql_mart(spark, name, models), f"{database}.{name}", root)
+            for name in SQL_MARTS}

@@ -20,7 +20,7 @@ from pitlane.session import scratch_path
 from pitlane.sources import standin as S
 from pitlane.sources.contracts import EXPECTED_COLUMNS
 from pitlane.sources.ingest import era_filter_table, era_races, prepare_raw
-from pitlane.sources.io import write_table
+from pitlane.sources.io import write_partitioned_fact, write_table
 
 
 class LazyFrames(Mapping):
@@ -158,3 +158,9 @@ def cleaned_csv(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
         if n not in folder:
             folder[n] = write_table(cleaned(spark, sf_dir)[n], f"{folder['folder']}/{n}_clean.csv", "csv")
     return folder["folder"]
+
+
+def partitioned_fact(spark: SparkSession, sf_dir: str) -> str:
+    """The path of the wide fact partitioned by season, written once."""
+    return _memo(spark, ("partitioned_fact", sf_dir), lambda: {"path": write_partitioned_fact(
+        stored_marts(spark, sf_dir)["fact_race_results"], scratch_path(spark, "fact_by_season"))})["path"]
