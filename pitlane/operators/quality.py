@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitlane.session import scratch_path
+
 # --- fixed values: the data tests of the SQL models -------------------------
 UNIQUE_TESTS = [
     ("stg_results", "result_id"), ("stg_drivers", "driver_id"), ("stg_constructors", "constructor_id"),
@@ -37,25 +39,41 @@ def _by_model(tests: list[tuple[str, str]]) -> dict[str, list[str]]:
     return out
 
 
+def _keyed(model: DataFrame, tests: dict[int, str]) -> DataFrame:
+    """(test, key): the non-null values of the tested columns as text, one pass over the model."""
+    return model.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("test"), F.col(c).cast("string").alias("key")) for i, c in tests.items()]))) \
+        .where("key IS NOT NULL")
+
+
 def unique_violations(models: dict[str, DataFrame], tests=UNIQUE_TESTS) -> DataFrame:
-    """Q1: per test, keys seen more than once (NULL keys are not checked).
+    """Q1: per test, keys seen more than once and their rows (NULL keys are not checked).
 
-    The tested columns of a model are stacked and counted in one pass per model;
-    partial counts are combined map-side, so a key that repeats often costs a row
-    per task.
+    All tests of all models are counted by 64-bit hashes of their keys, each model being read once; partial
+    counts are combined map-side, so a key that repeats often costs a row per task. Only hashes seen more than
+    once, equal keys or colliding ones, are looked at again: their keys are counted exactly. Where keys are
+    unique, as they should be, no key is ever moved and no model read twice.
     """
-    parts = []
-    for model, cols in _by_model(tests).items():
-        stacked = models[model].select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("key")) for c in cols])))
-        counts = stacked.where(F.col("key").isNotNull()).groupBy("column", "key").agg(F.count(F.lit(1)).alias("n"))
-        bad = counts.groupBy("column").agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"),
-                                           F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))
-                                           .alias("duplicate_rows"))
-        named = models[model].sparkSession.createDataFrame([(c,) for c in cols], "column string")
-        parts.append(named.join(bad, "column", "left").na.fill(0)
-                     .select(F.lit(model).alias("model"), "column", "duplicate_keys", "duplicate_rows"))
-    return _union(parts)
+    tests = list(tests)
+    of_model: dict[str, dict[int, str]] = {}
+    for i, (model, col) in enumerate(tests):
+        of_model.setdefault(model, {})[i] = col
+    spark = next(iter(models.values())).sparkSession
+    hashed = _union([_keyed(models[m], own).select("test", F.xxhash64("key").alias("h")) for m, own in of_model.items()])
+    path = scratch_path(spark, "repeated-hashes")
+    (hashed.groupBy("test", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+     .select("test", "h").write.parquet(path))
+    repeated = spark.read.schema("test int, h long").parquet(path)
+    suspect = {r["test"] for r in repeated.select("test").distinct().collect()}  # at most one row per test
+    named = spark.createDataFrame([(i, m, c) for i, (m, c) in enumerate(tests)], "test int, model string, column string")
+    again = {m: {i: c for i, c in own.items() if i in suspect} for m, own in of_model.items()}
+    if not suspect:
+        zero = F.lit(0).cast("long")
+        return named.select("model", "column", zero.alias("duplicate_keys"), zero.alias("duplicate_rows"))
+    keyed = _union([_keyed(models[m], own) for m, own in again.items() if own]).withColumn("h", F.xxhash64("key"))
+    exact = (keyed.join(repeated, ["test", "h"], "left_semi").groupBy("test", "key").agg(F.count(F.lit(1)).alias("n"))
+             .where("n > 1").groupBy("test").agg(F.count(F.lit(1)).alias("duplicate_keys"), F.sum("n").alias("duplicate_rows")))
+    return named.join(exact, "test", "left").na.fill(0).select("model", "column", "duplicate_keys", "duplicate_rows")
 
 
 def not_null_violations(models: dict[str, DataFrame], tests=NOT_NULL_TESTS) -> DataFrame:

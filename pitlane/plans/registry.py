@@ -43,6 +43,13 @@ def era_semi_join_results(spark, sf_dir):
     return I.era_filter_table(ing["results"], "results", kept).select("resultId", "raceId", "driverId", "position", "points")
 
 
+@register("era_filter_all_tables")
+def era_filter_all_tables(spark, sf_dir):
+    """P1, P2, J1 over all tables at once: what is left of each, from one set of kept races."""
+    kept = I.filter_modern_era(dict(cat.ingested(spark, sf_dir, tag=False)), *STANDIN_ERA)
+    return _union([df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows") for n, df in kept.items()])
+
+
 def _union(frames):
     out = frames[0]
     for f in frames[1:]:
@@ -276,6 +283,14 @@ REGISTRY["season_trends_mart"] = lambda spark, sf_dir: _marts(spark, sf_dir)["se
 REGISTRY["fact_race_results"] = lambda spark, sf_dir: _marts(spark, sf_dir)["fact_race_results"]
 
 
+@register("fact_race_results_bucketed")
+def fact_race_results_bucketed(spark, sf_dir):
+    """M4/J18 over bucketed tables: neither results nor qualifying is shuffled."""
+    from pitlane.operators import marts as M
+    b = cat.bucketed_entrants(spark, sf_dir)
+    return M.build_fact_race_results(b["results"], _t(spark, sf_dir)["races"], b["qualifying"])
+
+
 @register("season_final_race")
 def season_final_race(spark, sf_dir):
     from pitlane.operators import marts as M
@@ -333,6 +348,14 @@ def dim_date_order(spark, sf_dir):
 REGISTRY["star_fact"] = lambda spark, sf_dir: _star(spark, sf_dir)["fact_race_results"]
 
 
+@register("star_fact_bucketed")
+def star_fact_bucketed(spark, sf_dir):
+    """D-6/J18 over the same bucketed tables."""
+    from pitlane.operators import star as St
+    b = cat.bucketed_entrants(spark, sf_dir)
+    return St.build_star_fact(b["results"], b["qualifying"])
+
+
 def _star_written(spark, sf_dir, names=None):
     """S13/D-7: the star schema replaced in a database of its own; (database, row counts)."""
     import uuid
@@ -469,13 +492,13 @@ REPEATING = [("stg_drivers", "code"), ("stg_pit_stops", "driver_id"), ("mart_tea
 def unique_violations(spark, sf_dir):
     from pitlane.operators.quality import UNIQUE_TESTS
     from pitlane.operators.quality import unique_violations as uv
-    return uv(cat.models(spark, sf_dir, keep=True), UNIQUE_TESTS + REPEATING)
+    return uv(cat.store_models(spark, sf_dir), UNIQUE_TESTS + REPEATING)
 
 
 @register("not_null_violations")
 def not_null_violations(spark, sf_dir):
     from pitlane.operators.quality import not_null_violations as nn
-    return nn(cat.models(spark, sf_dir, keep=True))
+    return nn(cat.store_models(spark, sf_dir))
 
 
 # --- stage outputs and the whole pipeline ------------------------------------------------

@@ -8,6 +8,7 @@ written tables; what was written is remembered per application and input folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -18,9 +19,9 @@ from pitlane.operators.clean import CLEANERS, clean_generic
 from pitlane.plans.sqlmodels import SQL_MARTS, STAGING_COLUMNS, sql_mart, staging
 from pitlane.session import scratch_path
 from pitlane.sources import standin as S
-from pitlane.sources.contracts import EXPECTED_COLUMNS
-from pitlane.sources.ingest import era_filter_table, era_races, prepare_raw
-from pitlane.sources.io import write_partitioned_fact, write_table
+from pitlane.sources.contracts import EXPECTED_COLUMNS, RACE_LINKED
+from pitlane.sources.ingest import KeptRaces, era_filter_table, era_races, prepare_raw
+from pitlane.sources.io import store_bucketed, write_partitioned_fact, write_table
 
 
 class LazyFrames(Mapping):
@@ -97,8 +98,9 @@ def era_filtered(spark: SparkSession, sf_dir: str, era: tuple[int, int] = S.STAN
     ing = ingested(spark, sf_dir)
 
     def build():
-        kept = LazyFrames({"races": lambda: era_races(ing["races"], *era)})
-        return LazyFrames({n: (lambda n=n: era_filter_table(ing[n], n, kept["races"])) for n in EXPECTED_COLUMNS})
+        once = LazyFrames({"races": lambda: era_races(ing["races"], *era), "kept": lambda: KeptRaces(once["races"])})
+        return LazyFrames({n: (lambda n=n: era_filter_table(ing[n], n, once["races"], once["kept"] if n in RACE_LINKED else None))
+                           for n in EXPECTED_COLUMNS})
     return _memo(spark, ("era", sf_dir, era), build)
 
 
@@ -111,7 +113,7 @@ def cleaned(spark: SparkSession, sf_dir: str, era: tuple[int, int] = S.STANDIN_E
 
 def store_cleaned(spark: SparkSession, sf_dir: str, names: list[str]) -> None:
     """Write the named cleaned tables now, a few at a time."""
-    raw(spark, sf_dir)["results"]  # the lines that several tables share come first
+    era_filtered(spark, sf_dir)["results"]  # the lines and the kept races that several tables share come first
     frames = cleaned(spark, sf_dir)
     with ThreadPoolExecutor(max_workers=4) as pool:
         list(pool.map(frames.__getitem__, names))
@@ -164,3 +166,27 @@ def partitioned_fact(spark: SparkSession, sf_dir: str) -> str:
     """The path of the wide fact partitioned by season, written once."""
     return _memo(spark, ("partitioned_fact", sf_dir), lambda: {"path": write_partitioned_fact(
         stored_marts(spark, sf_dir)["fact_race_results"], scratch_path(spark, "fact_by_season"))})["path"]
+
+
+#: Buckets of the entrants' tables; on a cluster, about one per 128 MB of the larger one.
+BUCKETS = 8
+
+
+def bucketed_entrants(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """Results and qualifying stored in buckets of (race_id, driver_id), each written once."""
+    t = cleaned(spark, sf_dir)
+
+    def stored_as(name: str) -> DataFrame:
+        table = f"{name}_by_entrant_{uuid.uuid4().hex[:8]}"
+        return store_bucketed(t[name], table, ["race_id", "driver_id"], BUCKETS, scratch_path(spark, table))
+
+    return _memo(spark, ("bucketed", sf_dir), lambda: LazyFrames(
+        {n: (lambda n=n: stored_as(n)) for n in ("results", "qualifying")}))
+
+
+def store_models(spark: SparkSession, sf_dir: str) -> LazyFrames:
+    """The models with their marts written, those that aren't yet a few at a time."""
+    frames = models(spark, sf_dir, keep=True)
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(frames.__getitem__, SQL_MARTS))
+    return frames

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitlane.functions.exprs import to_long
-from pitlane.session import path_exists
+from pitlane.session import path_exists, scratch_path
 from pitlane.sources.contracts import (EXPECTED_COLUMNS, NULL_SENTINELS, RACE_LINKED,
                                        SchemaContractError, validate_schema)
+from pitlane.sources.io import rows_seen, write_table
 from pitlane.sources.records import (REFUSED, MalformedRecordsError, header_of, kind_of, malformed_records,
                                      raw_records, refuse_malformed)
 from pitlane.sources.records import SCHEMA as RECORD_SCHEMA
@@ -157,17 +158,35 @@ def era_races(races: DataFrame, start_year: int = 2000, end_year: int = 2024) ->
     return races.where(_long_col(races, "year").between(start_year, end_year))
 
 
-def era_filter_table(df: DataFrame, name: str, kept_races: DataFrame) -> DataFrame:
-    """P2 for one table: race-linked rows of kept races only; others untouched.
+class KeptRaces:
+    """The ids of an era's races, written once and read by every table that is filtered by them."""
 
-    The kept race ids are a calendar-sized set, so AQE turns the left-semi
-    join into a broadcast at runtime and the fact side is never shuffled.
-    """
+    #: Ids up to which the set is broadcast: 8 bytes each, so at most some tens of MB.
+    BROADCAST_MAX = 4_000_000
+
+    def __init__(self, races: DataFrame):
+        ids = races.select(_long_col(races, "raceId").alias("_era_race_id")).where("_era_race_id IS NOT NULL").distinct()
+        spark, seen = races.sparkSession, Observation()
+        path = write_table(ids, scratch_path(spark, "kept-races"), seen=seen)
+        self.size = rows_seen(seen)
+        self.ids = spark.read.schema(ids.schema).parquet(path)
+
+    def of(self, df: DataFrame) -> DataFrame:
+        """Rows of ``df`` whose race was kept.
+
+        The size was counted as the set was written: a calendar is broadcast, and no table is shuffled. A set beyond
+        the bound is joined by Spark, which may send a Bloom filter of it ahead of the shuffle.
+        """
+        ids = F.broadcast(self.ids) if self.size <= self.BROADCAST_MAX else self.ids
+        return df.join(ids, _long_col(df, "raceId") == F.col("_era_race_id"), "left_semi")
+
+
+def era_filter_table(df: DataFrame, name: str, kept_races: DataFrame, kept: KeptRaces | None = None) -> DataFrame:
+    """P2 for one table: race-linked rows of kept races only; others untouched."""
     if name == "races":
         return kept_races
     if name in RACE_LINKED and "raceId" in df.columns:
-        ids = kept_races.select(_long_col(kept_races, "raceId").alias("_era_race_id"))
-        return df.join(ids, _long_col(df, "raceId") == F.col("_era_race_id"), "left_semi")
+        return (kept or KeptRaces(kept_races)).of(df)
     return df
 
 
@@ -175,12 +194,14 @@ def filter_modern_era(tables: dict[str, DataFrame], start_year: int = 2000,
                       end_year: int = 2024) -> dict[str, DataFrame]:
     """P1 + P2: filter races to the era and keep only race-linked rows of kept races.
 
-    Dimension tables pass through untouched. A missing ``races`` table raises KeyError.
+    Dimension tables pass through untouched. A missing ``races`` table raises KeyError. The kept races are found
+    once, whatever the number of tables.
     """
     if "races" not in tables:
         raise KeyError("races")
-    kept = era_races(tables["races"], start_year, end_year)
-    return {name: era_filter_table(df, name, kept) for name, df in tables.items()}
+    races = era_races(tables["races"], start_year, end_year)
+    kept = KeptRaces(races)
+    return {name: era_filter_table(df, name, races, kept) for name, df in tables.items()}
 
 
 def save_tables(tables: dict[str, DataFrame], output_dir: str, fmt: str = "parquet",

@@ -71,6 +71,20 @@ def read_seasons(spark: SparkSession, path: str, seasons: list[int] | DataFrame,
     return fact.where(F.col(partition_col).isin(list(seasons)))
 
 
+def store_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str) -> DataFrame:
+    """``df`` as a table hashed by ``keys`` into sorted buckets, at ``path``.
+
+    Two tables with the same keys and buckets join on these keys without a shuffle of either: the write has paid
+    for it once. Rows are dealt to the buckets before the write, so each bucket is one file. An existing table of
+    this name is replaced.
+    """
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    (df.repartition(buckets, *keys).write.format("parquet").mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", path).saveAsTable(table))
+    return spark.table(table)
+
+
 def replace_table(df: DataFrame, table: str, root: str) -> int:
     """Replace ``table`` by ``df``; returns its rows.
 
