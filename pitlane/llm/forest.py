@@ -3,8 +3,10 @@
 Vectors that are equal make one class. Each tree splits the classes by random
 directions at the median, with a band of spill around it that goes to both sides;
 the band follows from how far apart two vectors over the threshold lie along a random
-direction. Classes are compared inside leaves only, links are verified in double
-precision, and the links of all trees are united.
+direction. Classes are compared inside leaves only and links are verified in double
+precision. A class carries its leaves in all trees, so a pair is counted in the first leaf
+that it shares and no list of pairs is needed: leaves return numbers of links, and links
+enough to span what they link, and these are united.
 """
 
 from __future__ import annotations
@@ -82,13 +84,46 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
 
 def links_of(classes: DataFrame, threshold: float, trees: int, leaf: int, block: int,
              sample: int) -> DataFrame:
-    """(u, v), u < v: verified links of classes (cid, label, dim, vector) with equal labels."""
+    """(u, v, others) for classes (cid, label, dim, vector, copies) with equal labels.
+
+    Rows without v: ``others`` rows of other classes link with class u (to be summed). Rows with v: verified
+    links, u < v, enough of them to span every group of linked classes. Both are in proportion to the
+    classes, however many pairs link.
+    """
     dims = [r["dim"] for r in classes.select("dim").distinct().orderBy("dim").collect()]
-    links = classes.sparkSession.createDataFrame([], "u long, v long")
+    links = classes.sparkSession.createDataFrame([], "u long, v long, others long")
     for dim in dims:  # vectors of different lengths have no cosine; a table has one or few lengths
         own = classes.where(F.col("dim") == dim)
         links = links.unionByName(_links(own, dim, threshold, trees, leaf, block, sample))
-    return links.distinct()
+    return links
+
+
+def apart_so_far(codes: list[np.ndarray], code: int) -> tuple[np.ndarray, np.ndarray]:
+    """(kind of each class, matrix of kinds): whether two kinds of classes meet in a leaf before ``code``."""
+    before = [tuple(c[c < code].tolist()) for c in codes]
+    kinds = {k: i for i, k in enumerate(dict.fromkeys(before))}
+    met = np.zeros((len(kinds), len(kinds)), bool)
+    members: dict[int, list[int]] = {}
+    for k, i in kinds.items():
+        for c in k:
+            members.setdefault(c, []).append(i)
+    for own in members.values():
+        met[np.ix_(own, own)] = True
+    return np.array([kinds[k] for k in before]), met
+
+
+def spanning(linked: np.ndarray, left: np.ndarray, right: np.ndarray, group: np.ndarray) -> list[tuple[int, int]]:
+    """Links (left, right) that join what is not in one ``group`` yet; ``group`` is brought up to date."""
+    out = []
+    for r in np.flatnonzero(linked.any(axis=1)):
+        near = right[linked[r]]
+        own = group[left[r]]
+        other, first = np.unique(group[near], return_index=True)
+        for g, at in zip(other.tolist(), first.tolist()):
+            if g != own:
+                out.append((left[r], near[at]))
+                group[group == g] = own
+    return out
 
 
 def _links(classes: DataFrame, dim: int, threshold: float, trees: int, leaf: int, block: int,
@@ -103,46 +138,60 @@ def _links(classes: DataFrame, dim: int, threshold: float, trees: int, leaf: int
     def deal(batches):
         for b in batches:
             x = _matrix(pa.chunked_array([b.column("vector")]), dim)
-            for t, nodes in enumerate(forest):
-                row, at = leaves_of(nodes, x, band)
-                picked = b.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(row), t)), pa.array(at), *picked.columns],
-                    ["tree", "leaf", "cid", "label", "vector"])
+            parts = [leaves_of(nodes, x, band) for nodes in forest]
+            row = np.concatenate([r for r, _ in parts])
+            code = np.concatenate([(t << 40) + at for t, (_, at) in enumerate(parts)])
+            order = np.lexsort((code, row))
+            ends = np.searchsorted(row[order], np.arange(len(x) + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(code[order]))],
+                                             ["cid", "label", "copies", "vector", "codes"])
 
     kind = dict(classes.dtypes)["vector"]
-    dealt = stored(classes.select("cid", F.col("label").cast("string").alias("label"), "vector")
-                   .mapInArrow(deal, f"tree long, leaf long, cid long, label string, vector {kind}"), "leaves")
+    dealt = stored(classes.select("cid", F.col("label").cast("string").alias("label"), "copies", "vector").mapInArrow(
+        deal, f"cid long, label string, copies long, vector {kind}, codes array<long>"), "leaves")
     # An over-full leaf (of one label) is compared in pairs of blocks, each in a task of its own.
-    full = (dealt.groupBy("tree", "leaf", "label").agg(F.ceil(F.count("*") / block).alias("blocks"))
-            .where("blocks > 1"))
-    cut = (dealt.join(full, ["tree", "leaf", "label"], "left").fillna(1, ["blocks"])
+    sizes = dealt.select("label", F.explode("codes").alias("code")).groupBy("code", "label").agg(F.count("*").alias("n"))
+    full = sizes.where(F.col("n") > 1).select("code", "label", F.ceil(F.col("n") / block).alias("blocks"))
+    cut = (dealt.withColumn("code", F.explode("codes")).join(full, ["code", "label"])  # alone in a leaf: nothing to compare
            .withColumn("b", F.pmod(F.xxhash64("cid"), F.col("blocks")))
            .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-           .select("tree", "leaf", "label", F.least("b", "k").alias("i"), F.greatest("b", "k").alias("j"),
-                   "b", "cid", "vector"))
+           .select("code", "label", F.least("b", "k").alias("i"), F.greatest("b", "k").alias("j"),
+                   "b", "cid", "copies", "codes", "vector"))
 
     def near(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        ids, x = table["cid"].to_numpy(), _matrix(table["vector"], dim)
-        *_, i, j = (k.as_py() for k in key)
+        ids, x, copies = table["cid"].to_numpy(), _matrix(table["vector"], dim), table["copies"].to_numpy().astype(float)
+        code, _, i, j = (k.as_py() for k in key)
         b = table["b"].to_numpy()
         one, two = np.flatnonzero(b == i), np.flatnonzero(b == j)
-        u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        lists = table["codes"].combine_chunks()
+        flat, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        # A pair counts in the first leaf that both are in, so in one group of all.
+        of, met = apart_so_far([flat[lo:hi] for lo, hi in zip(ends[:-1], ends[1:])], code)
+        others, group, links = np.zeros(len(ids)), np.arange(len(ids)), []
         step = max(1, 4_000_000 // max(1, len(two)))
         for lo in range(0, len(one), step):
             part = one[lo:lo + step]
-            r, c = np.nonzero(x[part] @ x[two].T >= threshold)
-            a, d = ids[part[r]], ids[two[c]]
-            keep = a < d if i == j else a != d
-            u.append(np.minimum(a, d)[keep])
-            v.append(np.maximum(a, d)[keep])
-        return pa.table({"u": np.concatenate(u), "v": np.concatenate(v)})
-
-    keys = ["tree", "leaf", "label", "i", "j"]
-    return cut.repartition(tasks(spark), *keys).groupBy(*keys).applyInArrow(near, "u long, v long").distinct()
-
-
-def near_duplicates(vectors: DataFrame, threshold: float = 0.98, trees: int = 4, leaf: int = 512,
+            linked = x[part] @ x[two].T >= threshold
+            linked &= ~met[np.ix_(of[part], of[two])]
+            if i == j:
+                linked[np.arange(len(part)), np.arange(lo, lo + len(part))] = False
+            else:
+                others[two] += copies[part] @ linked
+            others[part] += linked @ copies[two]
+            links += spanning(linked, part, two, group)
+        some = np.flatnonzero(others)
+        u, v = (np.array([ids[x[n]] for x in links], np.int64) for n in (0, 1))
+        return pa.table({
+            "u": np.concatenate([ids[some], np.minimum(u, v)]),
+            "v": pa.array(np.concatenate([np.zeros(len(some), np.int64), np.maximum(u, v)]),
+                          mask=np.arange(len(some) + len(u)) < len(some)),
+            "others": np.concatenate([others[some].astype(np.int64), np.zeros(len(u), np.int64)])})
+
+    keys = ["code", "label", "i", "j"]
+    return cut.repartition(tasks(spark), *keys).groupBy(*keys).applyInArrow(near, "u long, v long, others long")
+
+
+def near_duplicates(vectors: DataFrame, threshold: float = 0.98, trees: int = 4, leaf: int = 4096,
                     block: int = 4096, sample: int = 20_000) -> DataFrame:
     """Rows of (vec_id, embedding, label) as (vec_id, n_links, component_id, kept).
 
@@ -163,10 +212,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, trees: int = 4,
     classes = (rows.where("ok").groupBy(*key).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
                .withColumn("cid", F.monotonically_increasing_id()).withColumn("dim", F.size("vector")))
     classes = stored(classes, "classes")  # from here on the class numbers are fixed
-    links = stored(links_of(classes, threshold, trees, leaf, block, sample), "links")
-    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    degree = (both.join(classes.select(F.col("cid").alias("v"), "copies"), "v")
-              .groupBy(F.col("u").alias("cid")).agg(F.sum("copies").alias("others")))
+    found = stored(links_of(classes, threshold, trees, leaf, block, sample), "links")
+    links = found.where("v IS NOT NULL").select("u", "v")
+    degree = found.where("v IS NULL").groupBy(F.col("u").alias("cid")).agg(F.sum("others").alias("others"))
     comp = connected_components(links).withColumnRenamed("node", "cid")
     of = (classes.join(degree, "cid", "left").join(comp, "cid", "left")
           .withColumn("component", F.coalesce("component", "cid")))

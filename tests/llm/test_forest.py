@@ -85,3 +85,50 @@ def test_query_rows(spark):
     out = registry.op5_forest(spark, "/root/testdata/sf0.001")
     assert out.columns == ["vec_id", "n_links", "component_id", "kept"]
     assert out.count() == spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").count()
+
+
+def test_output_of_leaves_is_linear(spark):
+    """400 near copies have 79,800 links; what leaves the leaves is in proportion to the vectors."""
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(3)
+    x = np.float32(np.r_[np.ones((400, 8)) + rng.normal(size=(400, 8)) * 0.01, rng.normal(size=(400, 8))])
+    rows = [(i, [float(c) for c in v], 1) for i, v in enumerate(x)]
+    assert run(spark, rows, leaf=64, block=50) == brute(rows)
+    classes = spark.createDataFrame([(i, 1, 8, v, 1) for i, v, _ in rows], "cid long, label int, dim int, vector array<float>, copies long")
+    for block in (50, 4096):
+        out = forest.links_of(classes, 0.98, 4, 64, block, 1000)
+        assert out.where("v IS NOT NULL").count() < 4 * 800 * max(1, 400 // block) and out.where("v IS NULL").count() < 16 * 800
+    counts = out.where("v IS NULL").groupBy("u").agg(F.sum("others").alias("n")).where("u < 400")
+    assert counts.agg(F.min("n"), F.max("n"), F.count("*")).first() == (399, 399, 400)
+
+
+def test_spanning_links_join_the_same_groups():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        n = 30
+        a = np.triu(rng.random((n, n)) < rng.choice([0.02, 0.1, 0.5]), 1)
+        a |= a.T
+        group = np.arange(n)
+        links = forest.spanning(a, np.arange(n), np.arange(n), group)
+        root = np.arange(n)
+        for u, v in zip(*np.nonzero(a)):
+            root[root == root[u]] = root[v]
+        same = lambda r: r[:, None] == r
+        assert (same(group) == same(root)).all() and len(links) == n - len(set(root.tolist()))
+
+
+def test_recall_at_the_registered_settings(spark):
+    """Whole check table (10,256 vectors) with the settings that the query uses."""
+    from pathlib import Path
+    sf = "/root/testdata/check_s" if Path("/root/testdata/check_s").exists() else "/root/testdata/sf0.1"
+    e = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
+    got = registry.op5_forest(spark, sf).toPandas().set_index("vec_id").n_links
+    found = want = 0
+    for _, own in e.groupby("label"):
+        x = np.stack(own.embedding.to_numpy()).astype(float)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        n = (x @ x.T >= 0.98).sum(axis=1) - 1
+        mine = got.loc[own.vec_id].to_numpy()
+        assert (mine <= n).all()
+        found, want = found + mine.sum(), want + n.sum()
+    assert found >= 0.9 * want > 0
