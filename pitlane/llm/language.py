@@ -1,7 +1,7 @@
 """Language identification by mixture inference.
 
 Byte n-grams of all labelled training texts are counted per language in one Spark
-job. A document is a mixture: expectation-maximisation over its words estimates
+job, each by itself, so the counts grow with the text. A document is a mixture: expectation-maximisation over its words estimates
 which proportion each language has, from the words' n-gram likelihoods. Languages
 are dropped one by one while the penalised likelihood gains; the prediction is the
 largest proportion of the set that stays.
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from pitlane.llm.common import appended, held, held_out, prepare
 
-BITS = 16
 GRAM = 4
 _BLOCK = 1 << 20
 #: Bytes that belong to words: letters of ASCII and all bytes of other characters.
@@ -26,10 +25,11 @@ _LETTER = np.array([chr(b).isalpha() and b < 128 or b >= 128 for b in range(256)
 
 
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashed n-gram, word number) of every n-gram, and the document of each word.
+    """(n-gram, word number) of every n-gram, and the document of each word.
 
     A word is a run of letters with a blank on both sides; its n-grams are those of
-    ``GRAM`` bytes within, and the whole of a shorter one.
+    ``GRAM`` bytes within, and the whole of a shorter one. An n-gram's code is its bytes, so equal codes
+    are equal n-grams.
     """
     flat = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
     flat = np.concatenate([np.full(1, 32, np.uint8), flat, np.full(GRAM, 32, np.uint8)])
@@ -39,26 +39,60 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     start = letter[1:] & ~letter[:-1]  # the blank before a word
     word = np.cumsum(start) - 1
     n = len(flat) - GRAM
-    code = np.zeros(n, np.uint32)
-    inside = np.ones(n, bool)
-    for k in range(GRAM):
-        code = code * np.uint32(0x01000193) + low[k:n + k]
-        if 0 < k < GRAM - 1:
+    code = low[:n].astype(np.uint32)
+    inside, word_goes_on = np.ones(n, bool), np.ones(n, bool)
+    for k in range(1, GRAM):
+        word_goes_on &= letter[k:n + k]
+        code = (code << np.uint32(8)) | np.where(word_goes_on, low[k:n + k], 32).astype(np.uint32)
+        if k < GRAM - 1:
             inside &= letter[k:n + k]
     begin = start[:n]
     use = (letter[:n] | begin) & (inside | begin)
-    code = ((code * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)).astype(np.int64)
     doc = np.searchsorted(ends, np.flatnonzero(start), side="right")
     return code[use], word[:n][use], doc
 
 
 @dataclass
 class Model:
-    """``table`` holds log P(n-gram | language), one column for each of ``languages``."""
+    """``table`` holds log P(n-gram | language), one column for each of ``languages``: a row for each of
+    ``codes``, the counted n-grams, and a last one for all others."""
 
     languages: list[str]
+    codes: np.ndarray
     table: np.ndarray
 
+    def __post_init__(self) -> None:
+        """Cells of a hash table with an n-gram each; those whose cell is taken go to a sorted list."""
+        bits = max(8, int(2 * len(self.codes)).bit_length())
+        self.shift = np.uint32(32 - min(bits, 28))
+        cell = self._cell(self.codes)
+        owner = np.full(1 << int(32 - self.shift), -1, np.int32)
+        taken, first = np.unique(cell, return_index=True)
+        owner[taken] = first
+        rest = np.setdiff1d(np.arange(len(self.codes)), first)
+        rest = rest[np.argsort(self.codes[rest])]
+        self.owner, self.rest, self.rest_codes = owner, rest, self.codes[rest]
+
+    def _cell(self, code: np.ndarray) -> np.ndarray:
+        return (code * np.uint32(0x9E3779B1)) >> self.shift
+
+    def rows(self, code: np.ndarray) -> np.ndarray:
+        """The row of each n-gram's own counts; the last row where it was never counted."""
+        none = len(self.codes)
+        at = self.owner[self._cell(code)]
+        if none:
+            other = np.flatnonzero(self.codes[at] != code)
+            at[other[at[other] < 0]] = none
+            other = other[at[other] != none]
+            if len(self.rest) and len(other):
+                near = np.minimum(np.searchsorted(self.rest_codes, code[other]), len(self.rest) - 1)
+                at[other] = np.where(self.rest_codes[near] == code[other], self.rest[near], none)
+            else:
+                at[other] = none
+        else:
+            at[:] = none
+        return at
+
     def infer(self, texts: list[str | None], rounds: int = 12,
               penalty: float = 2.0) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(prediction, score, proportions) of each text."""
@@ -68,7 +102,7 @@ class Model:
         if k and judged.any():
             code, word, doc = grams([(t or "").lower().encode("utf-8", "replace") for t in texts])
             first = np.flatnonzero(np.r_[True, np.diff(word) > 0])
-            like = np.add.reduceat(self.table[code], first) if len(code) else np.zeros((0, k), np.float32)
+            like = np.add.reduceat(self.table[self.rows(code)], first) if len(code) else np.zeros((0, k), np.float32)
             doc = doc[word[first]] if len(code) else doc[:0]
             share = mixture(like, doc, n, rounds, penalty)
             share[~judged] = 0
@@ -139,41 +173,62 @@ def _blocks(texts: list, limit: int = _BLOCK):
             lo, size = i + 1, 0
 
 
-def fit(docs: DataFrame) -> Model:
+def _added(counts: tuple[np.ndarray, np.ndarray] | None, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts (codes, numbers) with those of more n-grams."""
+    own, n = np.unique(code, return_counts=True)
+    if counts is None:
+        return own, n
+    both, at = np.unique(np.concatenate([counts[0], own]), return_inverse=True)
+    return both, np.bincount(at, np.concatenate([counts[1], n])).astype(np.int64)
+
+
+def model_of(languages: list[str], lang: np.ndarray, code: np.ndarray, n: np.ndarray) -> Model:
+    """Model of counts: ``n`` times ``code`` in language number ``lang``; half an occurrence more for each n-gram."""
+    codes, at = np.unique(code.astype(np.uint32), return_inverse=True)
+    table = np.full((len(codes) + 1, len(languages)), 0.5)
+    np.add.at(table, (at, lang), n)
+    return Model(languages, codes, np.log(table / table.sum(axis=0)).astype(np.float32))
+
+
+def fit(docs: DataFrame, most: int = 500_000) -> Model:
     """Model of the documents that are not held out (crc32(doc_id) mod 4 is 2).
 
-    All their texts with a non-null lang are counted. What reaches the driver is
-    bounded by the hash table: 2**BITS counts for each language.
+    All n-grams of all their texts with a non-null lang are counted, each by itself, and all counts are
+    kept. Partial counts leave a task whenever it holds ``most`` n-grams of a language. What reaches the driver is a row
+    for each n-gram and language that occur: their number follows the alphabets (the letters of ASCII
+    make at most 27 ** 4), not the number of documents.
     """
     prepare(docs.sparkSession, 2)
     rows = (docs.where(~held_out("doc_id", 4, 2) & F.col("lang").isNotNull() & F.col("text").isNotNull())
             .select("lang", "text"))
 
+    def counts_of(lang: str, counts: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(counts[0]), pa.string()),
+                                           pa.array(counts[0].astype(np.int64)), pa.array(counts[1])], ["lang", "code", "n"])
+
     def count(batches):
-        total: dict[str, np.ndarray] = {}
+        total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for b in batches:
             langs = np.array(b.column(0).to_pylist(), dtype=object)
             texts = b.column(1).to_pylist()
             for lang in sorted(set(langs)):
                 own = [texts[i] for i in np.flatnonzero(langs == lang)]
-                into = total.setdefault(lang, np.zeros(1 << BITS, np.int64))
                 for s in _blocks(own):
                     code, _, _ = grams([t.lower().encode("utf-8", "replace") for t in own[s]])
-                    into += np.bincount(code, minlength=1 << BITS)
+                    total[lang] = _added(total.get(lang), code)
+                    if len(total[lang][0]) >= most:
+                        yield counts_of(lang, total.pop(lang))
         for lang, c in total.items():
-            at = np.flatnonzero(c)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(c[at])], ["lang", "code", "n"])
+            yield counts_of(lang, c)
 
     counts = (rows.mapInArrow(count, "lang string, code long, n long")
-              .groupBy("lang", "code").agg(F.sum("n").alias("n")).toPandas())
-    names = sorted(counts["lang"].unique().tolist())
-    table = np.zeros((1 << BITS, len(names)))
-    for i, name in enumerate(names):
-        own = counts[counts["lang"] == name]
-        table[own["code"].to_numpy(), i] = own["n"].to_numpy()
-    table += 0.5
-    return Model(names, np.log(table / table.sum(axis=0)).astype(np.float32))
+              .groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow())
+    names = sorted(set(counts["lang"].unique().to_pylist()))
+    number = {lang: i for i, lang in enumerate(names)}
+    coded = counts["lang"].combine_chunks().dictionary_encode()
+    lang = np.array([number[x] for x in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()] \
+        if len(counts) else np.zeros(0, np.int64)
+    return model_of(names, lang, counts["code"].to_numpy(), counts["n"].to_numpy())
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:
