@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 
 from .conftest import prose
@@ -59,3 +61,35 @@ def test_held_out_accuracy(spark):
     assert len(out) == spark.read.parquet(f"{sf}/documents.parquet").count()
     assert (x.predicted == x.quality).mean() > 0.95
     assert x.predicted[x.quality == 1].mean() > 0.97
+
+
+def plain_score(w, text):
+    """The network's answer for one text, one number at a time."""
+    n, four = len(text), [text[i:i + 4].ljust(4, b"\0") for i in range(len(text))]
+    rep = [any(i >= lag and four[i] == four[i - lag] for lag in range(2, quality.LAGS + 1)) for i in range(n)]
+    chunks = max(1, -(-(n - quality.CHUNK) // quality.HOP) + 1)
+    best = [0.0] * quality.UNITS
+    for k in range(chunks):
+        at = range(k * quality.HOP, k * quality.HOP + quality.CHUNK)
+        vectors = [[*(w["e"][text[i]] if i < n else w["e"][256]).tolist(), float(rep[i]) if i < n else 0.0] for i in at]
+        left = min(quality.CHUNK, n - k * quality.HOP)
+        windows = min(max((left - quality.WIDTH) // quality.STRIDE + 1, 1), (quality.CHUNK - quality.WIDTH) // quality.STRIDE + 1)
+        mean = [0.0] * quality.FILTERS
+        for s in range(windows):
+            flat = [x for v in vectors[s * quality.STRIDE:s * quality.STRIDE + quality.WIDTH] for x in v]
+            for f in range(quality.FILTERS):
+                r = float(w["g"][f]) + sum(x * float(y) for x, y in zip(flat, w["f"][:, f]))
+                mean[f] += max(r, 0.0) / windows
+        for u in range(quality.UNITS):
+            h = float(w["b"][u]) + sum(m * float(y) for m, y in zip(mean, w["d"][:, u]))
+            best[u] = max(best[u], h)
+    z = float(w["c"]) + sum(b * float(y) for b, y in zip(best, w["v"]))
+    return 1 / (1 + math.exp(-z))
+
+
+def test_against_a_plain_forward_pass():
+    model = quality.train(*examples(60))
+    texts = [prose(n, n).encode() for n in (1, 2, 30, 120)] + [b"", b"ab", b"again and again and again " * 20, "é ü 日本".encode() * 9]
+    got = model.scores(texts)
+    assert np.allclose(got, [plain_score(model.weights, t) for t in texts], atol=1e-4)
+    assert len({round(x, 3) for x in got}) > 3
