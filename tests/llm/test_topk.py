@@ -41,8 +41,14 @@ def test_exact_over_buckets(spark, rows):
     df = vectors(spark, rows)
     want = brute(rows)
     assert run(df) == want
-    assert run(df, shard=16, queries=4, buckets=5) == want
-    assert run(df, shard=7, queries=100, buckets=1) == want
+    assert run(df, shard=16, numbers=60) == want
+    assert run(df, shard=7, numbers=1) == want
+
+
+def test_blocks_of_queries_change_nothing(spark):
+    r = random.Random(6)
+    wide = [(i, [float(r.choice([-1, 0, 1, 2])) for _ in range(6000)]) for i in range(60)]  # over a megabyte of queries
+    assert run(vectors(spark, wide), every=2, k=3, block_mb=1) == brute(wide, 2, 3)
 
 
 def test_odd_vectors(spark, rows):
