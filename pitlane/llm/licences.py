@@ -25,6 +25,8 @@ SPELLINGS = [("licence", "license"), ("sub license", "sublicense"), ("organisati
 #: notices" is text.
 _COPYRIGHT = (r"(^|\n)[ \t*#/;-]*((copyright[ \t:]*(\(c\)|©|[0-9<\[{]|by )|\(c\)|©|all rights reserved)[^\n]*"
               r"|\(?[0-9]{1,2}[.)][ \t])")
+#: Rows of a catalogue up to which it is sent to all tasks.
+CATALOGUE = 5_000
 _PUNCTUATION = r"[^\p{L}\p{N}]+"
 
 _GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
@@ -187,14 +189,15 @@ def scanned(docs: DataFrame, known: DataFrame) -> DataFrame:
 
     licence: the known licence that the whole text is, else null. notices: the sorted
     distinct licences whose text one of the lines is. Null, empty and blank texts, and
-    such with copyright lines only, are no licence. ``known`` must be a catalogue
-    of licences (it is broadcast). Repeated rows give a row each; rows with the same
+    such with copyright lines only, are no licence. ``known`` is broadcast up to ``CATALOGUE``
+    rows and its anchors spare most texts their digests; a larger one is joined. Repeated rows give a row each; rows with the same
     doc_id and different texts are kept apart. An empty table gives an empty result.
     """
     form = canonical(F.col("text"))
     rows = docs.select("doc_id", "text").withColumn("text_digest", F.when(form != "", F.md5(form)))
-    anchors = [r["anchor"] for r in known.select("anchor").distinct().collect()]
-    known = F.broadcast(known.select("digest", "licence"))
+    small = known.limit(CATALOGUE + 1).count() <= CATALOGUE
+    anchors = [r["anchor"] for r in known.select("anchor").distinct().collect()] if small else [None]
+    known = F.broadcast(known.select("digest", "licence")) if small else known.select("digest", "licence")
     whole = rows.join(known, F.col("text_digest") == F.col("digest"), "left")
 
     def may_match(text: str) -> Column:

@@ -79,3 +79,11 @@ def test_whole_licences_in_a_table(spark):
         sorted(w for w in want if w[2] is not None)
     assert sum(r.licence is not None for r in out) >= len(more)
     assert len(out) == len(want)
+
+
+def test_a_large_catalogue_is_joined(spark, monkeypatch):
+    texts = [licences.KNOWN[1][1], "a\nLicensed under CC BY 4.0.", "nothing"]
+    want = [(r.licence, r.notices) for _, r in sorted(scan(spark, texts).items())]
+    monkeypatch.setattr(licences, "CATALOGUE", 3)
+    assert [(r.licence, r.notices) for _, r in sorted(scan(spark, texts).items())] == want
+    assert want[0][0] == "MIT" and want[1][1] == ["CC-BY-4.0"]
