@@ -36,7 +36,7 @@ def stage_ingest(spark: SparkSession, raw: str | Mapping[str, DataFrame], cfg: d
     return filter_modern_era(tables, cfg["start_year"], cfg["end_year"])
 
 
-def in_parallel(jobs: dict[str, Callable[[], T]], at_once: int = 6) -> dict[str, T]:
+def in_parallel(jobs: dict[str, Callable[[], T]], at_once: int = 8) -> dict[str, T]:
     """Run independent table jobs a few at a time; small ones then share the cluster.
 
     The first error is raised after the running ones have ended.

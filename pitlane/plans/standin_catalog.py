@@ -115,7 +115,7 @@ def store_cleaned(spark: SparkSession, sf_dir: str, names: list[str]) -> None:
     """Write the named cleaned tables now, a few at a time."""
     era_filtered(spark, sf_dir)["results"]  # the lines and the kept races that several tables share come first
     frames = cleaned(spark, sf_dir)
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=8) as pool:
         list(pool.map(frames.__getitem__, names))
 
 
