@@ -7,11 +7,14 @@ the node's radius plus ``max_bits`` and outside when it is over the radius: by t
 triangle inequality two fingerprints within ``max_bits`` bits always meet in a
 leaf, and those near a boundary are searched on both sides. A leaf is one shard of
 the job; inside it a tree of its own members prunes in the same way before exact
-pair tests. An over-full shard is dealt in blocks, so no task holds more than two.
+pair tests. An over-full shard is split again by a tree of its own, by many tasks; one
+that no tree parts is dealt in blocks, so no task holds more than two.
 """
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -150,34 +153,94 @@ def links_within(x: np.ndarray, max_bits: int, leaf: int = 512) -> list[tuple[in
                  for link in local_links(x[part], None, max_bits)})
 
 
-def near_links(classes: DataFrame, max_bits: int = 3, leaf: int = 32768, block: int = 65536,
-               sample: int = 20_000) -> DataFrame:
-    """Links (u, v) that connect distinct fingerprints ``fp`` as all pairs within
-    ``max_bits`` bits would.
+def _child(leaf: np.ndarray | int, number: np.ndarray) -> np.ndarray:
+    """A name for a leaf inside a leaf. If two ever shared one they would only be compared together."""
+    mixed = (np.uint64(leaf) + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (mixed ^ (number.astype(np.uint64) + np.uint64(1))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
 
-    ``sample`` bounds the fingerprints the tree is grown from (in the order of a
-    hash, so always the same); every fingerprint is then dealt through the tree.
+
+def _split_again(dealt: DataFrame, over: DataFrame, max_bits: int, shard: int, block: int, sample: int) -> DataFrame:
+    """The rows (leaf, fp) of the over-full leaves ``over`` (leaf, n), dealt through a tree of each leaf's own.
+
+    A tree is grown from about ``sample`` of the leaf's fingerprints, chosen by hash; the leaf is dealt by many tasks. Rows of
+    a leaf that no tree parts keep it and are marked ``closed``.
+    """
+    rows = dealt.join(over, "leaf")
+
+    def grown(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        x = np.unique(table["fp"].to_numpy()).view(np.uint64)
+        nodes = build_tree(x, max(16, shard * len(x) // table["n"][0].as_py()), max_bits)
+        return pa.table({"leaf": pa.array([key[0].as_py()]), "tree": pa.array([pickle.dumps(nodes)], pa.binary())})
+
+    drawn = rows.where(F.pmod(F.xxhash64("fp", F.lit(1)), F.col("n")) < sample)
+    trees = drawn.groupBy("leaf").applyInArrow(grown, "leaf long, tree binary")
+    salts = F.ceil(F.col("n") / block).cast("int")
+    trees = trees.join(over, "leaf").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("fp"), salts).cast("int"))
+
+    def deal(members: pa.Table, tree: pa.Table) -> pa.Table:
+        fp = members["fp"].to_numpy()
+        leaf = members["leaf"].to_numpy()
+        nodes = pickle.loads(tree["tree"][0].as_py()) if len(tree) else [(None, 0, 0, 0)]
+        if not len(fp) or len(nodes) == 1:
+            return pa.table({"leaf": leaf, "fp": fp, "closed": np.ones(len(fp), bool)})
+        row, number = leaves_of(nodes, fp.view(np.uint64), max_bits)
+        return pa.table({"leaf": _child(int(leaf[0]) & (1 << 64) - 1, number), "fp": fp[row], "closed": np.zeros(len(row), bool)})
+
+    keys = ["leaf", "salt"]
+    return (rows.select("leaf", "salt", "fp").groupBy(*keys)
+            .cogroup(trees.select("leaf", "salt", "tree").groupBy(*keys))
+            .applyInArrow(deal, "leaf long, fp long, closed boolean"))
+
+
+def shards_of(classes: DataFrame, max_bits: int, shard: int, block: int, sample: int, rounds: int = 8) -> DataFrame:
+    """(leaf, fp): every fingerprint in each leaf in which it must be tested; leaves of about ``shard``.
+
+    Over-full leaves are split again, each by a tree of its own, until no tree parts them: the first tree's sample
+    need not show how all fingerprints lie.
     """
-    spark = classes.sparkSession
     total = classes.count()
     drawn = classes.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()
     members = np.array([r["fp"] for r in drawn], np.int64).view(np.uint64)
-    nodes = build_tree(members, max(16, int(leaf * len(members) / max(1, total))), max_bits)
+    nodes = build_tree(members, max(64, int(shard * len(members) / max(1, total))), max_bits)
 
     def deal(batches):
         for b in batches:
             x = b.column(0).to_numpy(zero_copy_only=False)
             rows, leaf_ids = leaves_of(nodes, x.view(np.uint64), max_bits)
-            yield pa.RecordBatch.from_arrays([pa.array(leaf_ids), pa.array(x[rows])], ["leaf", "fp"])
-
-    dealt = stored(classes.select("fp").mapInArrow(deal, "leaf long, fp long"), "leaves")
-    # One row per leaf: the tree has at most as many leaves as the bounded sample.
-    full = {r["leaf"]: -(-r["n"] // block) for r in
-            dealt.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > block).collect()}
-    blocks = F.lit(1)
-    for k, n in full.items():
-        blocks = F.when(F.col("leaf") == k, n).otherwise(blocks)
-    dealt = (dealt.withColumn("blocks", blocks)
+            yield pa.RecordBatch.from_arrays([pa.array(leaf_ids), pa.array(x[rows]), pa.array(np.zeros(len(rows), bool))],
+                                             ["leaf", "fp", "closed"])
+
+    open_ = stored(classes.select("fp").mapInArrow(deal, "leaf long, fp long, closed boolean"), "leaves")
+    done = []
+    for _ in range(rounds):
+        over = open_.where("not closed").groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > 2 * shard)
+        over = stored(over, "over-full")
+        if over.isEmpty():
+            break
+        done.append(open_.join(over, "leaf", "left_anti"))
+        open_ = stored(_split_again(open_.select("leaf", "fp"), over, max_bits, shard, block, sample), "leaves")
+    out = open_
+    for d in done:
+        out = out.unionByName(d)
+    return out.select("leaf", "fp")
+
+
+def near_links(classes: DataFrame, max_bits: int = 3, shard: int = 8192, block: int = 65536,
+               sample: int = 20_000) -> DataFrame:
+    """Links (u, v) that connect distinct fingerprints ``fp`` as all pairs within
+    ``max_bits`` bits would.
+
+    ``sample`` bounds the fingerprints that a tree is grown from (in the order of a
+    hash, so always the same); every fingerprint is then dealt through the trees. Only a leaf of over
+    ``block`` fingerprints that no tree parts is compared in pairs of blocks.
+    """
+    spark = classes.sparkSession
+    dealt = shards_of(classes, max_bits, shard, block, sample)
+    full = (dealt.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > block)
+            .select("leaf", F.ceil(F.col("n") / block).alias("blocks")))
+    dealt = (dealt.join(full, "leaf", "left").fillna(1, ["blocks"])
              .withColumn("b", F.pmod(F.xxhash64("fp"), F.col("blocks")))
              .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("leaf", F.least("b", "k").alias("i"), F.greatest("b", "k").alias("j"), "b", "fp"))

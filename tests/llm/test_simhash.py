@@ -48,7 +48,9 @@ def test_near_links_against_brute_force(spark):
     want = grouped([(int(a), int(b)) for i, a in enumerate(x) for b in x[i + 1:][np.bitwise_count(x[i + 1:] ^ a) <= 3]],
                    [int(v) for v in x])
     df = spark.createDataFrame([(int(v),) for v in x.view(np.int64)], "fp long")
-    for settings in ({}, {"leaf": 64}, {"leaf": 64, "block": 40}):  # one leaf, a tree, split leaves
+    # One leaf, a tree, over-full leaves in blocks, a coarse first tree whose leaves are split again and again.
+    for settings in ({}, {"shard": 64}, {"shard": 64, "block": 40}, {"shard": 16, "sample": 100},
+                     {"shard": 16, "sample": 100, "block": 30}):
         rows = simhash.near_links(df, 3, **settings).collect()
         links = [tuple(int(v) for v in np.array([p.u, p.v], np.int64).view(np.uint64)) for p in rows]
         assert all((a ^ b).bit_count() >= 1 for a, b in links)
@@ -57,6 +59,27 @@ def test_near_links_against_brute_force(spark):
         assert all(want[a] == want[b] for a, b in links)
 
 
+def test_over_full_leaves_get_trees_of_their_own(spark):
+    r = random.Random(2)
+    x = [r.getrandbits(64) for _ in range(3000)]
+    df = spark.createDataFrame([(int(v),) for v in np.array(x, np.uint64).view(np.int64)], "fp long")
+    coarse = simhash.shards_of(df, 3, 100, 65536, 128, rounds=0).groupBy("leaf").count().toPandas()["count"]
+    fine = simhash.shards_of(df, 3, 100, 500, 128).groupBy("leaf").count().toPandas()["count"]
+    assert coarse.max() > 800 and fine.max() < coarse.max() / 3 and len(fine) > 4 * len(coarse)
+    rows = simhash.shards_of(df, 3, 100, 500, 128).select("fp").distinct()
+    assert rows.count() == 3000  # none is lost on the way
+
+
+def test_a_leaf_that_no_tree_parts_goes_in_blocks(spark):
+    """All fingerprints within two bits of one: every pair of balls overlaps."""
+    base = 0x0123456789ABCDEF
+    x = sorted({base ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(64)})
+    df = spark.createDataFrame([(int(v),) for v in np.array(x, np.uint64).view(np.int64)], "fp long")
+    rows = simhash.near_links(df, 3, shard=100, block=300, sample=500).collect()
+    links = [tuple(int(v) for v in np.array([p.u, p.v], np.int64).view(np.uint64)) for p in rows]
+    assert len(set(grouped(links, x).values())) == 1
+
+
 def test_groups(odd_docs):
     out = simhash.near_duplicates(odd_docs).collect()
     assert len(out) == odd_docs.count()
