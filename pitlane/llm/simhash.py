@@ -227,7 +227,7 @@ def shards_of(classes: DataFrame, max_bits: int, shard: int, block: int, sample:
     return out.select("leaf", "fp")
 
 
-def near_links(classes: DataFrame, max_bits: int = 3, shard: int = 8192, block: int = 65536,
+def near_links(classes: DataFrame, max_bits: int = 3, shard: int = 32768, block: int = 65536,
                sample: int = 20_000) -> DataFrame:
     """Links (u, v) that connect distinct fingerprints ``fp`` as all pairs within
     ``max_bits`` bits would.
