@@ -77,19 +77,28 @@ def kernels(a: np.ndarray, b: np.ndarray, order: int, decay: float) -> np.ndarra
     w, n, m, q = len(a), a.shape[1], b.shape[1], b.shape[2]
     here = np.moveaxis(a, 1, 0)[:, None, :, None]
     there = np.moveaxis(b, 2, 0)[None]
-    match = ((here == there) & (here >= 0)).astype(np.float32) * np.float32(decay * decay)
+    match = np.multiply((here == there) & (here >= 0), np.float32(decay * decay), dtype=np.float32, order="C")
     out = np.zeros((order - 2, w, m), np.float32)
-    s = match
+    s, rows, ending = match, np.empty((n, q, w, m), np.float32), np.empty((n, w, m), np.float32)
     for p in range(2, order + 1):
-        rows = np.zeros((n, q, w, m), np.float32)
-        for i in range(1, n):
-            np.multiply(rows[i - 1], decay, out=rows[i])
-            rows[i] += s[i - 1]
-        both = np.zeros_like(rows)
-        for j in range(1, q):
-            np.multiply(both[:, j - 1], decay, out=both[:, j])
-            both[:, j] += rows[:, j - 1]
-        s = both * match
+        k = p - 1  # a common subsequence of p letters ends at the p-th letter of both words or later
+        if n > k and q > k:
+            rows[k] = s[k - 1]
+            for i in range(k + 1, n):
+                np.multiply(rows[i - 1], decay, out=rows[i])
+                rows[i] += s[i - 1]
+        if s is match:
+            s = np.zeros((n, q, w, m), np.float32)
+        else:
+            s[:k], s[:, :k] = 0, 0
+        last = ending[k:]
+        for j in range(k, q if n > k else 0):
+            if j == k:
+                last[:] = rows[k:, j - 1]
+            else:
+                last *= np.float32(decay)
+                last += rows[k:, j - 1]
+            np.multiply(last, match[k:, j], out=s[k:, j])
         if p > 2:
             out[p - 3] = s.sum(axis=(0, 1))
     return out

@@ -94,3 +94,19 @@ def test_many_insult_families_have_prototypes():
         labels.append(int(bad))
     model = toxicity.train(texts, labels)
     assert sum(m in families for m in model.landmarks) >= 19
+
+
+def test_kernels_equal_the_plain_recursion():
+    """Every pair of common subsequences, weighed by the letters they span in both words."""
+    from itertools import combinations
+
+    def plain(a, b, p, decay):
+        def spans(w):
+            return [("".join(w[i] for i in at), at[-1] - at[0] + 1) for at in combinations(range(len(w)), p)]
+        return sum(decay ** (m + n) for u, m in spans(a) for v, n in spans(b) if u == v)
+
+    words, others = ["abcab", "bacba", "aaaaa"], ["cab", "abacab", "a", "aa"]
+    got = toxicity.kernels(toxicity._codes(words, 5), toxicity._codes(others, 6), 4, 0.6)
+    for p in (3, 4):
+        want = [[plain(a, b, p, 0.6) for b in others] for a in words]
+        np.testing.assert_allclose(got[p - 3], want, rtol=1e-5)
