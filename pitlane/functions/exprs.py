@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 ColumnLike = Column | str
 
-# Characters a plain decimal number may use. Spark's text-to-double cast also
-# accepts forms pandas rejects ('1d', '2f', 'NaN', 'Infinity', hex floats); any
-# such text has a character outside this set, so a cheap character check plus
-# the cast's own syntax check gives pandas' to_numeric semantics without regex.
-_NUMBER_CHARS = "0123456789+-.eE "
+# Plain decimal numbers, as pandas' to_numeric takes them; Spark's text-to-double cast
+# also accepts '1d', '2f', 'NaN', 'Infinity' and hex floats. The syntax is checked before
+# the cast: a try_cast of other text raises and catches an exception for every row.
+_NUMBER = r"\A[+-]?+(?:[0-9]++(?:\.[0-9]*+)?+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+\z"
+_WHOLE = r"\A[+-]?+[0-9]++\z"
 
 
 def _c(c: ColumnLike) -> Column:
@@ -27,15 +27,10 @@ def null_if_nan(c: ColumnLike) -> Column:
     return F.nanvl(_c(c), F.lit(None).cast("double"))
 
 
-def plain_number_text(s: Column) -> Column:
-    """True when the text only uses characters of a plain decimal number."""
-    return F.length(F.translate(s, _NUMBER_CHARS, "")) == 0
-
-
 def to_double(c: ColumnLike) -> Column:
     """Numeric coercion; anything that is not a plain number -> NULL."""
-    s = _c(c).cast("string")
-    return F.when(plain_number_text(s), F.trim(s).try_cast("double"))
+    s = F.trim(_c(c).cast("string"))
+    return F.when(F.regexp_like(s, F.lit(_NUMBER)), s.try_cast("double"))
 
 
 def to_long(c: ColumnLike) -> Column:
@@ -48,7 +43,7 @@ def to_long(c: ColumnLike) -> Column:
     s = F.trim(_c(c).cast("string"))
     d = to_double(s)
     other = F.when(d == F.floor(d), s.try_cast("decimal(38,10)").try_cast("long"))
-    return F.when(plain_number_text(s), F.coalesce(s.try_cast("long"), other))
+    return F.when(F.regexp_like(s, F.lit(_WHOLE)), s.try_cast("long")).otherwise(other)
 
 
 def to_date(c: ColumnLike, fmt: str = "yyyy-MM-dd") -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from pitlane.operators.clean import clean_all_tables
 from pitlane.operators.marts import build_all_marts
+from pitlane.session import compilable_code
 from pitlane.sources.contracts import RACE_LINKED
 from pitlane.sources.ingest import filter_modern_era, ingest_all_tables, ingest_frames, save_tables
 from pitlane.sources.io import rows_seen, write_partitioned_fact, write_table
@@ -86,6 +87,7 @@ def run_pipeline(spark: SparkSession, raw: str | Mapping[str, DataFrame], proces
     ``era_snapshot_dir`` also keeps the era-filtered raw tables (S5); the cleaners
     then read that snapshot.
     """
+    compilable_code(spark)
     cfg = {**DEFAULTS, **overrides}
     tables = stage_ingest(spark, raw, cfg)
     cleaned = stage_clean(spark, tables, processed_dir, cfg["era_snapshot_dir"])

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitlane.operators import marts as M
 from pitlane.operators.clean import CLEANERS, clean_generic
 from pitlane.plans.sqlmodels import SQL_MARTS, STAGING_COLUMNS, sql_mart, staging
-from pitlane.session import scratch_path
+from pitlane.session import compilable_code, scratch_path
 from pitlane.sources import standin as S
 from pitlane.sources.contracts import EXPECTED_COLUMNS, RACE_LINKED
 from pitlane.sources.ingest import KeptRaces, era_filter_table, era_races, prepare_raw
@@ -64,6 +64,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str) -> LazyFrames:
+    compilable_code(spark)
+
     def build():
         t = S.read_tables(spark, sf_dir, S.SOURCE_TABLES)
         lines = LazyFrames({"lines": lambda: stored(S.result_lines(t), "result_lines")})
