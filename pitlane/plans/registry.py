@@ -638,11 +638,14 @@ def _damaged_extract(spark, sf_dir):
     for name, cols in EXPECTED_COLUMNS.items():
         texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]
         record, short = F.concat_ws(",", *texts), F.concat_ws(",", *texts[:-1])
-        digit = F.left(F.md5(record), F.lit(1))
-        quoted = F.concat_ws(",", *texts[:-1], F.concat(F.lit('"'), texts[-1], F.lit(', ""so""\"')))
+        quoted = F.concat(F.col("short"), F.lit(',"'), F.col("last"), F.lit(', ""so""\"'))
+        # Each text is made once per row, its digest too: conditions share no work.
+        parts = tables[name].select(record.alias("record"), short.alias("short"), texts[-1].alias("last"))
+        parts = parts.select("*", F.left(F.md5("record"), F.lit(1)).alias("digit"))
+        digit, record, short = F.col("digit"), F.col("record"), F.col("short")
         line = (F.when(digit == "0", F.concat(record, F.lit(",surplus"))).when(digit == "1", short)
                 .when(digit == "2", F.concat(F.lit('"'), record)).when(digit == "3", quoted).otherwise(record))
-        (tables[name].select(line.alias(",".join(cols))).write.option("header", True).option("quote", "")
+        (parts.select(line.alias(",".join(cols))).write.option("header", True).option("quote", "")
          .option("sep", "\u0001").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
          .csv(f"{raw_dir}/{name}.csv"))
     return raw_dir

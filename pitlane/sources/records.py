@@ -31,7 +31,8 @@ def _unquoted(record: Column) -> Column:
 
 
 def field_count(record: Column) -> Column:
-    return F.size(F.split(_unquoted(record), ","))
+    rest = _unquoted(record)
+    return F.octet_length(rest) - F.octet_length(F.replace(rest, F.lit(","), F.lit(""))) + 1
 
 
 def kind_of(record: Column, fields: int) -> Column:
@@ -41,6 +42,11 @@ def kind_of(record: Column, fields: int) -> Column:
     return F.when(broken, BROKEN_QUOTE).when(n > fields, TOO_LONG).when(n < fields, TOO_SHORT)
 
 
+def is_refused(kind: Column, refused: tuple[str, ...] = REFUSED) -> Column:
+    """Whether a record of this kind is kept out; the kind is found once per record, as a filter shares no work."""
+    return F.coalesce(kind, F.lit("")).isin(*refused)
+
+
 def header_of(spark: SparkSession, path: str) -> list[str]:
     """Column names from the header line; no data is read."""
     return spark.read.option("header", True).option("escape", '"').csv(path).columns

@@ -1,8 +1,10 @@
 """Steps whose cost per row, or whose memory per task, must not grow with the tables."""
 
+from pyspark.sql import functions as F
 
 from pitlane.functions import exprs as X
 from pitlane.session import compilable_code
+from pitlane.sources.records import field_count, is_refused
 
 
 def test_generated_methods_stay_compilable(spark):
@@ -28,3 +30,12 @@ def test_numbers_are_checked_before_the_cast(spark):
         "l", "d", X.to_long("v").alias("to_l"), X.to_double("v").alias("to_d"))
     assert [(r.to_l, r.to_d) for r in df.collect()] == [r[1:] for r in rows]
     assert "translate" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_fields_are_counted_without_a_split(spark):
+    rows = [("", 1), ("a", 1), ("a,,b", 3), (",", 2), ('"a,b",c', 2), ("ä,ö", 2)]
+    df = spark.createDataFrame(rows, "r string, n int").select("n", field_count(F.col("r")).alias("m"))
+    assert [r.m for r in df.collect()] == [n for _, n in rows]
+    assert "split(" not in df._jdf.queryExecution().optimizedPlan().toString()
+    kinds = spark.createDataFrame([(None,), ("too_long",), ("too_short",)], "k string")
+    assert [r[0] for r in kinds.select(is_refused(F.col("k"))).collect()] == [False, True, False]
