@@ -165,9 +165,9 @@ def cleaned_csv(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
 
 
 def partitioned_fact(spark: SparkSession, sf_dir: str) -> str:
-    """The path of the wide fact partitioned by season, written once."""
+    """The path of the wide fact partitioned by season, written once, and only in this form."""
     return _memo(spark, ("partitioned_fact", sf_dir), lambda: {"path": write_partitioned_fact(
-        stored_marts(spark, sf_dir)["fact_race_results"], scratch_path(spark, "fact_by_season"))})["path"]
+        marts(spark, sf_dir)["fact_race_results"], scratch_path(spark, "fact_by_season"))})["path"]
 
 
 #: Buckets of the entrants' tables; on a cluster, about one per 128 MB of the larger one.
