@@ -585,7 +585,7 @@ def incremental_season_load(spark, sf_dir):
     """E5: a season's results land in two extracts that overlap; two runs merge them into the fact."""
     from pitlane.session import scratch_path
     from pitlane.streaming.incremental import incremental_season_load as load
-    fact = cat.stored_marts(spark, sf_dir)["fact_race_results"].dropDuplicates(["result_id"])
+    fact = cat.one_per_result(spark, sf_dir)
     landing, target, ckpt = (scratch_path(spark, n) for n in ("landing", "fact_stream", "stream_ckpt"))
     fact.where("result_id % 3 < 2").withColumn("points", F.lit(-1.0)).write.mode("append").parquet(landing)
     load(spark, landing, fact.schema, target, ckpt)
@@ -601,7 +601,7 @@ def incremental_season_moves(spark, sf_dir):
     """E5: a second extract moves a tenth of the results, and all of the first season, to the next season."""
     from pitlane.session import scratch_path
     from pitlane.streaming.incremental import incremental_season_load as load
-    fact = cat.stored_marts(spark, sf_dir)["fact_race_results"].dropDuplicates(["result_id"])
+    fact = cat.one_per_result(spark, sf_dir)
     landing, target, ckpt = (scratch_path(spark, n) for n in ("landing", "fact_moves", "moves_ckpt"))
     fact.write.mode("append").parquet(landing)
     load(spark, landing, fact.schema, target, ckpt)

@@ -170,6 +170,12 @@ def partitioned_fact(spark: SparkSession, sf_dir: str) -> str:
         marts(spark, sf_dir)["fact_race_results"], scratch_path(spark, "fact_by_season"))})["path"]
 
 
+def one_per_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide fact with one row per result id, picked and written once: every reader sees the same rows."""
+    return _memo(spark, ("one_per_result", sf_dir), lambda: {"fact": stored(
+        marts(spark, sf_dir)["fact_race_results"].dropDuplicates(["result_id"]), "one_per_result")})["fact"]
+
+
 #: Buckets of the entrants' tables; on a cluster, about one per 128 MB of the larger one.
 BUCKETS = 8
 

@@ -53,9 +53,10 @@ def merge_seasons(batch: DataFrame, target_path: str, key: str = "result_id",
         kept = kept.where(_of_seasons(partition_col, seasons))
         rows = rows.unionByName(kept.withColumn("_new", F.lit(0)))
     others = [c for c in batch.columns if c != key]
-    nameless = [F.when(F.col(key).isNull(), F.col(c)) for c in others]
-    first = F.row_number().over(Window.partitionBy(key, *nameless).orderBy(F.desc("_new"), *others))
-    return rows.withColumn("_nth", first).where(F.col("_nth") == 1).select(*batch.columns)
+    first = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("_new"), *others))
+    named = rows.where(F.col(key).isNotNull()).withColumn("_nth", first).where(F.col("_nth") == 1)
+    nameless = rows.where(F.col(key).isNull()).select(*batch.columns).dropDuplicates()
+    return named.select(*batch.columns).unionByName(nameless)
 
 
 def upsert_seasons(batch: DataFrame, target_path: str, key: str = "result_id", partition_col: str = "year") -> None:
@@ -65,6 +66,9 @@ def upsert_seasons(batch: DataFrame, target_path: str, key: str = "result_id", p
     dies in between, the batch comes again, finds its keys in the old season too, and ends the same way.
     """
     spark = batch.sparkSession
+    if not path_exists(spark, target_path):  # nothing is read from the target, so nothing is written aside
+        write_partitioned_fact(merge_seasons(batch, target_path, key, partition_col), target_path, partition_col)
+        return
     seasons = touched_seasons(batch, target_path, key, partition_col)
     # Written aside first: the seasons that are read are the ones that get replaced.
     aside = scratch_path(spark, "season-merge")

@@ -1,10 +1,12 @@
 """Steps whose cost per row, or whose memory per task, must not grow with the tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from pitlane.functions import exprs as X
 from pitlane.session import compilable_code
 from pitlane.sources.records import field_count, is_refused
+from pitlane.streaming import incremental
 
 
 def test_generated_methods_stay_compilable(spark):
@@ -39,3 +41,25 @@ def test_fields_are_counted_without_a_split(spark):
     assert "split(" not in df._jdf.queryExecution().optimizedPlan().toString()
     kinds = spark.createDataFrame([(None,), ("too_long",), ("too_short",)], "k string")
     assert [r[0] for r in kinds.select(is_refused(F.col("k"))).collect()] == [False, True, False]
+
+
+def test_first_batch_is_written_once_and_nulls_keep_their_rows(spark, tmp_path, monkeypatch):
+    schema = "result_id long, points double, year long"
+    target = str(tmp_path / "fact")
+    rows = [(1, 1.0, 2000), (1, 2.0, 2001), (None, 1.0, 2000), (None, 1.0, 2000), (None, 2.0, 2000), (2, None, None)]
+
+    def aside(*_):
+        pytest.fail("nothing is stored yet, so nothing needs writing aside")
+
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "scratch_path", aside)
+        incremental.upsert_seasons(spark.createDataFrame(rows, schema), target)
+    kept = [(1, 1.0, 2000), (2, None, None), (None, 1.0, 2000), (None, 2.0, 2000)]
+
+    def stored():
+        back = spark.read.schema(schema).parquet(target).select("result_id", "points", "year").collect()
+        return sorted(map(tuple, back), key=repr)
+
+    assert stored() == sorted(kept, key=repr)
+    incremental.upsert_seasons(spark.createDataFrame(rows[2:], schema), target)
+    assert stored() == sorted(kept, key=repr)
