@@ -176,17 +176,23 @@ def one_per_result(spark: SparkSession, sf_dir: str) -> DataFrame:
         marts(spark, sf_dir)["fact_race_results"].dropDuplicates(["result_id"]), "one_per_result")})["fact"]
 
 
-#: Buckets of the entrants' tables; on a cluster, about one per 128 MB of the larger one.
-BUCKETS = 8
+#: Least number of buckets of the entrants' tables, and the rows that one bucket of the larger one should hold.
+BUCKETS, BUCKET_ROWS = 8, 1_000_000
+
+
+def buckets_for(*tables: DataFrame) -> int:
+    """Buckets that keep a bucket's size bounded however large the tables are (their Parquet footers tell the rows)."""
+    return max(BUCKETS, -(-max(df.count() for df in tables) // BUCKET_ROWS))
 
 
 def bucketed_entrants(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     """Results and qualifying stored in buckets of (race_id, driver_id), each written once."""
     t = cleaned(spark, sf_dir)
+    once = LazyFrames({"buckets": lambda: buckets_for(t["results"], t["qualifying"])})
 
     def stored_as(name: str) -> DataFrame:
         table = f"{name}_by_entrant_{uuid.uuid4().hex[:8]}"
-        return store_bucketed(t[name], table, ["race_id", "driver_id"], BUCKETS, scratch_path(spark, table))
+        return store_bucketed(t[name], table, ["race_id", "driver_id"], once["buckets"], scratch_path(spark, table))
 
     return _memo(spark, ("bucketed", sf_dir), lambda: LazyFrames(
         {n: (lambda n=n: stored_as(n)) for n in ("results", "qualifying")}))

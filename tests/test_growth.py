@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitlane.functions import exprs as X
+from pitlane.plans import standin_catalog as cat
 from pitlane.session import compilable_code
 from pitlane.sources.records import field_count, is_refused
 from pitlane.streaming import incremental
@@ -43,6 +44,12 @@ def test_fields_are_counted_without_a_split(spark):
     assert [r[0] for r in kinds.select(is_refused(F.col("k"))).collect()] == [False, True, False]
 
 
+def test_buckets_grow_with_the_tables(spark, monkeypatch):
+    monkeypatch.setattr(cat, "BUCKET_ROWS", 10)
+    assert cat.buckets_for(spark.range(5), spark.range(20)) == cat.BUCKETS
+    assert cat.buckets_for(spark.range(5), spark.range(201)) == 21
+
+
 def test_first_batch_is_written_once_and_nulls_keep_their_rows(spark, tmp_path, monkeypatch):
     schema = "result_id long, points double, year long"
     target = str(tmp_path / "fact")
