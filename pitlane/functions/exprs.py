@@ -15,7 +15,8 @@ ColumnLike = Column | str
 # also accepts '1d', '2f', 'NaN', 'Infinity' and hex floats. The syntax is checked before
 # the cast: a try_cast of other text raises and catches an exception for every row.
 _NUMBER = r"\A[+-]?+(?:[0-9]++(?:\.[0-9]*+)?+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+\z"
-_WHOLE = r"\A[+-]?+[0-9]++\z"
+#: Whole numbers, also written with a point and nothing but zeros after it.
+_WHOLE = r"\A[+-]?+[0-9]++(?:\.0*+)?+\z"
 
 
 def _c(c: ColumnLike) -> Column:
@@ -36,14 +37,13 @@ def to_double(c: ColumnLike) -> Column:
 def to_long(c: ColumnLike) -> Column:
     """Nullable integer; non-numeric or fractional text -> NULL.
 
-    Ids above 2**53 stay exact: whole-number text is parsed as such, other forms
-    of whole numbers ('2.0', '1e3') as decimals; a double only tells whether
-    there is a fraction.
+    Ids above 2**53 stay exact: whole-number text ('2', '2.0') is parsed as such, other
+    forms of whole numbers ('1e3') as decimals; a double only tells whether there is a fraction.
     """
     s = F.trim(_c(c).cast("string"))
     d = to_double(s)
     other = F.when(d == F.floor(d), s.try_cast("decimal(38,10)").try_cast("long"))
-    return F.when(F.regexp_like(s, F.lit(_WHOLE)), s.try_cast("long")).otherwise(other)
+    return F.when(F.regexp_like(s, F.lit(_WHOLE)), F.substring_index(s, ".", 1).try_cast("long")).otherwise(other)
 
 
 def to_date(c: ColumnLike, fmt: str = "yyyy-MM-dd") -> Column:

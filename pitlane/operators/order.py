@@ -60,4 +60,6 @@ def placed(df: DataFrame, by: list[Column], group: list[str] | None = None, out:
     sizes = sizes.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)], first, before)
     same = [rows[f"`{k}`"].eqNullSafe(sizes[f"k{i}"]) if i else rows[part] == sizes["k0"] for i, k in enumerate(keys)]
     place = F.col(before) + inside - F.col(first) + 1
+    if not group:
+        sizes = F.broadcast(sizes)  # a row per range: the ordered rows need no second shuffle
     return rows.join(sizes, same).select(*[F.col(f"`{c}`") for c in df.columns], place.cast("long").alias(out))

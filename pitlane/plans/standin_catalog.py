@@ -36,6 +36,10 @@ class LazyFrames(Mapping):
             self._built[name] = self._factories[name]()
         return self._built[name]
 
+    def built(self, name: str) -> bool:
+        """Whether the table is there already."""
+        return name in self._built
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._factories)
 
@@ -63,13 +67,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def result_lines(spark: SparkSession, sf_dir: str) -> LazyFrames:
+    """The raw result lines, written when first used. Their ``_seq`` repeats columns, so it is made anew on each read."""
+    def build():
+        t = S.read_tables(spark, sf_dir, S.SOURCE_TABLES)
+        once = LazyFrames({"unwritten": lambda: S.result_lines(t),
+                           "lines": lambda: S.with_seq(stored(once["unwritten"].drop("_seq"), "result_lines"))})
+        return once
+    return _memo(spark, ("lines", sf_dir), build)
+
+
 def raw(spark: SparkSession, sf_dir: str) -> LazyFrames:
     compilable_code(spark)
 
     def build():
         t = S.read_tables(spark, sf_dir, S.SOURCE_TABLES)
-        lines = LazyFrames({"lines": lambda: stored(S.result_lines(t), "result_lines")})
-        L = lambda: lines["lines"]
+        L = lambda: result_lines(spark, sf_dir)["lines"]
         return LazyFrames({
             "results": lambda: S.results_raw(L()),
             "drivers": lambda: S.drivers_raw(t),
@@ -96,14 +109,20 @@ def ingested(spark: SparkSession, sf_dir: str, tag: bool = True) -> LazyFrames:
         {n: (lambda n=n: prepare_raw(r[n], n, validate=True, tag=tag)) for n in EXPECTED_COLUMNS}))
 
 
-def era_filtered(spark: SparkSession, sf_dir: str, era: tuple[int, int] = S.STANDIN_ERA) -> LazyFrames:
-    ing = ingested(spark, sf_dir)
-
+def kept_races(spark: SparkSession, sf_dir: str, era: tuple[int, int]) -> LazyFrames:
+    """The era's races and the set of their ids, which is written when first used."""
     def build():
+        ing = ingested(spark, sf_dir)
         once = LazyFrames({"races": lambda: era_races(ing["races"], *era), "kept": lambda: KeptRaces(once["races"])})
-        return LazyFrames({n: (lambda n=n: era_filter_table(ing[n], n, once["races"], once["kept"] if n in RACE_LINKED else None))
-                           for n in EXPECTED_COLUMNS})
-    return _memo(spark, ("era", sf_dir, era), build)
+        return once
+    return _memo(spark, ("kept", sf_dir, era), build)
+
+
+def era_filtered(spark: SparkSession, sf_dir: str, era: tuple[int, int] = S.STANDIN_ERA) -> LazyFrames:
+    ing, once = ingested(spark, sf_dir), kept_races(spark, sf_dir, era)
+    return _memo(spark, ("era", sf_dir, era), lambda: LazyFrames(
+        {n: (lambda n=n: era_filter_table(ing[n], n, once["races"], once["kept"] if n in RACE_LINKED else None))
+         for n in EXPECTED_COLUMNS}))
 
 
 def cleaned(spark: SparkSession, sf_dir: str, era: tuple[int, int] = S.STANDIN_ERA) -> LazyFrames:
@@ -113,6 +132,22 @@ def cleaned(spark: SparkSession, sf_dir: str, era: tuple[int, int] = S.STANDIN_E
         {n: (lambda n=n: stored(CLEANERS.get(n, clean_generic)(e[n]), f"{n}_clean")) for n in EXPECTED_COLUMNS}))
 
 
+def cleaned_results(spark: SparkSession, sf_dir: str, columns: list[str],
+                    era: tuple[int, int] = S.STANDIN_ERA) -> DataFrame:
+    """These columns of the cleaned results, for a query that needs no others.
+
+    They come from the written table if this session has it. Else the same steps run over all rows as one plan, in which
+    Spark leaves out what only the other columns need: their casts, their share of the shuffles and of two written tables.
+    """
+    whole = cleaned(spark, sf_dir, era)
+    if whole.built("results"):
+        return whole["results"].select(*columns)
+    races, lines = kept_races(spark, sf_dir, era), result_lines(spark, sf_dir)
+    entries = prepare_raw(S.results_raw(lines["lines" if lines.built("lines") else "unwritten"]), "results")
+    entries = era_filter_table(entries, "results", races["races"], races["kept"])
+    return CLEANERS["results"](entries).select(*columns)
+
+
 def store_cleaned(spark: SparkSession, sf_dir: str, names: list[str]) -> None:
     """Write the named cleaned tables now, a few at a time."""
     era_filtered(spark, sf_dir)["results"]  # the lines and the kept races that several tables share come first

@@ -80,10 +80,13 @@ def result_lines(t: dict[str, DataFrame]) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", F.lit("R")).otherwise(_s(pos_num)).alias("position"),
         F.when(F.col("l_returnflag") == "R", F.lit(21)).otherwise(pos_num).cast("long").alias("position_order"),
         F.col("l_quantity").cast("long").alias("qty"),
-        "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
-        # The order of repeated result ids; rows equal in all of it are equal altogether.
-        F.struct("l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus").alias("_seq"),
-    )
+        "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus",
+    ).transform(with_seq)
+
+
+def with_seq(lines: DataFrame) -> DataFrame:
+    """``_seq``: the order of repeated result ids; rows equal in all of it are equal altogether."""
+    return lines.withColumn("_seq", F.struct("l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus"))
 
 
 def races_raw(t: dict[str, DataFrame]) -> DataFrame:
