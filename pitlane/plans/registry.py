@@ -141,7 +141,7 @@ def dedupe_report(spark, sf_dir):
 def safe_div_pct(spark, sf_dir):
     """Per-team share of wins in entries, safe when a team has no entries."""
     from pitlane.functions import exprs as X
-    r = _clean(spark, sf_dir, "results")
+    r = cat.cleaned_results(spark, sf_dir, ["constructor_id", "position_numeric", "finished", "grid", "race_id"])
     g = r.groupBy("constructor_id").agg(F.count_if(F.col("position_numeric") == 1).alias("wins"),
                                         F.count_if(F.col("finished") == 1).alias("finishes"),
                                         F.count_if((F.col("grid") == 7) & (F.col("race_id") % 100 == 0)).alias("none"))
@@ -153,7 +153,7 @@ def safe_div_pct(spark, sf_dir):
 def round_half_even_q(spark, sf_dir):
     """Half-even and half-away rounding of per-race mean points."""
     from pitlane.functions import exprs as X
-    r = _clean(spark, sf_dir, "results")
+    r = cat.cleaned_results(spark, sf_dir, ["race_id", "points"])
     g = r.groupBy("race_id").agg((F.sum("points") / F.lit(8.0)).alias("v"))
     return g.select("race_id", "v", X.round_half_even("v", 2).alias("even_2"), X.round_half_even("v", 0).alias("even_0"),
                     X.round_half_away("v", 2).alias("away_2"), X.round_half_away("v", 0).alias("away_0"))

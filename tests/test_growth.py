@@ -101,7 +101,7 @@ def test_queries_of_few_result_columns_write_no_whole_table(spark, tmp_path, mon
 
     monkeypatch.setattr(cat, "stored", noting)
     columns = ["result_id", "race_id", "constructor_id", "grid", "points", "position_numeric", "finished"]
-    names = ("results_order_by_points",)
+    names = ("safe_div_pct", "round_half_even", "results_order_by_points")
     few = {n: sorted(map(tuple, REGISTRY[n](spark, sf).collect()), key=repr) for n in names}
     narrow = sorted(map(tuple, cat.cleaned_results(spark, sf, columns).collect()))
     assert written == [("entry_points", ["result_id", "points"])]
