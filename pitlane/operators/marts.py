@@ -287,8 +287,9 @@ def qualifying_positions(qualifying: DataFrame) -> DataFrame:
 def build_fact_race_results(results: DataFrame, races: DataFrame, qualifying: DataFrame) -> DataFrame:
     """M4: one row per result with race metadata and qualifying position."""
     meta = select_existing(races, ["race_id", "year", "round", "circuit_id", "name", "date", "season_round"])
-    res = results.join(meta, "race_id", "left") \
-        .join(qualifying_positions(qualifying), ["race_id", "driver_id"], "left")
+    # The calendar comes last: its columns don't go through the shuffle by race and driver.
+    res = results.join(qualifying_positions(qualifying), ["race_id", "driver_id"], "left") \
+        .join(meta, "race_id", "left")
     res = res.withColumn("positions_gained", X.positions_gained("grid", "position_numeric"))
     return select_existing(res, FACT_COLUMNS)
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from pitlane.operators.clean import clean_all_tables
 from pitlane.operators.marts import build_all_marts
-from pitlane.session import compilable_code
+from pitlane.session import compilable_code, lean_on_disk
 from pitlane.sources.contracts import RACE_LINKED
 from pitlane.sources.ingest import filter_modern_era, ingest_all_tables, ingest_frames, save_tables
 from pitlane.sources.io import rows_seen, write_partitioned_fact, write_table
@@ -68,7 +68,10 @@ def stage_clean(spark: SparkSession, tables: dict[str, DataFrame], processed_dir
 
 
 def stage_transform(spark: SparkSession, marts: dict[str, DataFrame], output_dir: str, fmt: str) -> dict[str, int]:
-    """Write the marts; the fact table is partitioned by season (Parquet only). Rows by mart, counted by the writes."""
+    """Write the marts; the fact table is partitioned by season (Parquet only). Rows by mart, counted by the writes.
+
+    The fact shuffles as much as all other marts together, so it goes when their shuffle files have gone.
+    """
     def one(name: str, df: DataFrame) -> int:
         base, seen = f"{output_dir.rstrip('/')}/{name}", Observation()
         if fmt == "parquet" and name == "fact_race_results" and "year" in df.columns:
@@ -77,7 +80,8 @@ def stage_transform(spark: SparkSession, marts: dict[str, DataFrame], output_dir
             write_table(df, f"{base}.{fmt}", fmt, seen)
         return rows_seen(seen)
 
-    return in_parallel({n: partial(one, n, df) for n, df in marts.items()})
+    small = in_parallel({n: partial(one, n, df) for n, df in marts.items() if n != "fact_race_results"})
+    return {n: small[n] if n in small else one(n, df) for n, df in marts.items()}
 
 
 def run_pipeline(spark: SparkSession, raw: str | Mapping[str, DataFrame], processed_dir: str,
@@ -89,8 +93,9 @@ def run_pipeline(spark: SparkSession, raw: str | Mapping[str, DataFrame], proces
     """
     compilable_code(spark)
     cfg = {**DEFAULTS, **overrides}
-    tables = stage_ingest(spark, raw, cfg)
-    cleaned = stage_clean(spark, tables, processed_dir, cfg["era_snapshot_dir"])
-    marts = build_all_marts(cleaned, min_races=cfg["min_races"])
-    rows = stage_transform(spark, marts, output_dir, cfg["output_format"])
+    with lean_on_disk(spark):
+        tables = stage_ingest(spark, raw, cfg)
+        cleaned = stage_clean(spark, tables, processed_dir, cfg["era_snapshot_dir"])
+        marts = build_all_marts(cleaned, min_races=cfg["min_races"])
+        rows = stage_transform(spark, marts, output_dir, cfg["output_format"])
     return spark.createDataFrame(list(rows.items()), "table string, rows long")

@@ -559,11 +559,12 @@ def csv_parquet_roundtrip(spark, sf_dir):
 
 def _pipeline(spark, sf_dir, **options):
     from pitlane.plans.pipeline import run_pipeline
-    from pitlane.session import scratch_path
+    from pitlane.session import lean_on_disk, scratch_path
     frames = cat.raw(spark, sf_dir)
     out = scratch_path(spark, "outputs")
-    report = run_pipeline(spark, {n: frames[n] for n in frames}, scratch_path(spark, "processed"), out,
-                          start_year=STANDIN_ERA[0], end_year=STANDIN_ERA[1], **options)
+    with lean_on_disk(spark):
+        report = run_pipeline(spark, {n: frames[n] for n in frames}, scratch_path(spark, "processed"), out,
+                              start_year=STANDIN_ERA[0], end_year=STANDIN_ERA[1], **options)
     return out, report
 
 

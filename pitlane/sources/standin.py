@@ -209,10 +209,12 @@ def constructor_standings_raw(t, lines) -> DataFrame:
 
 def qualifying_raw(lines: DataFrame) -> DataFrame:
     """One qualifying row per (race, driver): the entry with the lowest result id."""
-    first = lines.groupBy("race_id", "driver_id").agg(F.min(F.struct(
-        "result_id", "_seq", "constructor_id", "qty", "l_linestatus", "grid", "l_partkey")).alias("f"))
-    f = {c: F.col("f").getField(c) for c in ("result_id", "constructor_id", "qty",
-                                             "l_linestatus", "grid", "l_partkey")}
+    # What ``_seq`` holds, or fixes (``qty`` is its quantity), need not go along a second time.
+    first = lines.groupBy("race_id", "driver_id").agg(
+        F.min(F.struct("result_id", "_seq", "constructor_id", "grid")).alias("f"))
+    f = {c: F.col("f").getField(c) for c in ("result_id", "constructor_id", "grid")}
+    f |= {c: F.col("f").getField("_seq").getField(c) for c in ("l_linestatus", "l_partkey", "l_quantity")}
+    f["qty"] = f.pop("l_quantity").cast("long")
     again = F.when(f["l_partkey"] % 41 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     lap = F.concat(_s(F.lit(1) + f["constructor_id"] % 2), F.lit(":"),
                    F.lpad(_s(f["qty"] + 5), 2, "0"), F.lit("."),
